@@ -115,13 +115,19 @@ def carc_slots(pool: DataFrame, slots: int = C.CARC_SLOTS) -> DataFrame:
             .select(F.explode(F.sequence(F.col("s"), F.col("e") - 1)).alias("slot"), "carc_code"))
 
 
-def as_of_date(base: DataFrame) -> Column:
-    """The as-of date, the latest ``clm_thru_dt`` (a scalar subquery)."""
-    return scalar(base.agg(F.max("clm_thru_dt").alias("as_of")))
+def as_of_date(claims: DataFrame) -> Column:
+    """The as-of date, the latest ``clm_thru_dt`` (a scalar subquery).
+
+    Pass the claim detail rather than the rollup: the latest segment date is
+    the latest claim date, and the subquery then needs no aggregation
+    shuffle, only a one-column scan with a partial max per task.
+    """
+    return scalar(claims.agg(F.max("clm_thru_dt").alias("as_of")))
 
 
 def fact_claims(base: DataFrame, slots: DataFrame,
-                as_of: dt.date | str | Column | None = None) -> DataFrame:
+                as_of: dt.date | str | Column | None = None,
+                detail: DataFrame | None = None) -> DataFrame:
     """M6: one row per claim with status, reason code, age and aging bucket.
 
     A claim with NULL or zero payment is denied and draws its reason code
@@ -130,7 +136,7 @@ def fact_claims(base: DataFrame, slots: DataFrame,
     a fixed number of rows and is broadcast; the fact side never shuffles.
     """
     if as_of is None:
-        as_of_col = as_of_date(base)
+        as_of_col = as_of_date(detail if detail is not None else base)
     elif isinstance(as_of, Column):
         as_of_col = as_of
     else:
@@ -142,15 +148,16 @@ def fact_claims(base: DataFrame, slots: DataFrame,
     lookup = bounded_broadcast(slots.select(F.col("slot").cast("bigint").alias("__slot"),
                                             F.col("carc_code")))
     f = f.join(lookup, "__slot", "left")
-    days = days_between("clm_from_dt", as_of_col)
+    # Days as a column first: the bucket then reads it instead of repeating
+    # the date difference (and its subquery) in every branch.
+    f = f.withColumn("days_since_submission", days_between("clm_from_dt", as_of_col))
     return f.select(
         "claim_id", "patient_id", "provider_id",
         F.col("primary_diagnosis_code").alias("diagnosis_code"),
         "carc_code", "claim_type", "clm_from_dt", "clm_thru_dt",
         F.col("clm_pmt_amt").alias("billed_paid_amt"),
-        "primary_pyr_pd_amt", "adjudication_status",
-        days.alias("days_since_submission"),
-        aging_bucket(days).alias("ar_aging_bucket"),
+        "primary_pyr_pd_amt", "adjudication_status", "days_since_submission",
+        aging_bucket("days_since_submission").alias("ar_aging_bucket"),
     )
 
 

@@ -67,7 +67,7 @@ class Warehouse:
     @property
     def fact(self) -> DataFrame:
         return self._get("fact", lambda: factmod.fact_claims(self.fact_base, self.carc_slots,
-                                                             self.as_of))
+                                                             self.as_of, self.claim_detail))
 
     TABLES = ("dim_patient", "dim_provider", "dim_diagnosis", "dim_carc_denials", "fact")
 

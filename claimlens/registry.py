@@ -10,7 +10,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlens.plans import kpis, warehouse
+from claimlens.plans import dashboard, kpis, quality, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,5 +57,25 @@ MODELS: dict[str, Query] = {
 }
 
 
+def _stored(spark, sf_dir) -> warehouse.Warehouse:
+    """Warehouse written to the shared scratch folder, then read back.
+
+    For consumers of many marts (tests, dashboard): the fact is computed
+    once and every check or section scans the stored columns it needs.
+    """
+    return _wh(spark, sf_dir).materialize()
+
+
+# Data-quality checks and the dashboard extract.
+CHECKS: dict[str, Query] = {
+    "dq_orphaned_claims": lambda s, d: quality.orphaned_claims(_fact(s, d), _wh(s, d).dim_patient),
+    "dq_duplicate_claim_ids": lambda s, d: quality.duplicate_claim_ids(_fact(s, d)),
+    "dq_unmapped_diagnosis": lambda s, d: quality.unmapped_diagnosis(_fact(s, d), _wh(s, d).dim_diagnosis),
+    "dq_report": lambda s, d: (lambda wh: quality.dq_counts(wh.fact, wh.dim_patient, wh.dim_diagnosis))(_wh(s, d)),
+    "dq_schema_tests": lambda s, d: quality.schema_test_report(_stored(s, d)),
+    "dashboard_extract": lambda s, d: dashboard.dashboard_rows(_stored(s, d)),
+}
+
+
 def queries() -> dict[str, Query]:
-    return dict(MODELS)
+    return {**MODELS, **CHECKS}

@@ -54,15 +54,26 @@ def claim_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The join key is the claim id text itself, so the join's hash
     partitioning is the one the claim rollup needs: the segment-to-claim
-    aggregation runs without another shuffle.
+    aggregation runs without another shuffle. The line items are
+    hash-partitioned on that key up front: at scale this is the exchange the
+    sort-merge join and the rollup need anyway, and when the orders side is
+    small enough to broadcast it keeps the work spread over all tasks however
+    the input files are split. The text columns are formatted after the
+    exchange, so it carries the compact numeric columns.
     """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
+    lines = li.select(F.col("l_orderkey").cast("string").alias("CLM_ID"), "l_orderkey", "l_partkey",
+                      "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
+                      "l_returnflag", "l_shipdate").repartition("CLM_ID")
+    heads = orders.select(F.col("o_orderkey").cast("string").alias("CLM_ID"), "o_custkey",
+                          "o_orderpriority")
     k = F.col("l_orderkey")
     line = F.col("l_linenumber")
     ship = F.date_format(F.col("l_shipdate"), "yyyyMMdd")
-    lines = li.select(
-        k.cast("string").alias("CLM_ID"),
+    return lines.join(heads, "CLM_ID", "inner").select(
+        F.col("CLM_ID"),
+        F.col("o_custkey").cast("string").alias("DESYNPUF_ID"),
         F.nullif(F.col("l_suppkey"), F.lit(0)).cast("string").alias("PRVDR_NUM"),
         F.when(line == 1, F.lit(None).cast("string"))
          .otherwise((F.lit(1000000000) + F.col("l_suppkey") * 10 + line).cast("string"))
@@ -78,14 +89,9 @@ def claim_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         dx_code(F.col("l_partkey")).alias("ICD9_DGNS_CD_1"),
         dx_code(F.col("l_partkey") + 1).alias("ICD9_DGNS_CD_2"),
         dx_code(F.col("l_partkey") + 2).alias("ICD9_DGNS_CD_3"),
-    )
-    heads = orders.select(
-        F.col("o_orderkey").cast("string").alias("CLM_ID"),
-        F.col("o_custkey").cast("string").alias("DESYNPUF_ID"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(C.INPATIENT))
          .otherwise(F.lit(C.OUTPATIENT)).alias("CLAIM_TYPE"),
     )
-    return lines.join(heads, "CLM_ID", "inner").select(*SEGMENT_COLUMNS)
 
 
 def beneficiary_year(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
