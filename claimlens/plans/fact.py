@@ -80,17 +80,22 @@ def carc_pool(weights: DataFrame, dim_carc: DataFrame,
     """F8/D3: weighted codes that exist in the lookup; if none does, the
     first ``fallback_count`` lookup codes (by code) with equal weight.
 
-    Bounded by construction: at most max(len(weights), fallback_count) rows.
+    Both candidate sets are bounded (the weight table; a top-k of the
+    lookup), so the choice between them is a window over at most
+    ``len(weights) + fallback_count`` rows.
     """
-    present = weights.join(dim_carc.select("carc_code"), "carc_code", "left_semi")
+    present = (weights.join(dim_carc.select("carc_code"), "carc_code", "left_semi")
+               .withColumn("__tier", F.lit(0)))
     first_codes = (dim_carc.select("carc_code").filter(F.col("carc_code").isNotNull())
                    .distinct().orderBy("carc_code").limit(fallback_count))
-    # Window over at most ``fallback_count`` rows (after the limit).
-    fallback = (first_codes
-                .withColumn("ordinal", F.row_number().over(Window.orderBy("carc_code")))
-                .withColumn("weight", F.lit(1))
-                .filter(~present.exists()))
-    return present.unionByName(fallback.select("ordinal", "carc_code", "weight"))
+    fallback = first_codes.select(F.lit(0).alias("ordinal"), "carc_code", F.lit(1).alias("weight"),
+                                  F.lit(1).alias("__tier"))
+    candidates = present.unionByName(fallback)
+    everything = Window.partitionBy(F.lit(0))
+    best = candidates.withColumn("__best", F.min("__tier").over(everything))
+    ranked = Window.partitionBy(F.lit(0)).orderBy("ordinal", "carc_code")
+    return (best.filter(F.col("__tier") == F.col("__best"))
+            .select(F.row_number().over(ranked).alias("ordinal"), "carc_code", "weight"))
 
 
 def carc_slots(pool: DataFrame, slots: int = C.CARC_SLOTS) -> DataFrame:

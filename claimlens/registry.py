@@ -15,8 +15,22 @@ from claimlens.plans import dashboard, kpis, quality, warehouse
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_DEFINITIONS: dict = {}
+
+
 def _wh(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    return warehouse.from_test_tables(spark, sf_dir)
+    """Lazy warehouse over the test tables, defined once per session and folder.
+
+    Only the (immutable) DataFrame definitions are reused, so repeated
+    queries skip re-analysing the wide raw-mapping projections; every
+    query still executes from the raw tables.
+    """
+    key = (id(spark), sf_dir)
+    hit = _DEFINITIONS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, warehouse.from_test_tables(spark, sf_dir))
+        _DEFINITIONS[key] = hit
+    return hit[1]
 
 
 def _fact(spark, sf_dir):
