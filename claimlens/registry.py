@@ -14,6 +14,9 @@ from claimlens.plans import dashboard, kpis, quality, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Registered queries that have no SQL oracle.
+NO_ORACLE: frozenset = frozenset()
+
 
 _DEFINITIONS: dict = {}
 
