@@ -10,7 +10,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlens.plans import dashboard, kpis, quality, warehouse
+from claimlens.plans import dashboard, kpis, quality, units, warehouse
+from claimlens.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,5 +95,46 @@ CHECKS: dict[str, Query] = {
 }
 
 
+_YEARLY: dict = {}
+
+
+def _yearly(spark: SparkSession, sf_dir: str):
+    key = (id(spark), sf_dir)
+    hit = _YEARLY.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, fixtures.beneficiary_files(spark, sf_dir))
+        _YEARLY[key] = hit
+    return hit[1]
+
+
+# One query per operator not isolated by a model.
+UNITS: dict[str, Query] = {
+    "scan_csv_claim_files": lambda s, d: units.csv_claim_files(s, _wh(s, d).segments),
+    "scan_yearly_union": lambda s, d: units.csv_yearly_files(s, _yearly(s, d)),
+    "sink_parquet_roundtrip": lambda s, d: units.parquet_roundtrip(s, _fact(s, d)),
+    "sink_partitioned_roundtrip": lambda s, d: units.partitioned_roundtrip(s, _fact(s, d)),
+    "sink_json_roundtrip": lambda s, d: units.json_roundtrip(s, _ar_matrix(s, d)),
+    "view_roundtrip": lambda s, d: units.view_roundtrip(s, _fact(s, d)),
+    "star_plus_expected": lambda s, d: units.star_plus_expected(_fact(s, d)),
+    "cols_by_prefix": lambda s, d: units.diagnosis_columns(_wh(s, d).segments),
+    "filter_not_null_provider": lambda s, d: units.segments_with_provider(_wh(s, d).segments),
+    "union_distinct_codes": lambda s, d: units.all_diagnosis_codes(_wh(s, d).segments),
+    "filter_range_circulatory": lambda s, d: units.circulatory_codes(_wh(s, d).dim_diagnosis),
+    "join_claim_adjudication": lambda s, d: units.adjudication_join(_wh(s, d).fact_base, _wh(s, d).carc_slots),
+    "join_denied_reason": lambda s, d: units.denied_with_reason(_fact(s, d), _wh(s, d).dim_carc_denials),
+    "scalar_as_of": lambda s, d: units.as_of(_wh(s, d).claim_detail),
+    "scalar_as_of_days": lambda s, d: units.as_of_days(_wh(s, d).fact_base, _wh(s, d).claim_detail),
+    "agg_row_counts": lambda s, d: units.source_row_counts(_wh(s, d).segments, _fact(s, d)),
+    "pivot_aging": lambda s, d: units.aging_pivot(_ar_matrix(s, d)),
+    "avg_paid_by_type": lambda s, d: kpis.avg_paid_by_type(_fact(s, d)),
+    "avg_paid_overall": lambda s, d: units.overall_avg_paid(_fact(s, d)),
+    "topk_reasons": lambda s, d: kpis.top_reasons(_top_carc(s, d, sort=False)),
+    "worst_providers": lambda s, d: kpis.worst_providers(_by_provider(s, d, sort=False)),
+    "weighted_code": lambda s, d: units.weighted_codes(_fact(s, d)),
+    "flag_count_yearly": lambda s, d: units.yearly_flag_counts(_wh(s, d).beneficiaries),
+    "keyword_bucket_documents": lambda s, d: units.document_buckets(s, d),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**MODELS, **CHECKS}
+    return {**MODELS, **CHECKS, **UNITS}
