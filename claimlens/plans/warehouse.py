@@ -9,9 +9,11 @@ from dataclasses import dataclass, field, replace
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimlens.plans import dims, fact as factmod
-from claimlens.session import new_scratch_path
+from claimlens.operators.joins import scalar
+from claimlens.session import cut_lineage, new_scratch_path
 from claimlens.sinks import write_parquet
 from claimlens.sources import fixtures
 
@@ -59,26 +61,53 @@ class Warehouse:
     # -- fact -----------------------------------------------------------------
     @property
     def carc_slots(self) -> DataFrame:
+        """Reason-code slot table (exactly ``CARC_SLOTS`` rows), built once and
+        checkpointed: every fact query broadcasts the stored rows."""
         def build():
             pool = factmod.carc_pool(factmod.carc_weights(self.spark), self.dim_carc_denials)
-            return factmod.carc_slots(pool)
+            return cut_lineage(factmod.carc_slots(pool))
         return self._get("carc_slots", build)
 
+    @property
+    def as_of_date(self):
+        """The as-of date: the given one, or the latest segment date computed
+        once per build (a checkpointed one-row relation used as a scalar)."""
+        if self.as_of is not None:
+            return self.as_of
+        def build():
+            return scalar(cut_lineage(self.claim_detail.agg(F.max("clm_thru_dt").alias("as_of"))))
+        return self._get("as_of_date", build)
+
     @property
     def fact(self) -> DataFrame:
         return self._get("fact", lambda: factmod.fact_claims(self.fact_base, self.carc_slots,
-                                                             self.as_of, self.claim_detail))
+                                                             self.as_of_date))
 
     TABLES = ("dim_patient", "dim_provider", "dim_diagnosis", "dim_carc_denials", "fact")
 
+    def land(self, root: str | None = None) -> "Warehouse":
+        """Write the raw segments once as Parquet (the landing copy) and return
+        a warehouse whose models all read that copy: the raw parse (or, for
+        the test tables, the derivation join) runs once, and every later scan
+        prunes columns and pushes filters."""
+        root = root or new_scratch_path(self.spark, "landing")
+        path = write_parquet(self.segments, f"{root}/claim_segments")
+        segments = self.spark.read.parquet(path)
+        return Warehouse(self.spark, segments, self.beneficiaries, self.carc_lookup_raw, self.as_of)
+
     def materialize(self, root: str | None = None,
                     tables: Sequence[str] = TABLES,
-                    partition_fact_by: str | None = "claim_type") -> "Warehouse":
+                    partition_fact_by: str | None = "claim_type",
+                    land_segments: bool = False) -> "Warehouse":
         """Write the listed relations as Parquet and return a warehouse reading them.
 
-        The fact is partitioned by claim type (K4) like the original layout.
+        The raw segments are landed first (see ``land``) so the dimensions and
+        the fact share one pass over the raw input. The fact is partitioned
+        by claim type (K4) like the original layout.
         """
         root = root or new_scratch_path(self.spark, "warehouse")
+        if land_segments:
+            return self.land(root).materialize(root, tables, partition_fact_by, land_segments=False)
         cache = dict(self._cache)
         for name in tables:
             path = f"{root}/{name}"

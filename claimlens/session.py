@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -48,3 +48,14 @@ def scratch_dir(spark: SparkSession) -> str:
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch folder."""
     return f"{scratch_dir(spark)}/claimlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (eager).
+
+    For small relations derived once per warehouse build (the as-of date,
+    the reason-code slot table): later queries read the stored rows instead
+    of re-running the plan, and a lost executor cannot lose them.
+    """
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
