@@ -1,0 +1 @@
+"""Models: dimensions, fact, KPIs, quality checks, dashboard, warehouse."""

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The original pipeline is two full-refresh batch jobs: no watermark,
+event-time window, stateful operator or late-data rule exists in it, so
+there is nothing to re-express with Structured Streaming. Every model is a
+plain DataFrame function, so the models can be applied to the micro-batches
+of a ``foreachBatch`` sink if incremental loading is ever needed.
+"""
