@@ -46,15 +46,49 @@ class SchemaTest:
         raise ValueError(f"unknown test {self.test}")
 
 
+def _column_results(df: DataFrame, column: str, tests: Sequence[SchemaTest]) -> DataFrame:
+    """Failing counts of every test on one column, in one pass.
+
+    ``not_null`` alone is a filtered count (no shuffle). When a ``unique`` or
+    ``accepted_values`` test is present, one per-value count (partially
+    aggregated before its shuffle, so a hot value costs one row per task)
+    answers all tests of the column at once.
+    """
+    c = F.col(column)
+    kinds = {t.test for t in tests}
+    if kinds == {"not_null"}:
+        agg = df.agg(F.count_if(c.isNull()).alias("not_null"))
+    else:
+        per_value = df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        v, n = F.col("v"), F.col("n")
+        parts = []
+        for t in tests:
+            if t.test == "not_null":
+                parts.append(F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("not_null"))
+            elif t.test == "unique":
+                parts.append(F.count_if(v.isNotNull() & (n > 1)).alias("unique"))
+            elif t.test == "accepted_values":
+                parts.append(F.count_if(v.isNotNull() & ~v.isin(list(t.values))).alias("accepted_values"))
+            else:
+                raise ValueError(f"unknown test {t.test}")
+        agg = per_value.agg(*parts)
+    rows = [F.struct(F.lit(t.test).alias("test"), F.col(t.test).cast("long").alias("n_failing"))
+            for t in tests]
+    return agg.select(F.inline(F.array(*rows)))
+
+
 def test_report(relations: dict[str, DataFrame], tests: Sequence[SchemaTest]) -> DataFrame:
     """Q7-style report: one row ``(relation, column, test, n_failing)`` per test.
 
-    Each test is an aggregate over its relation; the union is one job.
+    The failing count of a test equals the number of rows its failing-row
+    query returns (``failures``); tests on the same column share one pass.
     """
-    out = None
+    groups: dict[tuple[str, str], list[SchemaTest]] = {}
     for t in tests:
-        part = t.failures(relations[t.relation]).agg(F.count(F.lit(1)).alias("n_failing"))
-        part = part.select(F.lit(t.relation).alias("relation"), F.lit(t.column).alias("column"),
-                           F.lit(t.test).alias("test"), F.col("n_failing"))
+        groups.setdefault((t.relation, t.column), []).append(t)
+    out = None
+    for (relation, column), group in groups.items():
+        part = _column_results(relations[relation], column, group).select(
+            F.lit(relation).alias("relation"), F.lit(column).alias("column"), "test", "n_failing")
         out = part if out is None else out.unionByName(part)
     return out

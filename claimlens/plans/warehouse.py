@@ -16,6 +16,7 @@ from claimlens.operators.joins import scalar
 from claimlens.session import cut_lineage, new_scratch_path
 from claimlens.sinks import write_parquet
 from claimlens.sources import fixtures
+from claimlens.sources.files import read_claim_files, read_lookup, read_yearly
 
 
 @dataclass
@@ -101,9 +102,10 @@ class Warehouse:
                     land_segments: bool = False) -> "Warehouse":
         """Write the listed relations as Parquet and return a warehouse reading them.
 
-        The raw segments are landed first (see ``land``) so the dimensions and
-        the fact share one pass over the raw input. The fact is partitioned
-        by claim type (K4) like the original layout.
+        With ``land_segments`` the raw segments are landed first (see
+        ``land``), so the dimensions and the fact share one parse of raw text
+        files. The fact is partitioned by claim type (K4) like the original
+        layout.
         """
         root = root or new_scratch_path(self.spark, "warehouse")
         if land_segments:
@@ -131,3 +133,15 @@ def from_test_tables(spark: SparkSession, sf_dir: str, as_of=None) -> Warehouse:
     return from_raw(spark, fixtures.claim_segments(spark, sf_dir),
                     fixtures.beneficiary_files(spark, sf_dir),
                     fixtures.carc_lookup_raw(spark), as_of)
+
+
+def from_files(spark: SparkSession, inpatient_path: str, outpatient_path: str,
+               beneficiary_template: str, years, lookup_path: str,
+               lookup_format: str = "csv", as_of=None) -> Warehouse:
+    """Warehouse over the raw files: two all-text claim CSVs, one beneficiary
+    CSV per year (``beneficiary_template`` contains ``{year}``) and a
+    two-column reason-code lookup (CSV with header, or Parquet)."""
+    segments = read_claim_files(spark, inpatient_path, outpatient_path)
+    bene = read_yearly(spark, beneficiary_template, years)
+    lookup = read_lookup(spark, lookup_path, lookup_format)
+    return Warehouse(spark, segments, bene, lookup, as_of)
