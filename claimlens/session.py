@@ -36,7 +36,15 @@ def scratch_dir(spark: SparkSession) -> str:
     the session. Only when it is unset (local tests) a temporary folder is
     created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session exposes only the conf
+        sc = None
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return root.rstrip("/")
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="claimlens-ckpt-")
