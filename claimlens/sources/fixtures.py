@@ -114,6 +114,9 @@ def beneficiary_year(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
     for i, name in enumerate(flags, start=1):
         cols.append(F.when((c * i + year) % 7 == 0, F.lit("1")).otherwise(F.lit("2")).alias(name))
     cols.append(F.lit(year).alias("SNAPSHOT_YEAR"))
+    # Planted gaps, not sampling: every fourth customer-year has no snapshot
+    # (so the latest year varies), and customers ending in 99 have none at
+    # all (their claims become orphans for the referential check).
     return cust.filter(((c + year) % 4 != 0) & (c % 100 != 99)).select(*cols)
 
 
