@@ -10,7 +10,7 @@ per-type average spread over n denied claims is applied as ``n * avg``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
@@ -133,17 +133,22 @@ def top_carc_denials(fact: DataFrame, dim_carc: DataFrame, sort: bool = True) ->
 
     The loss proxy is the overall paid average (all types, D21). The fact
     is reduced to one row per reason code first (partial aggregation makes
-    the NULL code of paid claims one row per task); the lookup joins only
-    that small result, dropping NULL and unmapped codes.
+    the NULL code of paid claims one row per task). That result is bounded
+    by the reason-code domain (codes come from the 100-slot table, plus
+    NULL), so the overall average is a window over it: the fact is read in
+    a single pass. The lookup joins only the small result, dropping NULL
+    and unmapped codes.
     """
     parts = (fact.groupBy("carc_code")
              .agg(F.count_if(_is(C.DENIED)).alias("n_denied"), *_paid_parts()))
-    overall = parts.agg(_avg_from_parts(F.sum("paid_sum"), F.sum("paid_n")).alias("avg_paid"))
-    per_code = parts.filter((F.col("n_denied") > 0) & F.col("carc_code").isNotNull())
+    every_code = Window.partitionBy(F.lit(0))  # at most one row per code
+    overall = _avg_from_parts(F.sum("paid_sum").over(every_code), F.sum("paid_n").over(every_code))
+    per_code = (parts.withColumn("avg_paid", overall)
+                .filter((F.col("n_denied") > 0) & F.col("carc_code").isNotNull()))
     out = (per_code.join(dim_carc, "carc_code", "inner")
            .select("carc_code", "description", "preventability_bucket",
                    F.col("n_denied").alias("denial_count"),
-                   round2(F.col("n_denied") * overall.scalar()).alias("estimated_financial_loss")))
+                   round2(F.col("n_denied") * F.col("avg_paid")).alias("estimated_financial_loss")))
     if sort:
         out = out.orderBy(F.col("estimated_financial_loss").desc_nulls_last(),
                           F.col("carc_code").asc_nulls_last())

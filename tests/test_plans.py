@@ -92,3 +92,10 @@ def test_kpis_never_join_the_fact_to_itself(spark, fresh):
                    kpis.clean_claim_rate(fresh.fact)):
             assert "SortMergeJoin" in physical(df)  # only the raw segment join
             assert physical(df).count("SortMergeJoin") == 1
+
+
+def test_single_pass_kpis_scan_raw_once(spark, fresh):
+    for df in (kpis.header_cards(fresh.fact), kpis.claim_type_summary(fresh.fact),
+               kpis.top_carc_denials(fresh.fact, fresh.dim_carc_denials, sort=False),
+               kpis.clean_claim_rate(fresh.fact)):
+        assert physical(df).count("lineitem.parquet") == 1
