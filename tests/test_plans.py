@@ -99,3 +99,10 @@ def test_single_pass_kpis_scan_raw_once(spark, fresh):
                kpis.top_carc_denials(fresh.fact, fresh.dim_carc_denials, sort=False),
                kpis.clean_claim_rate(fresh.fact)):
         assert physical(df).count("lineitem.parquet") == 1
+
+
+def test_stored_fact_pushes_status_filter(spark, fresh):
+    from pyspark.sql import functions as F
+    stored = fresh.materialize(tables=("fact",))
+    plan = physical(stored.fact.filter(F.col("adjudication_status") == "Denied"))
+    assert "PushedFilters: [IsNotNull(adjudication_status), EqualTo(adjudication_status,Denied)]" in plan
