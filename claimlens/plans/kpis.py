@@ -167,14 +167,20 @@ def preventability_mix(top_carc: DataFrame) -> DataFrame:
 
 # -- M11 -------------------------------------------------------------------------
 
-def header_cards(fact: DataFrame) -> DataFrame:
+def header_cards(fact: DataFrame, scope: str = "all") -> DataFrame:
     """Expected revenue, net collection ratio, clean rate, overdue A/R.
 
     Expected amount: paid amount of a paid claim, the type's paid average
-    for a denied one; claims of a type without paid claims drop out (D22),
-    but the clean rate counts every claim (D10). One pass: per-type parts,
-    then a global aggregate over at most one row per claim type.
+    for a denied one; claims of a type without paid claims drop out (D22).
+    ``scope="all"`` (default, D10/D11): the clean rate counts every claim and
+    the overdue amount is rounded. ``scope="joined"`` is the warehouse-mart
+    variant: the clean rate counts only claims of types with an average and
+    the overdue amount is not rounded. With no overdue denial it is NULL.
+    One pass: per-type parts, then a global aggregate over at most one row
+    per claim type.
     """
+    if scope not in ("all", "joined"):
+        raise ValueError(f"unknown scope {scope!r}")
     paid, denied = _is(C.PAID_FIRST_PASS), _is(C.DENIED)
     t = fact.groupBy("claim_type").agg(
         _count_all().alias("n_all"),
@@ -188,14 +194,21 @@ def header_cards(fact: DataFrame) -> DataFrame:
     avg = _avg_from_parts(F.col("paid_sum"), F.col("paid_n"))
     expected = F.col("paid_sum").cast("double") + F.col("n_denied") * avg
     total_expected = F.sum(F.when(has_avg, expected))
+    overdue = F.sum(F.when(has_avg & (F.col("n_overdue") > 0), F.col("n_overdue") * avg))
+    if scope == "all":
+        clean = pct(F.sum("n_paid"), F.sum("n_all"))
+        overdue = round2(overdue)
+    else:
+        clean = pct(F.sum(F.when(has_avg, F.col("n_paid"))), F.sum(F.when(has_avg, F.col("n_all"))))
     return t.agg(
         total_expected.alias("total_expected_revenue"),
         F.try_divide(F.sum(F.when(has_avg, F.col("billed_sum"))).cast("double") * F.lit(100.0),
                      F.nullif(total_expected, F.lit(0.0))).alias("net_collection_ratio_pct"),
-        pct(F.sum("n_paid"), F.sum("n_all")).alias("clean_claim_rate_pct"),
-        round2(F.sum(F.when(has_avg, F.col("n_overdue") * avg))).alias("overdue_ar_90plus"),
+        clean.alias("clean_claim_rate_pct"),
+        overdue.alias("overdue_ar_90plus"),
     )
 
+
 # -- M14 -------------------------------------------------------------------------
 
 def provider_extremes(by_provider: DataFrame, min_claims: int = C.MIN_CLAIMS_FOR_EXTREMES,

@@ -67,6 +67,7 @@ MODELS: dict[str, Query] = {
     "kpi_ar_aging_matrix": _ar_matrix,
     "kpi_top_carc_denials": _top_carc,
     "kpi_header_cards": lambda s, d: kpis.header_cards(_fact(s, d)),
+    "kpi_header_cards_joined": lambda s, d: kpis.header_cards(_fact(s, d), scope="joined"),
     "kpi_preventability_mix": lambda s, d: kpis.preventability_mix(_top_carc(s, d, sort=False)),
     "kpi_ar_aging_totals": lambda s, d: kpis.ar_aging_totals(_ar_matrix(s, d)),
     "kpi_provider_extremes": lambda s, d: kpis.provider_extremes(_by_provider(s, d, sort=False)),

@@ -168,3 +168,15 @@ def test_lookup_cleaning(spark):  # S4, X10
     assert "45" in out and None not in out
     assert out["A1"].preventability_bucket == "Preventable - Process"
     assert out["ZZ"].preventability_bucket == C.UNCLASSIFIED
+
+
+def test_header_scopes_and_no_overdue(spark):  # D10, D11
+    rows = [seg("1", "0", "Inpatient", start="20100301", end="20100302"),
+            seg("2", "100", "Outpatient", start="20100301", end="20100302"),
+            seg("3", "0", "Outpatient", start="20100301", end="20100302")]
+    wh = build(spark, rows)
+    a = kpis.header_cards(wh.fact).first()
+    j = kpis.header_cards(wh.fact, scope="joined").first()
+    assert a.overdue_ar_90plus is None and j.overdue_ar_90plus is None  # no claim is 90+ days old
+    assert a.clean_claim_rate_pct == pytest.approx(100 / 3)   # every claim
+    assert j.clean_claim_rate_pct == pytest.approx(100 / 2)   # claims of types with an average
