@@ -180,3 +180,27 @@ def test_header_scopes_and_no_overdue(spark):  # D10, D11
     assert a.overdue_ar_90plus is None and j.overdue_ar_90plus is None  # no claim is 90+ days old
     assert a.clean_claim_rate_pct == pytest.approx(100 / 3)   # every claim
     assert j.clean_claim_rate_pct == pytest.approx(100 / 2)   # claims of types with an average
+
+
+def test_checked_broadcast_falls_back_above_bound(spark):
+    from claimlens.operators.joins import broadcast_if_small
+    small = spark.range(5).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    with_hint = broadcast_if_small(small, 10)
+    without = broadcast_if_small(big, 10)
+    plan = lambda df: spark.range(2000).withColumnRenamed("id", "k").join(df, "k")._jdf \
+        .queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(with_hint).lower()
+    assert "strategy=broadcast" not in plan(without).lower()
+
+
+def test_extremes_with_few_providers(spark):  # D26
+    from claimlens.plans.kpis import provider_extremes
+    rows = [(f"P{i:02d}", 20 + i, float(i)) for i in range(12)] + [(None, 50, 5.5)]
+    by_provider = spark.createDataFrame(
+        rows, "provider_id string, total_claims long, clean_claim_rate_pct double")
+    out = provider_extremes(by_provider).collect()
+    groups = [r.rank_group for r in out]
+    assert len(out) == 13
+    assert groups.count("Bottom 10") == 10 and groups.count("Top 10") == 3
+    assert {r.provider_id for r in out if r.rank_group == "Top 10"} == {"P11", "P10", "P09"}
