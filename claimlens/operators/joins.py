@@ -42,20 +42,27 @@ def anti_join(left: DataFrame, right: DataFrame, left_key: str,
               right_key: str | None = None) -> DataFrame:
     """Rows of ``left`` whose key has no match in ``right``.
 
-    A NULL key never matches, so such rows are kept, exactly like a LEFT
-    JOIN followed by ``right.key IS NULL``. Written as an anti join because
-    Catalyst does not rewrite the outer-join form. Only the key column of
-    ``right`` is read; a skewed left key is split by AQE's skew handling.
+    Same result as a LEFT JOIN followed by ``right.key IS NULL`` (written as
+    an anti join because Catalyst does not rewrite that form). A NULL key
+    never matches, so NULL-keyed rows bypass the join: a NULL key holding a
+    large share of the rows is never shuffled into one partition. A hot
+    non-NULL key is left to AQE's skew-join split. Only the key column of
+    ``right`` is read.
     """
     right_key = right_key or left_key
-    keys = right.select(F.col(right_key).alias("__rk"))
-    return left.join(keys, left[left_key] == keys["__rk"], "left_anti")
+    keys = right.select(F.col(right_key).alias("__rk")).filter(F.col("__rk").isNotNull())
+    present = left.filter(F.col(left_key).isNotNull())
+    missing = present.join(keys, present[left_key] == keys["__rk"], "left_anti")
+    return left.filter(F.col(left_key).isNull()).unionByName(missing)
 
 
 def anti_join_non_null(left: DataFrame, right: DataFrame, left_key: str,
                        right_key: str | None = None) -> DataFrame:
     """Rows with a non-NULL key that has no match in ``right``."""
-    return anti_join(left.filter(F.col(left_key).isNotNull()), right, left_key, right_key)
+    right_key = right_key or left_key
+    keys = right.select(F.col(right_key).alias("__rk")).filter(F.col("__rk").isNotNull())
+    present = left.filter(F.col(left_key).isNotNull())
+    return present.join(keys, present[left_key] == keys["__rk"], "left_anti")
 
 
 def scalar(df: DataFrame) -> Column:

@@ -16,7 +16,7 @@ from claimlens.operators.aggregates import (
 from claimlens.operators.joins import bounded_broadcast, broadcast_if_small, inner_join, scalar
 from claimlens.plans import fact as factmod, kpis
 from claimlens.session import new_scratch_path
-from claimlens.sinks import create_view, materialize, write_json, write_parquet
+from claimlens.sinks import materialize, write_json, write_parquet
 from claimlens.sources import fixtures
 from claimlens.sources.files import read_claim_files, read_yearly
 
