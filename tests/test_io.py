@@ -41,3 +41,25 @@ def test_land_then_materialize(spark, wh):
     assert stored.dim_provider.count() == wh.dim_provider.count()
     # the fact is stored partitioned by claim type
     assert stored.fact.filter(F.col("claim_type") == "Inpatient").count() > 0
+
+
+def test_lookup_sink_and_parquet_lookup(spark, wh):  # K5, S4
+    from claimlens.sinks import write_lookup
+    from claimlens.sources.files import read_lookup
+    path = write_lookup(wh.dim_carc_denials.select("carc_code", "description"),
+                        new_scratch_path(spark, "carc"))
+    files = [f for f in os.listdir(path.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 1
+    back = read_lookup(spark, path, "parquet")
+    assert sorted(back.collect()) == sorted(wh.dim_carc_denials.select("carc_code", "description").collect())
+
+
+def test_materialize_view_and_table(spark, wh):  # K1, K7
+    from claimlens.sinks import materialize
+    v = materialize(wh.dim_provider, "claimlens_dim_provider_view", "view")
+    t = materialize(wh.dim_provider, "claimlens_dim_provider_table", "table",
+                    path=new_scratch_path(spark, "dim_provider"))
+    assert spark.table("claimlens_dim_provider_view").count() == v.count()
+    assert "FileScan parquet" in spark.table("claimlens_dim_provider_table")._jdf \
+        .queryExecution().executedPlan().toString()
+    assert t.count() == v.count()
