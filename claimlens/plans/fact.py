@@ -13,7 +13,7 @@ from claimlens.functions.exprs import (
     adjudication_status, aging_bucket, days_between, hash_slot, money_sum,
     parse_double, parse_yyyymmdd,
 )
-from claimlens.operators.joins import bounded_broadcast, scalar
+from claimlens.operators.joins import scalar
 from claimlens.sources.files import literal_table
 
 FACT_COLUMNS = (
@@ -130,15 +130,26 @@ def as_of_date(claims: DataFrame) -> Column:
     return scalar(claims.agg(F.max("clm_thru_dt").alias("as_of")))
 
 
+def slot_codes(slots: DataFrame) -> Column:
+    """The slot table as one array (index = slot), read as a scalar subquery.
+
+    Exactly ``CARC_SLOTS`` entries, so the value is bounded by construction.
+    """
+    entries = F.struct(F.col("slot").cast("int").alias("slot"), F.col("carc_code"))
+    return scalar(slots.agg(F.sort_array(F.collect_list(entries)).alias("codes")))
+
+
 def fact_claims(base: DataFrame, slots: DataFrame,
                 as_of: dt.date | str | Column | None = None,
                 detail: DataFrame | None = None) -> DataFrame:
     """M6: one row per claim with status, reason code, age and aging bucket.
 
     A claim with NULL or zero payment is denied and draws its reason code
-    from the slot table by the md5 slot of its claim id (deterministic, so
-    task retries and recomputation give the same code). The slot table has
-    a fixed number of rows and is broadcast; the fact side never shuffles.
+    from the slot table by the md5 slot of its claim id. The draw is
+    deterministic, so task retries and recomputation give the same code. It
+    is a plain expression (an index into the 100-entry slot array), so the
+    fact needs no join, and a query that never reads ``carc_code`` prunes
+    the draw entirely.
     """
     if as_of is None:
         as_of_col = as_of_date(detail if detail is not None else base)
@@ -147,12 +158,10 @@ def fact_claims(base: DataFrame, slots: DataFrame,
     else:
         as_of_col = F.lit(str(as_of)).cast("date")
     status = adjudication_status("clm_pmt_amt")
+    drawn = F.try_element_at(slot_codes(slots), (hash_slot("claim_id") + 1).cast("int"))
     f = (base.withColumn("adjudication_status", status)
-             .withColumn("__slot", F.when(F.col("adjudication_status") == C.DENIED,
-                                          hash_slot("claim_id"))))
-    lookup = bounded_broadcast(slots.select(F.col("slot").cast("bigint").alias("__slot"),
-                                            F.col("carc_code")))
-    f = f.join(lookup, "__slot", "left")
+             .withColumn("carc_code", F.when(F.col("adjudication_status") == C.DENIED,
+                                             drawn.getField("carc_code"))))
     # Days as a column first: the bucket then reads it instead of repeating
     # the date difference (and its subquery) in every branch.
     f = f.withColumn("days_since_submission", days_between("clm_from_dt", as_of_col))

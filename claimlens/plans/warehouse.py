@@ -63,7 +63,7 @@ class Warehouse:
     @property
     def carc_slots(self) -> DataFrame:
         """Reason-code slot table (exactly ``CARC_SLOTS`` rows), built once and
-        checkpointed: every fact query broadcasts the stored rows."""
+        checkpointed: every fact query reads the stored rows as one array."""
         def build():
             pool = factmod.carc_pool(factmod.carc_weights(self.spark), self.dim_carc_denials)
             return cut_lineage(factmod.carc_slots(pool))

@@ -46,11 +46,16 @@ def test_rollup_reuses_join_partitioning(spark, fresh):
     assert plan.count("Exchange hashpartitioning") == 2, plan
 
 
-def test_fact_broadcasts_only_the_slot_table(spark, fresh):
+def test_fact_needs_no_join_beyond_the_segments(spark, fresh):
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         plan = physical(fresh.fact)
-    assert plan.count("BroadcastExchange") == 1
-    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan
+    assert plan.count("SortMergeJoin") == 1  # the raw segment join only
+
+
+def test_reason_draw_pruned_when_unused(fresh):
+    assert "md5" not in optimized(kpis.clean_claim_rate(fresh.fact))
+    assert "md5" in optimized(kpis.top_carc_denials(fresh.fact, fresh.dim_carc_denials))
 
 
 def test_days_computed_once(fresh):
