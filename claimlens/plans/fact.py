@@ -104,8 +104,8 @@ def carc_slots(pool: DataFrame, slots: int = C.CARC_SLOTS) -> DataFrame:
     Code i owns the slots h with ``lo_i / total <= h / slots < hi_i / total``,
     where [lo_i, hi_i) is its cumulative weight range in pool order, so the
     draw follows the (renormalised) weights exactly. Turning the weight
-    ranges into slots lets the fact look codes up with an equi-join on a
-    broadcast ``slots``-row table instead of a range join.
+    ranges into slots lets the fact look a code up by position (an index
+    into the ``slots``-entry array) instead of a range join.
     """
     ordered = Window.orderBy("ordinal")  # over the bounded pool only
     cum = pool.withColumn("hi", F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
