@@ -12,6 +12,8 @@ import pytest
 import __spark_entry__ as E
 
 ORACLE = E.oracle_sql()
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
+                 "double": "DOUBLE", "date": "DATE"}
 QUERIES = E.queries()
 
 
@@ -39,6 +41,9 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     cols = df.columns
     rows = sorted((tuple(_norm(v) for v in r) for r in df.collect()), key=_key)
+    rel = duck.sql(ORACLE[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == otypes
     cur = duck.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(ocols)
