@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from claimlens.llm import line_dedup, packing, toxicity
+from claimlens.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from claimlens.llm.common import stored, table
 
 
@@ -25,6 +24,19 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return line_dedup.dedup_lines(docs, keep_columns=True)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: that with the smallest doc_id.
+
+    Documents without words are in no class and stay.
+    """
+    return near_dedup.drop_near_copies(docs)
+
+
+def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents left, with the sequence and place of each."""
     return packing.best_fit_pack(docs)
@@ -34,6 +46,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("line_dedup", cut_repeated_lines),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaked),
     ("packing", pack),
 ]
 # SQL cannot express the trained classifier and the packing; tests/llm holds
