@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, line_dedup, near_dedup, packing, quality, toxicity
+from claimlens.llm import decontaminate, line_dedup, near_dedup, packing, quality, topk, toxicity, url_filter
 from claimlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,14 +33,36 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(100)) == 0)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_line_dedup, op3_decontamination, op4_best_fit_packing, op5_toxicity, op7_near_dedup, op10_quality)
+    found = (op1_line_dedup, op3_decontamination, op4_best_fit_packing, op5_toxicity, op7_near_dedup, op8_topk, op9_url_filter,
+             op10_quality)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_topk": OP8_SQL}
