@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, line_dedup, near_dedup, packing, quality, topk, toxicity, url_filter
+from claimlens.llm import decontaminate, line_dedup, near_dedup, packing, quality, topk, toxicity, url_filter, warc
 from claimlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_line_dedup, op3_decontamination, op4_best_fit_packing, op5_toxicity, op7_near_dedup, op8_topk, op9_url_filter,
+    found = (op1_line_dedup, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc, op7_near_dedup, op8_topk, op9_url_filter,
              op10_quality)
     return {f.__name__: f for f in found}
 
