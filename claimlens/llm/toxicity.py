@@ -16,6 +16,7 @@ word's share being computed once per worker and then looked up.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import WORD, fold, map_arrow, texts
+from claimlens.llm.common import WORD, fold, map_arrow, stored, texts
 
 LENGTHS = (2, 3, 4, 5, 6)
 MAX_PER_CLASS = 3000
@@ -63,52 +64,65 @@ def training_ids(docs: DataFrame, labels: DataFrame, label: str, per_class: int)
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
           per_class: int = MAX_PER_CLASS) -> tuple[dict[str, float], float]:
-    """Weights by n-gram and the bias. Without labels of both classes: none, and the prior."""
+    """Weights by n-gram and the bias. Without labels of both classes: none, and the prior.
+
+    The driver gets the chosen n-grams (at most MAX_FEATURES) and the training
+    documents' counts of these; all n-grams are counted in Spark.
+    """
     # At most 2 * per_class ids: a proven bound for the broadcast.
     ids = F.broadcast(training_ids(docs, labels, label, per_class))
     picked = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.col("text").cast("string").alias("text"))
-    picked = picked.join(ids, "t_id").dropDuplicates(["t_id"])
+    picked = stored(picked.join(ids, "t_id").dropDuplicates(["t_id"]).select("t_label", "text"), "training")
+    sizes = dict(picked.groupBy("t_label").count().collect())
+    if not sizes.get(0) or not sizes.get(1):
+        return {}, (4.0 if sizes.get(1) else -4.0)
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts = (Counter(), Counter())
+        for y, t in zip(batch.column("t_label").to_pylist(), texts(batch)):
+            for w in words_of(t):
+                counts[y].update(grams(w))
+        found = sorted(counts[0].keys() | counts[1].keys())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.string()), *(pa.array([c[g] for g in found], pa.int64()) for c in counts)],
+            names=["gram", "c0", "c1"])
+
+    counted = stored(map_arrow(picked, count, "gram string, c0 long, c1 long").groupBy("gram")
+                     .agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "grams")
+    # Shares of all n-grams of the class, so that a class of longer texts is not favoured.
+    of = counted.agg(F.sum("c0").alias("m0"), F.sum("c1").alias("m1"), F.count(F.lit(1)).alias("n")).first()
+    if not of["n"]:
+        return {}, 0.0
+    mass = math.log((of["m1"] + ALPHA * of["n"]) / (of["m0"] + ALPHA * of["n"]))
+    c1, c0 = F.col("c1") + F.lit(ALPHA), F.col("c0") + F.lit(ALPHA)
+    chosen = (counted.filter(F.col("c0") + F.col("c1") >= MIN_DOCS)
+              .withColumn("ratio", F.log(c1 / c0) - F.lit(mass))
+              .withColumn("z", F.abs("ratio") / F.sqrt(1 / c1 + 1 / c0))
+              .filter((F.col("ratio") >= MIN_RATIO) & (F.col("z") >= MIN_Z))
+              .orderBy(F.col("z").desc(), "gram").limit(MAX_FEATURES).select("gram", "ratio").collect())
+    ratio = {r["gram"]: (i, r["ratio"]) for i, r in enumerate(chosen)}
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = ["\n".join(sorted(words_of(t))) for t in texts(batch)]
-        return pa.RecordBatch.from_arrays([batch.column("t_label"), pa.array(found)], names=["y", "words"])
-
-    rows = map_arrow(picked, features, "y int, words string").toPandas()
-    rows = rows.sort_values(["words", "y"], kind="stable")
-    y = rows["y"].to_numpy(float)
-    n1, n0 = y.sum(), (1 - y).sum()
-    if not n1 or not n0:
-        return {}, (4.0 if n1 else -4.0)
-    by_word: dict[str, set[str]] = {}
-    counts = (Counter(), Counter())
-    for words, k in zip(rows["words"], y):
-        for w in words.split("\n"):
-            if w:
-                counts[int(k)].update(by_word.get(w) or by_word.setdefault(w, grams(w)))
-    # Shares of all n-grams of the class, so that a class of longer texts is not favoured.
-    vocabulary = counts[0].keys() | counts[1].keys()
-    mass = np.log((sum(counts[1].values()) + ALPHA * len(vocabulary)) / (sum(counts[0].values()) + ALPHA * len(vocabulary)))
-    weighed = []
-    for g in vocabulary:
-        c1, c0 = counts[1][g], counts[0][g]
-        if c1 + c0 >= MIN_DOCS:
-            ratio = np.log((c1 + ALPHA) / (c0 + ALPHA)) - mass
-            z = abs(ratio) / np.sqrt(1 / (c1 + ALPHA) + 1 / (c0 + ALPHA))
-            if ratio >= MIN_RATIO and z >= MIN_Z:
-                weighed.append((-z, g, ratio))
-    weighed.sort()
-    ratio = {g: (i, r) for i, (_, g, r) in enumerate(weighed[:MAX_FEATURES])}
-    place, which, value = [], [], []
-    for i, words in enumerate(rows["words"]):
-        seen = Counter()
-        for w in words.split("\n"):
-            if w:
-                seen.update(by_word[w] & ratio.keys())
-        for g, n in sorted(seen.items()):
-            place.append(i)
-            which.append(ratio[g][0])
-            value.append(n * ratio[g][1])
-    w, bias = _logistic(np.array(place, np.int64), np.array(which, np.int64), np.array(value), y, len(ratio))
+        which, value = [], []
+        for t in texts(batch):
+            seen = Counter()
+            for w in words_of(t):
+                seen.update(ratio[g][0] for g in grams(w) if g in ratio)
+            which.append(sorted(seen))
+            value.append([seen[i] for i in which[-1]])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("t_label"), pa.array(which, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.int32()))],
+            names=["y", "which", "value"])
+
+    rows = map_arrow(picked, features, "y int, which array<int>, value array<int>").toPandas()
+    # One order, whatever partition a document came from, so that sums repeat to the last bit.
+    rows = rows.assign(key=[(int(y), *a, *b) for y, a, b in zip(rows["y"], rows["which"], rows["value"])])
+    rows = rows.sort_values("key", kind="stable")
+    place = np.repeat(np.arange(len(rows)), [len(a) for a in rows["which"]])
+    which = np.concatenate([np.asarray(a, np.int64) for a in rows["which"]])
+    value = np.concatenate([np.asarray(a, float) for a in rows["value"]])
+    ratios = np.array([r for _, r in ratio.values()])
+    w, bias = _logistic(place, which, value * (ratios[which] if len(ratios) else 1), rows["y"].to_numpy(float), len(ratio))
     return {g: float(w[i] * r) for g, (i, r) in ratio.items() if w[i] * r}, bias
 
 
