@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, line_dedup, near_dedup, packing, quality, topk, toxicity, url_filter, warc
+from claimlens.llm import decontaminate, line_dedup, lm, near_dedup, packing, quality, topk, toxicity, url_filter, warc
 from claimlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,7 +67,7 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_line_dedup, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc, op7_near_dedup, op8_topk, op9_url_filter,
+    found = (op1_line_dedup, op2_lm_score, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc, op7_near_dedup, op8_topk, op9_url_filter,
              op10_quality)
     return {f.__name__: f for f in found}
 
