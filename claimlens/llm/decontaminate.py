@@ -167,6 +167,8 @@ class Index:
         if threshold != getattr(self, "split_for", None):
             self._split_lists(threshold)
             self.split_for = threshold
+        if not self.items:
+            return np.zeros(0, np.int64)
         on = (ids >= 0) & self.short[ids]
         n = len(self.items)
         own = chunk[on] * n + ids[on]
