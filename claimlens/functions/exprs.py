@@ -42,8 +42,8 @@ def parse_int(c: ColumnOrName) -> Column:
 
 
 def strip_text(c: ColumnOrName) -> Column:
-    """Text of a value with surrounding whitespace removed."""
-    return F.regexp_replace(col(c).cast("string"), r"^\s+|\s+$", "")
+    """Text of a value with surrounding white space removed, no-break spaces too."""
+    return F.regexp_replace(col(c).cast("string"), r"(?U)^\s+|\s+$", "")
 
 
 # -- beneficiary attributes (X5, X11-X13) ------------------------------------
@@ -90,14 +90,13 @@ def adjudication_status(paid_amount: ColumnOrName) -> Column:
     return F.when(amt.isNull() | (amt == F.lit(0.0)), C.DENIED).otherwise(C.PAID_FIRST_PASS)
 
 
-def hash_slot(key: ColumnOrName, slots: int = C.CARC_SLOTS) -> Column:
-    """Repeatable slot in ``[0, slots)`` from the first 32 bits of md5(key).
+def hash32(key: ColumnOrName) -> Column:
+    """The first 32 bits of md5(key) as a whole number.
 
     Depends on the key alone, so a recomputed partition draws the same
     value (unlike ``rand``), and both SQL engines can evaluate it.
     """
-    first32 = F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10)
-    return first32.cast("bigint") % F.lit(slots)
+    return F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
 # -- diagnosis codes (F3, X6, X7, X17) ---------------------------------------
@@ -160,19 +159,47 @@ def null_to_zero(c: ColumnOrName, zero=0) -> Column:
 MONEY = DecimalType(C.MONEY_PRECISION, C.MONEY_SCALE)
 
 
-def money(c: ColumnOrName, scale: int = C.MONEY_SCALE) -> Column:
-    """Amount as a fixed-point DECIMAL for exact, order-free sums.
+def _exact(amount: Column) -> Column:
+    """The amount as MONEY, NULL where that would change its value."""
+    fixed = amount.try_cast(MONEY)
+    return F.when(fixed.cast("double") == amount.cast("double"), fixed)
 
-    A value that does not fit (malformed input) becomes NULL (D9).
+
+def money_parts(c: ColumnOrName, name: str, where: Column | None = None) -> list[Column]:
+    """Aggregates that ``money_value`` and ``money_total`` turn into the sum of an amount.
+
+    The exact sum, the plain sum, and how many non-NULL amounts the exact one
+    cannot hold (very large or small ones, NaN). Partial sums add up, so
+    pre-aggregates carry these three columns.
     """
-    return col(c).try_cast(DecimalType(C.MONEY_PRECISION, scale))
+    amount = col(c) if where is None else F.when(where, col(c))
+    exact = _exact(amount)
+    return [F.sum(exact).alias(f"{name}_exact"), F.sum(amount.cast("double")).alias(f"{name}_plain"),
+            F.count_if(amount.isNotNull() & exact.isNull()).alias(f"{name}_odd")]
+
+
+def more_parts(name: str, where: Column | None = None) -> list[Column]:
+    """The parts of several groups' sums added up again."""
+    return [F.sum(F.when(where, F.col(x)) if where is not None else F.col(x)).alias(x)
+            for x in (f"{name}_exact", f"{name}_plain", f"{name}_odd")]
 
 
-def money_sum(c: ColumnOrName, scale: int = C.MONEY_SCALE) -> Column:
-    """Exact SUM of amounts, returned as DOUBLE (NULL when no value)."""
-    return F.sum(money(c, scale)).cast("double")
+def money_value(name: str) -> Column:
+    """The sum that a row's parts hold, as DOUBLE; decided by the amounts alone."""
+    return F.when(F.coalesce(F.col(f"{name}_odd"), F.lit(0)) == 0, F.col(f"{name}_exact").cast("double")).otherwise(
+        F.col(f"{name}_plain"))
+
+
+def money_sum(c: ColumnOrName, where: Column | None = None) -> Column:
+    """SUM of amounts as DOUBLE (NULL when no value); no amount is dropped or rounded.
+
+    Exact where every non-NULL amount of the group fits MONEY without loss,
+    else the plain double sum (NaN stays NaN).
+    """
+    exact, plain, odd = money_parts(c, "x", where)
+    return F.when(odd == 0, exact.cast("double")).otherwise(plain)
 
 
 def money_avg(c: ColumnOrName) -> Column:
-    """AVG of amounts: exact sum divided by the count of non-NULL values."""
+    """AVG of amounts over the rows that the sum holds: the non-NULL ones."""
     return F.try_divide(money_sum(c), F.count(col(c)).cast("double"))

@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.functions.exprs import money, null_to_zero
+from claimlens.functions.exprs import money_parts, money_value, null_to_zero
 
 
 def columns_with_prefix(df: DataFrame, prefix: str, limit: int | None = None) -> list[str]:
@@ -56,21 +56,19 @@ def row_counts(frames: dict[str, DataFrame], label_col: str = "metric",
 
 
 def pivot_fixed(df: DataFrame, key: str, pivot_col: str, values: Sequence[str],
-                value_col: str, total_col: str | None = None,
-                scale: int = 2) -> DataFrame:
+                value_col: str, total_col: str | None = None) -> DataFrame:
     """One row per ``key``, one column per listed pivot value.
 
     The pivot values are given, so Spark needs no extra job to discover
-    them; missing cells become 0 (X24). ``total_col`` adds the exact sum of
-    the cells (amounts with ``scale`` decimals).
+    them; missing cells become 0 (X24). ``total_col`` adds the sum of the
+    cells in the same aggregation (exact, see ``exprs.money_sum``).
     """
-    wide = df.groupBy(key).pivot(pivot_col, list(values)).agg(F.sum(value_col))
-    wide = wide.select(key, *[null_to_zero(F.col(f"`{v}`"), 0.0).alias(v) for v in values])
+    cells = [F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col(value_col))).alias(f"cell {i}")
+             for i, v in enumerate(values)]
+    listed = F.col(pivot_col).isin(*values)
+    total = money_parts(value_col, "total", listed) if total_col else []
+    wide = df.groupBy(key).agg(*cells, *total)
+    out = [F.col(key), *[null_to_zero(F.col(f"`cell {i}`"), 0.0).alias(v) for i, v in enumerate(values)]]
     if total_col:
-        total = None
-        for v in values:
-            term = money(F.col(f"`{v}`"), scale)
-            total = term if total is None else total + term
-        wide = wide.withColumn(total_col, total.cast("double"))
-    return wide
-
+        out.append(F.coalesce(money_value("total"), F.lit(0.0)).alias(total_col))
+    return wide.select(*out)

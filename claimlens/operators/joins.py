@@ -1,8 +1,8 @@
 """Join building blocks.
 
-Broadcasts are only placed on relations whose size is bounded: either by
-construction (a grouping over a closed domain, a literal table) or by an
-explicit row check with a shuffle join as the way beyond the bound.
+Broadcast hints are only placed on relations whose size is bounded by
+construction (a grouping over a closed domain, a literal table). All other
+joins leave the choice to Spark's byte threshold and to adaptive execution.
 """
 
 from __future__ import annotations
@@ -22,17 +22,6 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    relation is returned unhinted and Spark plans a shuffle join (AQE may
-    still switch to a broadcast from runtime statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def inner_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner equi-join on shared key column(s)."""
     return left.join(right, on, "inner")

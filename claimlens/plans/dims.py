@@ -37,9 +37,12 @@ def dim_patient(bene: DataFrame, ref_year: int = C.AGE_REFERENCE_YEAR) -> DataFr
     """M1: one row per beneficiary from its latest snapshot.
 
     ``bene`` is the union of the yearly files (text columns + SNAPSHOT_YEAR).
-    A flag column missing from a year counts as not set.
+    A flag column missing from a year counts as not set; one that no year has is an error.
     """
-    flags = [c for c in C.CHRONIC_FLAGS if c in bene.columns]
+    missing = [c for c in C.CHRONIC_FLAGS if c not in bene.columns]
+    if missing:
+        raise ValueError(f"no year has the flag columns {missing}")
+    flags = C.CHRONIC_FLAGS
     latest = latest_snapshot(bene)
     return latest.select(
         F.col("DESYNPUF_ID").alias("patient_id"),

@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from claimlens import constants as C
 from claimlens.functions.exprs import (
-    adjudication_status, aging_bucket, days_between, hash_slot, money_sum,
+    adjudication_status, aging_bucket, days_between, hash32, money_sum,
     parse_double, parse_yyyymmdd,
 )
 from claimlens.operators.joins import scalar
@@ -47,19 +47,26 @@ def fact_base(detail: DataFrame) -> DataFrame:
     """M5/A2: one row per claim from its segments.
 
     Attributes take the smallest non-NULL value (a stable "any value", D7);
-    dates span the segments; amounts are summed exactly. One shuffle on
-    ``claim_id`` with partial aggregation before it.
+    dates span the segments; amounts are summed exactly (``money_sum``).
+    Almost every claim has one segment, so combining before the shuffle
+    saves nothing and would sort the input twice: the segments are
+    partitioned by claim first, and both aggregation steps share that
+    exchange and one sort. Segments without a claim id would all meet in one
+    task, so they are combined on a branch of their own, map side first.
     """
-    return detail.groupBy("claim_id").agg(
-        F.min("patient_id").alias("patient_id"),
-        F.min("provider_id").alias("provider_id"),
-        F.min("claim_type").alias("claim_type"),
-        F.min("clm_from_dt").alias("clm_from_dt"),
-        F.max("clm_thru_dt").alias("clm_thru_dt"),
-        money_sum("clm_pmt_amt").alias("clm_pmt_amt"),
-        money_sum("primary_pyr_pd_amt").alias("primary_pyr_pd_amt"),
-        F.min("primary_diagnosis_code").alias("primary_diagnosis_code"),
-    )
+    def rollup(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("claim_id").agg(
+            F.min("patient_id").alias("patient_id"),
+            F.min("provider_id").alias("provider_id"),
+            F.min("claim_type").alias("claim_type"),
+            F.min("clm_from_dt").alias("clm_from_dt"),
+            F.max("clm_thru_dt").alias("clm_thru_dt"),
+            money_sum("clm_pmt_amt").alias("clm_pmt_amt"),
+            money_sum("primary_pyr_pd_amt").alias("primary_pyr_pd_amt"),
+            F.min("primary_diagnosis_code").alias("primary_diagnosis_code"),
+        )
+    known = F.col("claim_id").isNotNull()
+    return rollup(detail.filter(known).repartition("claim_id")).unionByName(rollup(detail.filter(~known)))
 
 
 _WEIGHT_SCHEMA = StructType([
@@ -98,26 +105,16 @@ def carc_pool(weights: DataFrame, dim_carc: DataFrame,
             .select(F.row_number().over(ranked).alias("ordinal"), "carc_code", "weight"))
 
 
-def carc_slots(pool: DataFrame, slots: int = C.CARC_SLOTS) -> DataFrame:
-    """Hash-slot table (slot, carc_code) with exactly ``slots`` rows.
+def carc_draws(pool: DataFrame) -> DataFrame:
+    """One row, ``codes``: each code of the pool as often as its weight, in pool order.
 
-    Code i owns the slots h with ``lo_i / total <= h / slots < hi_i / total``,
-    where [lo_i, hi_i) is its cumulative weight range in pool order, so the
-    draw follows the (renormalised) weights exactly. Turning the weight
-    ranges into slots lets the fact look a code up by position (an index
-    into the ``slots``-entry array) instead of a range join.
+    A hash h draws the entry ``h % size``, so a code owns exactly its share
+    of the total weight, (renormalised) over the codes of the pool, and every
+    code can be drawn. Weights are small whole numbers: the list has as many
+    entries as they add up to.
     """
-    ordered = Window.orderBy("ordinal")  # over the bounded pool only
-    cum = pool.withColumn("hi", F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    cum = cum.withColumn("total", F.sum("weight").over(Window.partitionBy(F.lit(0))))
-    lo = (F.col("hi") - F.col("weight")).cast("bigint")
-    hi = F.col("hi").cast("bigint")
-    total = F.col("total").cast("bigint")
-    start = F.floor((lo * slots + total - 1) / total)  # ceil(lo * slots / total)
-    end = F.floor((hi * slots + total - 1) / total)    # ceil(hi * slots / total)
-    ranges = cum.select("carc_code", start.cast("int").alias("s"), end.cast("int").alias("e"))
-    return (ranges.filter(F.col("e") > F.col("s"))
-            .select(F.explode(F.sequence(F.col("s"), F.col("e") - 1)).alias("slot"), "carc_code"))
+    entries = F.sort_array(F.collect_list(F.struct("ordinal", "carc_code", "weight")))
+    return pool.agg(F.flatten(F.transform(entries, lambda e: F.array_repeat(e["carc_code"], e["weight"]))).alias("codes"))
 
 
 def as_of_date(claims: DataFrame) -> Column:
@@ -130,26 +127,22 @@ def as_of_date(claims: DataFrame) -> Column:
     return scalar(claims.agg(F.max("clm_thru_dt").alias("as_of")))
 
 
-def slot_codes(slots: DataFrame) -> Column:
-    """The slot table as one array (index = slot), read as a scalar subquery.
-
-    Exactly ``CARC_SLOTS`` entries, so the value is bounded by construction.
-    """
-    entries = F.struct(F.col("slot").cast("int").alias("slot"), F.col("carc_code"))
-    return scalar(slots.agg(F.sort_array(F.collect_list(entries)).alias("codes")))
+def drawn_code(key: str, draws: DataFrame) -> Column:
+    """The code that the hash of ``key`` draws; the list is read by a scalar subquery."""
+    codes = scalar(draws)
+    return F.try_element_at(codes, (F.pmod(hash32(key), F.size(codes)) + 1).cast("int"))
 
 
-def fact_claims(base: DataFrame, slots: DataFrame,
+def fact_claims(base: DataFrame, draws: DataFrame,
                 as_of: dt.date | str | Column | None = None,
                 detail: DataFrame | None = None) -> DataFrame:
     """M6: one row per claim with status, reason code, age and aging bucket.
 
     A claim with NULL or zero payment is denied and draws its reason code
-    from the slot table by the md5 slot of its claim id. The draw is
-    deterministic, so task retries and recomputation give the same code. It
-    is a plain expression (an index into the 100-entry slot array), so the
-    fact needs no join, and a query that never reads ``carc_code`` prunes
-    the draw entirely.
+    by the md5 hash of its claim id. The draw is deterministic, so task
+    retries and recomputation give the same code. It is a plain expression
+    over the pool's list, so the fact needs no join, and a query that never
+    reads ``carc_code`` prunes the draw entirely.
     """
     if as_of is None:
         as_of_col = as_of_date(detail if detail is not None else base)
@@ -158,10 +151,9 @@ def fact_claims(base: DataFrame, slots: DataFrame,
     else:
         as_of_col = F.lit(str(as_of)).cast("date")
     status = adjudication_status("clm_pmt_amt")
-    drawn = F.try_element_at(slot_codes(slots), (hash_slot("claim_id") + 1).cast("int"))
     f = (base.withColumn("adjudication_status", status)
              .withColumn("carc_code", F.when(F.col("adjudication_status") == C.DENIED,
-                                             drawn.getField("carc_code"))))
+                                             drawn_code("claim_id", draws))))
     # Days as a column first: the bucket then reads it instead of repeating
     # the date difference (and its subquery) in every branch.
     f = f.withColumn("days_since_submission", days_between("clm_from_dt", as_of_col))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
-from claimlens.functions.exprs import money, pct, round2
+from claimlens.functions.exprs import money_parts, money_sum, money_value, more_parts, pct, round2
 from claimlens.operators.aggregates import pivot_fixed
 from claimlens.operators.joins import bounded_broadcast
 from claimlens.operators.ranking import top_k, two_sided_extremes
@@ -26,13 +26,13 @@ def _is(status: str) -> Column:
     return F.col("adjudication_status") == F.lit(status)
 
 def _paid_parts() -> list[Column]:
-    """Exact sum and count of paid amounts: the parts of the paid average."""
+    """Sum and count of paid amounts: the parts of the paid average (both over non-NULL amounts)."""
     paid = _is(C.PAID_FIRST_PASS)
-    return [F.sum(F.when(paid, money("billed_paid_amt"))).alias("paid_sum"),
+    return [*money_parts("billed_paid_amt", "paid", paid),
             F.count(F.when(paid, F.col("billed_paid_amt"))).alias("paid_n")]
 
-def _avg_from_parts(total: Column, n: Column) -> Column:
-    return F.try_divide(total.cast("double"), n.cast("double"))
+def _paid_avg() -> Column:
+    return F.try_divide(money_value("paid"), F.col("paid_n").cast("double"))
 
 # -- M7, M8, M15 ---------------------------------------------------------------
 
@@ -74,7 +74,7 @@ def claim_type_summary(fact: DataFrame) -> DataFrame:
         n.alias("total_claims"),
         F.count_if(_is(C.DENIED)).alias("denied_claims"),
         round2(pct(F.count_if(_is(C.PAID_FIRST_PASS)), n)).alias("clean_claim_rate_pct"),
-        round2(F.sum(money("billed_paid_amt")).cast("double")).alias("total_paid_amt"),
+        round2(money_sum("billed_paid_amt")).alias("total_paid_amt"),
     )
 
 # -- per-type paid averages ------------------------------------------------------
@@ -83,7 +83,7 @@ def avg_paid_by_type(fact: DataFrame) -> DataFrame:
     """A5: average paid amount of first-pass-paid claims per claim type."""
     return (fact.filter(_is(C.PAID_FIRST_PASS)).groupBy("claim_type")
             .agg(*_paid_parts())
-            .select("claim_type", _avg_from_parts(F.col("paid_sum"), F.col("paid_n")).alias("avg_paid_amt")))
+            .select("claim_type", _paid_avg().alias("avg_paid_amt")))
 
 def _type_averages(parts: DataFrame) -> DataFrame:
     """Per-type average from a pre-aggregate holding paid_sum/paid_n per type.
@@ -92,9 +92,9 @@ def _type_averages(parts: DataFrame) -> DataFrame:
     original models (D22). At most one row per claim type (closed domain).
     """
     return (parts.groupBy("claim_type")
-            .agg(F.sum("paid_sum").alias("paid_sum"), F.sum("paid_n").alias("paid_n"))
+            .agg(*more_parts("paid"), F.sum("paid_n").alias("paid_n"))
             .filter(F.col("paid_n") > 0)
-            .select("claim_type", _avg_from_parts(F.col("paid_sum"), F.col("paid_n")).alias("avg_paid_amt")))
+            .select("claim_type", _paid_avg().alias("avg_paid_amt")))
 
 # -- M9, M13, M16 ----------------------------------------------------------------
 
@@ -117,12 +117,12 @@ def ar_aging_totals(matrix: DataFrame) -> DataFrame:
     """The matrix re-aggregated per aging bucket."""
     return matrix.groupBy("ar_aging_bucket").agg(
         F.sum("claim_count").alias("claim_count"),
-        F.sum(money("at_risk_amt_proxy", 2)).cast("double").alias("at_risk_amt_proxy"))
+        money_sum("at_risk_amt_proxy").alias("at_risk_amt_proxy"))
 
 def ar_matrix_top_providers(matrix: DataFrame, k: int = C.HEATMAP_PROVIDERS) -> DataFrame:
     """Provider x bucket heatmap, the ``k`` largest total exposures."""
     wide = pivot_fixed(matrix, "provider_id", "ar_aging_bucket", C.AGING_BUCKETS,
-                       "at_risk_amt_proxy", total_col="total", scale=2)
+                       "at_risk_amt_proxy", total_col="total")
     wide = wide.withColumnRenamed("provider_id", "provider")
     return top_k(wide, [F.col("total").desc_nulls_last(), F.col("provider").asc_nulls_last()], k)
 
@@ -142,8 +142,9 @@ def top_carc_denials(fact: DataFrame, dim_carc: DataFrame, sort: bool = True) ->
     parts = (fact.groupBy("carc_code")
              .agg(F.count_if(_is(C.DENIED)).alias("n_denied"), *_paid_parts()))
     every_code = Window.partitionBy(F.lit(0))  # at most one row per code
-    overall = _avg_from_parts(F.sum("paid_sum").over(every_code), F.sum("paid_n").over(every_code))
-    per_code = (parts.withColumn("avg_paid", overall)
+    for c in ("paid_exact", "paid_plain", "paid_odd", "paid_n"):
+        parts = parts.withColumn(c, F.sum(c).over(every_code))
+    per_code = (parts.withColumn("avg_paid", _paid_avg())
                 .filter((F.col("n_denied") > 0) & F.col("carc_code").isNotNull()))
     out = (per_code.join(dim_carc, "carc_code", "inner")
            .select("carc_code", "description", "preventability_bucket",
@@ -163,15 +164,16 @@ def preventability_mix(top_carc: DataFrame) -> DataFrame:
     """Denials and loss per preventability bucket (sums rounded losses)."""
     return top_carc.groupBy("preventability_bucket").agg(
         F.sum("denial_count").alias("denial_count"),
-        F.sum(money("estimated_financial_loss", 2)).cast("double").alias("estimated_financial_loss"))
+        money_sum("estimated_financial_loss").alias("estimated_financial_loss"))
 
 # -- M11 -------------------------------------------------------------------------
 
 def header_cards(fact: DataFrame, scope: str = "all") -> DataFrame:
     """Expected revenue, net collection ratio, clean rate, overdue A/R.
 
-    Expected amount: paid amount of a paid claim, the type's paid average
-    for a denied one; claims of a type without paid claims drop out (D22).
+    Expected amount: the type's paid average for a denied claim, the paid
+    amount for any other status; claims of a type without paid claims (D22)
+    or without a type drop out.
     ``scope="all"`` (default, D10/D11): the clean rate counts every claim and
     the overdue amount is rounded. ``scope="joined"`` is the warehouse-mart
     variant: the clean rate counts only claims of types with an average and
@@ -187,23 +189,29 @@ def header_cards(fact: DataFrame, scope: str = "all") -> DataFrame:
         F.count_if(paid).alias("n_paid"),
         F.count_if(denied).alias("n_denied"),
         F.count_if(denied & (F.col("ar_aging_bucket") == C.AGING_OVERFLOW)).alias("n_overdue"),
-        F.sum(money("billed_paid_amt")).alias("billed_sum"),
+        *money_parts("billed_paid_amt", "billed"),
+        *money_parts("billed_paid_amt", "kept", ~denied),
         *_paid_parts(),
     )
-    has_avg = F.col("paid_n") > 0
-    avg = _avg_from_parts(F.col("paid_sum"), F.col("paid_n"))
-    expected = F.col("paid_sum").cast("double") + F.col("n_denied") * avg
-    total_expected = F.sum(F.when(has_avg, expected))
-    overdue = F.sum(F.when(has_avg & (F.col("n_overdue") > 0), F.col("n_overdue") * avg))
+    joined = (F.col("paid_n") > 0) & F.col("claim_type").isNotNull()
+    expected = F.coalesce(money_value("kept"), F.lit(0.0)) + F.col("n_denied") * _paid_avg()
+    t = t.withColumn("expected", F.when(joined, expected)).withColumn("joined", joined)
+    t = t.withColumn("overdue", F.when(joined & (F.col("n_overdue") > 0), F.col("n_overdue") * _paid_avg()))
+    t = t.groupBy().agg(
+        F.sum("expected").alias("expected"), F.sum("overdue").alias("overdue"), *more_parts("billed", F.col("joined")),
+        F.sum("n_paid").alias("n_paid"), F.sum("n_all").alias("n_all"),
+        F.sum(F.when(F.col("joined"), F.col("n_paid"))).alias("joined_paid"),
+        F.sum(F.when(F.col("joined"), F.col("n_all"))).alias("joined_all"))
+    overdue = F.col("overdue")
     if scope == "all":
-        clean = pct(F.sum("n_paid"), F.sum("n_all"))
+        clean = pct("n_paid", "n_all")
         overdue = round2(overdue)
     else:
-        clean = pct(F.sum(F.when(has_avg, F.col("n_paid"))), F.sum(F.when(has_avg, F.col("n_all"))))
-    return t.agg(
-        total_expected.alias("total_expected_revenue"),
-        F.try_divide(F.sum(F.when(has_avg, F.col("billed_sum"))).cast("double") * F.lit(100.0),
-                     F.nullif(total_expected, F.lit(0.0))).alias("net_collection_ratio_pct"),
+        clean = pct("joined_paid", "joined_all")
+    return t.select(
+        F.col("expected").alias("total_expected_revenue"),
+        F.try_divide(money_value("billed") * F.lit(100.0), F.nullif(F.col("expected"), F.lit(0.0)))
+        .alias("net_collection_ratio_pct"),
         clean.alias("clean_claim_rate_pct"),
         overdue.alias("overdue_ar_90plus"),
     )

@@ -9,11 +9,9 @@ from dataclasses import dataclass, field, replace
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimlens.plans import dims, fact as factmod
-from claimlens.operators.joins import scalar
-from claimlens.session import cut_lineage, new_scratch_path
+from claimlens.session import new_scratch_path
 from claimlens.sinks import write_parquet
 from claimlens.sources import fixtures
 from claimlens.sources.files import read_claim_files, read_lookup, read_yearly
@@ -61,27 +59,23 @@ class Warehouse:
 
     # -- fact -----------------------------------------------------------------
     @property
-    def carc_slots(self) -> DataFrame:
-        """Reason-code slot table (exactly ``CARC_SLOTS`` rows), built once and
-        checkpointed: every fact query reads the stored rows as one array."""
+    def carc_draws(self) -> DataFrame:
+        """The reason-code pool as a list of draws (one row)."""
         def build():
             pool = factmod.carc_pool(factmod.carc_weights(self.spark), self.dim_carc_denials)
-            return cut_lineage(factmod.carc_slots(pool))
-        return self._get("carc_slots", build)
+            return factmod.carc_draws(pool)
+        return self._get("carc_draws", build)
 
     @property
     def as_of_date(self):
-        """The as-of date: the given one, or the latest segment date computed
-        once per build (a checkpointed one-row relation used as a scalar)."""
+        """The as-of date: the given one, or the latest segment date as a lazy scalar subquery."""
         if self.as_of is not None:
             return self.as_of
-        def build():
-            return scalar(cut_lineage(self.claim_detail.agg(F.max("clm_thru_dt").alias("as_of"))))
-        return self._get("as_of_date", build)
+        return self._get("as_of_date", lambda: factmod.as_of_date(self.claim_detail))
 
     @property
     def fact(self) -> DataFrame:
-        return self._get("fact", lambda: factmod.fact_claims(self.fact_base, self.carc_slots,
+        return self._get("fact", lambda: factmod.fact_claims(self.fact_base, self.carc_draws,
                                                              self.as_of_date))
 
     TABLES = ("dim_patient", "dim_provider", "dim_diagnosis", "dim_carc_denials", "fact")
@@ -134,9 +128,9 @@ def from_raw(spark: SparkSession, segments: DataFrame, yearly_beneficiaries: lis
                      carc_lookup_raw, as_of)
 
 
-def from_test_tables(spark: SparkSession, sf_dir: str, as_of=None) -> Warehouse:
+def from_test_tables(spark: SparkSession, sf_dir: str, as_of=None, odd_amounts: bool = False) -> Warehouse:
     """Warehouse over claims-shaped frames derived from the test tables."""
-    return from_raw(spark, fixtures.claim_segments(spark, sf_dir),
+    return from_raw(spark, fixtures.claim_segments(spark, sf_dir, odd_amounts),
                     fixtures.beneficiary_files(spark, sf_dir),
                     fixtures.carc_lookup_raw(spark), as_of)
 

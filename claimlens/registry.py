@@ -122,7 +122,7 @@ UNITS: dict[str, Query] = {
     "filter_not_null_provider": lambda s, d: units.segments_with_provider(_wh(s, d).segments),
     "union_distinct_codes": lambda s, d: units.all_diagnosis_codes(_wh(s, d).segments),
     "filter_range_circulatory": lambda s, d: units.circulatory_codes(_wh(s, d).dim_diagnosis),
-    "join_claim_adjudication": lambda s, d: units.adjudication_join(_wh(s, d).fact_base, _wh(s, d).carc_slots),
+    "join_claim_adjudication": lambda s, d: units.adjudication_join(_wh(s, d).fact_base, _wh(s, d).carc_draws),
     "join_denied_reason": lambda s, d: units.denied_with_reason(_fact(s, d), _wh(s, d).dim_carc_denials),
     "scalar_as_of": lambda s, d: units.as_of(_wh(s, d).claim_detail),
     "scalar_as_of_days": lambda s, d: units.as_of_days(_wh(s, d).fact_base, _wh(s, d).claim_detail),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -22,7 +22,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "6g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -33,8 +33,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """Root of the shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this setting must point at shared storage; it is read from
-    the session. Only when it is unset (local tests) a temporary folder is
-    created and registered as the checkpoint dir.
+    the session. Only when it is unset and the master is local (tests) a
+    temporary folder is created and registered as the checkpoint dir; on a
+    cluster an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -47,6 +48,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="claimlens-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -56,14 +59,3 @@ def scratch_dir(spark: SparkSession) -> str:
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch folder."""
     return f"{scratch_dir(spark)}/claimlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (eager).
-
-    For small relations derived once per warehouse build (the as-of date,
-    the reason-code slot table): later queries read the stored rows instead
-    of re-running the plan, and a lost executor cannot lose them.
-    """
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -49,28 +49,26 @@ def _amount_text(c: Column) -> Column:
     return c.cast("decimal(18,4)").cast("string")
 
 
-def claim_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claim_segments(spark: SparkSession, sf_dir: str, odd_amounts: bool = False) -> DataFrame:
     """Raw claim segments (one row per line item), both claim types together.
 
-    The join key is the claim id text itself, so the join's hash
-    partitioning is the one the claim rollup needs: the segment-to-claim
-    aggregation runs without another shuffle. The line items are
-    hash-partitioned on that key up front: at scale this is the exchange the
-    sort-merge join and the rollup need anyway, and when the orders side is
-    small enough to broadcast it keeps the work spread over all tasks however
-    the input files are split. The text columns are formatted after the
-    exchange, so it carries the compact numeric columns.
+    The text columns are formatted after the join, so its exchange carries
+    the compact numeric columns. ``odd_amounts`` plants payments that a narrow
+    decimal cannot hold: very large, very small and (Outpatient only) NaN.
     """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     lines = li.select(F.col("l_orderkey").cast("string").alias("CLM_ID"), "l_orderkey", "l_partkey",
                       "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
-                      "l_returnflag", "l_shipdate").repartition("CLM_ID")
+                      "l_returnflag", "l_shipdate")
     heads = orders.select(F.col("o_orderkey").cast("string").alias("CLM_ID"), "o_custkey",
                           "o_orderpriority")
     k = F.col("l_orderkey")
     line = F.col("l_linenumber")
     ship = F.date_format(F.col("l_shipdate"), "yyyyMMdd")
+    inpatient = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    odd = F.when(F.lit(odd_amounts), F.when(k % 500 == 17, "200000000000000").when(k % 500 == 19, "0.00004")
+                 .when((k % 500 == 23) & ~inpatient, "NaN"))
     return lines.join(heads, "CLM_ID", "inner").select(
         F.col("CLM_ID"),
         F.col("o_custkey").cast("string").alias("DESYNPUF_ID"),
@@ -80,7 +78,7 @@ def claim_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("AT_PHYSN_NPI"),
         F.when(k % 1000 == 7, F.lit("20011399")).otherwise(ship).alias("CLM_FROM_DT"),
         ship.alias("CLM_THRU_DT"),
-        F.when(k % 500 == 3, F.lit(None).cast("string"))
+        F.when(odd.isNotNull(), odd).when(k % 500 == 3, F.lit(None).cast("string"))
          .when((k % 500 == 11) & (line == 1), F.lit("abc"))
          .when(F.col("l_returnflag") == "R", F.lit("0"))
          .otherwise(_amount_text(F.col("l_extendedprice") * (1 - F.col("l_discount"))))
@@ -89,7 +87,7 @@ def claim_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         dx_code(F.col("l_partkey")).alias("ICD9_DGNS_CD_1"),
         dx_code(F.col("l_partkey") + 1).alias("ICD9_DGNS_CD_2"),
         dx_code(F.col("l_partkey") + 2).alias("ICD9_DGNS_CD_3"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(C.INPATIENT))
+        F.when(inpatient, F.lit(C.INPATIENT))
          .otherwise(F.lit(C.OUTPATIENT)).alias("CLAIM_TYPE"),
     )
 
@@ -124,26 +122,27 @@ def beneficiary_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [beneficiary_year(spark, sf_dir, y) for y in BENEFICIARY_YEARS]
 
 
-# Fixed lookup rows: the weighted reason codes with their descriptions,
-# followed by edge rows (padded code, multi-keyword text, NULL text, NULL code).
+# Lookup rows of the test tables: the weighted reason codes with texts of our
+# own that hit or miss the keywords, followed by edge rows (padded code,
+# several keywords, NULL text, NULL code).
 CARC_LOOKUP_ROWS = (
-    ("18", "exact duplicate"),
-    ("16", "lacks information"),
-    ("197", "precert/authorization absent"),
-    ("50", "non-covered - not medically necessary"),
-    ("29", "time limit for filing expired"),
-    ("27", "expenses incurred after coverage terminated"),
-    ("96", "non-covered charges"),
-    ("119", "benefit maximum reached"),
-    ("109", "not covered by this payer/contractor"),
-    ("1", "deductible"),
-    ("2", "coinsurance"),
-    (" 45 ", "Past Timely Filing limit"),
-    ("A1", "Duplicate; prior authorization missing"),
-    ("38", "Prior Authorization required"),
-    ("31", "Eligibility not found"),
-    ("22", "Coordination of benefits"),
-    ("55", "Medical necessity not met"),
+    ("18", "Same service billed twice (DUPLICATE)"),
+    ("16", "Claim form incomplete"),
+    ("197", "No prior authorization on file"),
+    ("50", "Fails medical necessity, non-covered"),
+    ("29", "Sent after the timely filing window"),
+    ("27", "Eligibility had ended"),
+    ("96", "Item is Non-Covered by plan"),
+    ("119", "Yearly maximum used up"),
+    ("109", "Send to another payer"),
+    ("1", "Applied to deductible"),
+    ("2", "Member coinsurance share"),
+    (" 45 ", "Above the fee schedule"),
+    ("A1", "duplicate, prior authorization also missing"),
+    ("38", "PRIOR AUTHORIZATION expired"),
+    ("31", "Member not found, check eligibility"),
+    ("22", "Coordination of Benefits needed"),
+    ("55", "Medical Necessity review failed"),
     ("ZZ", None),
     (None, "any"),
 )
