@@ -1,7 +1,8 @@
-"""The two batch jobs of the warehouse, as functions (no argument parsing).
+"""The batch jobs of the warehouse, as functions (no argument parsing).
 
 ``build_warehouse``: raw files -> landed segments -> star schema as Parquet
 under ``output`` (dims, fact partitioned by claim type).
+``publish_marts``: star schema -> KPI and data-quality relations, stored and named.
 ``export_dashboard``: star schema -> dashboard extract under ``output``.
 All paths should be on shared storage; nothing is collected to the driver.
 """
@@ -12,7 +13,8 @@ from typing import Iterable
 
 from pyspark.sql import SparkSession
 
-from claimlens.plans import dashboard, warehouse
+from claimlens.plans import dashboard, fact as factmod, kpis, quality, warehouse
+from claimlens.sinks import materialize
 
 
 def build_warehouse(spark: SparkSession, inpatient_path: str, outpatient_path: str,
@@ -24,6 +26,35 @@ def build_warehouse(spark: SparkSession, inpatient_path: str, outpatient_path: s
     return wh.materialize(output, land_segments=True)
 
 
+def publish_marts(wh: warehouse.Warehouse, output: str, prefix: str = "") -> dict[str, str]:
+    """Give every mart a name: staging as a view, KPI and DQ relations as stored tables.
+
+    ``wh`` should be stored already, so that each mart scans Parquet. Returns
+    each relation's kind; all can be read with ``spark.table(prefix + name)``.
+    """
+    by_provider = kpis.clean_claim_rate_by_provider(wh.fact, sort=False)
+    matrix = kpis.ar_aging_matrix(wh.fact)
+    top_carc = kpis.top_carc_denials(wh.fact, wh.dim_carc_denials, sort=False)
+    tables = {
+        "kpi_clean_claim_rate": kpis.clean_claim_rate(wh.fact),
+        "kpi_clean_claim_rate_by_provider": by_provider,
+        "kpi_ar_aging_matrix": matrix,
+        "kpi_top_carc_denials": top_carc,
+        "kpi_header_cards": kpis.header_cards(wh.fact),
+        "kpi_preventability_mix": kpis.preventability_mix(top_carc),
+        "kpi_ar_aging_totals": kpis.ar_aging_totals(matrix),
+        "kpi_provider_extremes": kpis.provider_extremes(by_provider),
+        "kpi_claim_type_summary": kpis.claim_type_summary(wh.fact),
+        "dq_orphaned_claims": quality.orphaned_claims(wh.fact, wh.dim_patient),
+        "dq_duplicate_claim_ids": quality.duplicate_claim_ids(wh.fact),
+        "dq_unmapped_diagnosis": quality.unmapped_diagnosis(wh.fact, wh.dim_diagnosis),
+    }
+    materialize(factmod.stg_fact(wh.fact), f"{prefix}stg_fact_claims_adjudication", "view")
+    for name, df in tables.items():
+        materialize(df, prefix + name, "table", f"{output}/{name}")
+    return {"stg_fact_claims_adjudication": "view"} | dict.fromkeys(tables, "table")
+
+
 def export_dashboard(wh: warehouse.Warehouse, output: str) -> dict[str, str]:
-    """Write the dashboard extract (bounded summary + parallel A/R matrix)."""
+    """Write the dashboard extract (one object of bounded sections + parallel A/R matrix)."""
     return dashboard.write_dashboard(wh, output)

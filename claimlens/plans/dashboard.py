@@ -3,9 +3,8 @@
 The extract has bounded sections (header cards, top-k lists, DQ counts)
 and one data-sized section (the full provider x bucket A/R matrix). As rows
 it is a flat relation ``(section, key1, key2, field, num, txt)``; as files it
-is a small summary (one JSON line per bounded section, built by Spark) plus
-the matrix as a distributed JSON-lines dataset. Nothing passes through the
-driver.
+is one JSON object of the bounded sections, built by Spark, plus the matrix
+as a distributed JSON-lines dataset. Nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
+from claimlens.operators.joins import bounded_broadcast
 from claimlens.plans import kpis, quality
 from claimlens.sinks import write_json
 
@@ -86,22 +86,43 @@ def dashboard_rows(wh) -> DataFrame:
     return out
 
 
-BOUNDED = ("header_cards", "clean_claim_rate", "top_carc_denials",
-           "clean_claim_by_provider_worst10", "dq", "ar_matrix_top_providers")
+def dashboard_object(wh) -> DataFrame:
+    """K6: the bounded sections as one row that is one JSON object when written.
+
+    Single-row sections are structs, the failing counts of the checks are
+    numbers, the lists are arrays of structs in their order (at most a few
+    rows each, by their top-k limits).
+    """
+    s = sections(wh)
+
+    def struct(df: DataFrame) -> Column:
+        return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+    def one(name: str) -> DataFrame:
+        return s[name].select(struct(s[name]).alias(name))
+
+    def rows(name: str, *order: tuple[str, int]) -> DataFrame:
+        key = F.struct(*[(sign * F.col(f"`{c}`") if sign else F.col(c)).alias(f"k{i}") for i, (c, sign) in enumerate(order)])
+        listed = F.sort_array(F.collect_list(F.struct(key.alias("key"), struct(s[name]).alias("row"))))
+        return s[name].agg(F.transform(listed, lambda x: x["row"]).alias(name))
+
+    checks = s["dq"].groupBy().pivot("check", list(quality.DQ_CHECKS)).agg(F.sum("n_failing"))
+    parts = [
+        one("clean_claim_rate"),
+        rows("top_carc_denials", ("estimated_financial_loss", -1), ("carc_code", 0)),
+        rows("clean_claim_by_provider_worst10", ("clean_claim_rate_pct", 1), ("provider_id", 0)),
+        checks,
+        rows("ar_matrix_top_providers", ("total", -1), ("provider", 0)),
+    ]
+    out = one("header_cards")
+    for p in parts:  # each is one row
+        out = out.join(bounded_broadcast(p), how="cross")
+    return out
 
 
 def write_dashboard(wh, path: str) -> dict[str, str]:
-    """K6: ``path/summary`` (one JSON line per bounded section) and
-    ``path/ar_aging_matrix`` (JSON lines, written in parallel)."""
-    s = sections(wh)
-    summary = None
-    for name in BOUNDED:
-        df = s[name]
-        # Bounded sections only: at most max(k) rows are collected per list.
-        part = df.agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-                      .alias("data")).select(F.lit(name).alias("section"), "data")
-        summary = part if summary is None else summary.unionByName(part)
+    """K6: ``path/data`` (one JSON object) and ``path/ar_aging_matrix`` (JSON lines, written in parallel)."""
     return {
-        "summary": write_json(summary, f"{path}/summary", single_file=True),
-        "ar_aging_matrix": write_json(s["ar_aging_matrix"], f"{path}/ar_aging_matrix"),
+        "data": write_json(dashboard_object(wh), f"{path}/data", single_file=True),
+        "ar_aging_matrix": write_json(kpis.ar_aging_matrix(wh.fact), f"{path}/ar_aging_matrix"),
     }

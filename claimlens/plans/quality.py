@@ -30,6 +30,9 @@ def unmapped_diagnosis(fact: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
                               "diagnosis_code").select("claim_id")
 
 
+DQ_CHECKS = ("dq_orphaned_claims", "dq_duplicate_claim_ids", "dq_unmapped_diagnosis")
+
+
 def dq_counts(fact: DataFrame, dim_patient: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
     """Q7: failing-row count per referential / key check, as ``(check, n_failing)``."""
     checks = {

@@ -5,20 +5,24 @@ frames Spark derives from them) so its work grows with the data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
+from claimlens import jobs
 from claimlens.functions.exprs import flag_count, hash32, keyword_bucket, money_avg
 from claimlens.operators.aggregates import (
     columns_with_prefix, distinct_values, pivot_fixed, row_counts,
 )
 from claimlens.operators.joins import bounded_broadcast, inner_join, scalar
-from claimlens.plans import fact as factmod, kpis
+from claimlens.operators.quality import SchemaTest, test_report
+from claimlens.plans import dashboard, dims, fact as factmod, kpis, quality, warehouse
 from claimlens.session import new_scratch_path
 from claimlens.sinks import materialize, write_json, write_parquet
 from claimlens.sources import fixtures
-from claimlens.sources.files import read_claim_files, read_yearly
+from claimlens.sources.files import read_claim_files, read_lookup, read_yearly
 
 
 # -- sources (S1-S3, S7, U1-U3) ------------------------------------------------
@@ -181,3 +185,89 @@ def document_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     every document of the ``documents`` table."""
     docs = fixtures.table(spark, sf_dir, "documents")
     return docs.select("doc_id", keyword_bucket("text").alias("preventability_bucket"))
+
+
+# -- whole paths: pools, lookups, files, named marts, the dashboard object ---------
+
+def codes_from_large_pool(fact: DataFrame, weights: DataFrame) -> DataFrame:
+    """X18/F8 with a pool of many codes, of which those of sizes divisible by 5 are not in the lookup."""
+    size = F.element_at(F.split("carc_code", "-"), -1).cast("int")
+    pool = factmod.carc_pool(weights, weights.filter(size % 5 != 0).select("carc_code"))
+    return (fact.filter(F.col("adjudication_status") == C.DENIED)
+            .select("claim_id", factmod.drawn_code("claim_id", factmod.carc_draws(pool)).alias("carc_code")))
+
+
+def lookup_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """A raw lookup written as Parquet, read by its reader, cleaned and bucketed."""
+    path = write_parquet(raw, new_scratch_path(spark, "lookup"))
+    return dims.dim_carc_denials(read_lookup(spark, path, "parquet"))
+
+
+def fact_from_files(spark: SparkSession, segments: DataFrame, yearly: list[DataFrame], lookup: DataFrame) -> DataFrame:
+    """The raw files as a user has them (two claim CSVs, one beneficiary CSV a year, a lookup CSV), then the fact."""
+    root = new_scratch_path(spark, "raw")
+    segments.write.option("header", True).partitionBy("CLAIM_TYPE").csv(f"{root}/claims")
+    for year, df in zip(fixtures.BENEFICIARY_YEARS, yearly):
+        df.drop("SNAPSHOT_YEAR").write.option("header", True).csv(f"{root}/bene_{year}")
+    lookup.write.option("header", True).csv(f"{root}/carc")
+    return warehouse.from_files(spark, f"{root}/claims/CLAIM_TYPE={C.INPATIENT}", f"{root}/claims/CLAIM_TYPE={C.OUTPATIENT}",
+                                root + "/bene_{year}", fixtures.BENEFICIARY_YEARS, f"{root}/carc").fact
+
+
+def raw_schema_tests(segments: DataFrame, orders: DataFrame) -> DataFrame:
+    """Q1-Q3 on raw tables, where every kind of test has failures."""
+    tests = (SchemaTest("segments", "CLM_ID", "unique"), SchemaTest("segments", "PRVDR_NUM", "unique"),
+             SchemaTest("segments", "CLM_PMT_AMT", "not_null"),
+             SchemaTest("orders", "o_orderpriority", "accepted_values", ("1-URGENT", "2-HIGH")),
+             SchemaTest("orders", "o_orderpriority", "unique"))
+    return test_report({"segments": segments, "orders": orders}, tests)
+
+
+def repeated_segments(detail: DataFrame) -> DataFrame:
+    """Q5/A12 before the rollup: claims of several segments, with their count."""
+    return quality.duplicate_claim_ids(detail)
+
+
+def marts_by_name(spark: SparkSession, wh) -> DataFrame:
+    """Publish all marts, then read some back by their names: (mart, key, value)."""
+    prefix = f"m{uuid.uuid4().hex[:8]}_"
+    jobs.publish_marts(wh, new_scratch_path(spark, "marts"), prefix)
+    named = lambda name: spark.table(prefix + name)
+    return spark.sql(f"""
+        SELECT 'provider' AS mart, provider_id AS key, clean_claim_rate_pct AS value FROM {prefix}kpi_clean_claim_rate_by_provider
+        UNION ALL SELECT 'reason', carc_code, estimated_financial_loss FROM {prefix}kpi_top_carc_denials
+        UNION ALL SELECT 'type', claim_type, total_paid_amt FROM {prefix}kpi_claim_type_summary
+        UNION ALL SELECT 'orphan', claim_id, 1.0D FROM {prefix}dq_orphaned_claims
+        UNION ALL SELECT 'fact', claim_id, CAST(days_since_submission AS DOUBLE) FROM {prefix}stg_fact_claims_adjudication
+    """).unionByName(named("kpi_ar_aging_matrix").select(
+        F.lit("matrix").alias("mart"), F.concat_ws("/", F.coalesce("provider_id", F.lit("none")), "ar_aging_bucket").alias("key"),
+        F.col("at_risk_amt_proxy").alias("value")))
+
+
+def dashboard_roundtrip(spark: SparkSession, wh) -> DataFrame:
+    """K6: the dashboard object written as JSON, read back as one object and flattened: (section, key, field, num)."""
+    shape = dashboard.dashboard_object(wh)
+    path = write_json(shape, new_scratch_path(spark, "dashboard"), single_file=True)
+    data = spark.read.schema(shape.schema).json(path)
+
+    def numbers(kind, at):
+        return F.array(*[F.struct(F.lit(f.name).alias("field"), at.getField(f.name).cast("double").alias("num"))
+                         for f in kind.fields if f.dataType.typeName() != "string"])
+
+    parts = []
+    for f in data.schema.fields:
+        name = F.lit(f.name).alias("section")
+        if f.dataType.typeName() == "struct":
+            parts.append(data.select(name, F.lit(None).cast("string").alias("key"), F.inline(numbers(f.dataType, F.col(f.name)))))
+        elif f.dataType.typeName() == "array":
+            kind = f.dataType.elementType
+            label = next(x.name for x in kind.fields if x.dataType.typeName() == "string")
+            rows = data.select(F.explode(f.name).alias("row"))
+            parts.append(rows.select(name, F.col("row").getField(label).alias("key"), F.inline(numbers(kind, F.col("row")))))
+        else:
+            parts.append(data.select(name, F.lit(None).cast("string").alias("key"), F.lit("n").alias("field"),
+                                     F.col(f.name).cast("double").alias("num")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -1,8 +1,8 @@
 """Raw file sources.
 
 Raw claim and beneficiary files are header CSVs whose every column is text.
-They are read with an explicit all-string schema (no ``inferSchema`` pass
-over the data) and tagged with their source. For repeated queries convert
+They are read by their header without ``inferSchema`` (no pass over the
+data, every column text) and tagged with their source. For repeated queries convert
 them once to Parquet (``sinks.write_parquet``): CSV cannot prune columns.
 """
 
@@ -24,17 +24,18 @@ def all_string_schema(columns: Sequence[str]) -> StructType:
 
 def read_text_csv(spark: SparkSession, path: str,
                   columns: Sequence[str] | None = None) -> DataFrame:
-    """Header CSV, every column text.
+    """Header CSV, every column text, named by the file's own header.
 
-    With ``columns`` the schema is explicit (no schema pass over the file);
-    without, the header alone gives the names (every column string).
+    ``columns`` picks columns by name, whatever their order in the file; one
+    that the header lacks is an error.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if columns is not None:
-        reader = reader.schema(all_string_schema(columns))
-    else:
-        reader = reader.option("inferSchema", False)
-    return reader.csv(path)
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    if columns is None:
+        return df
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no columns {missing}")
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def tag_source(df: DataFrame, column: str, value) -> DataFrame:
@@ -44,7 +45,11 @@ def tag_source(df: DataFrame, column: str, value) -> DataFrame:
 
 def read_claim_files(spark: SparkSession, inpatient_path: str, outpatient_path: str,
                      columns: Sequence[str] | None = None) -> DataFrame:
-    """S1 + S3 + U3: both claim files, tagged with CLAIM_TYPE, unioned by name."""
+    """S1 + S3 + U3: both claim files, tagged with CLAIM_TYPE, unioned by name.
+
+    Without ``columns`` each file keeps its own layout; a column that only one
+    has is NULL in the other.
+    """
     inpatient = tag_source(read_text_csv(spark, inpatient_path, columns), "CLAIM_TYPE", INPATIENT)
     outpatient = tag_source(read_text_csv(spark, outpatient_path, columns), "CLAIM_TYPE", OUTPATIENT)
     return inpatient.unionByName(outpatient, allowMissingColumns=True)

@@ -151,3 +151,28 @@ CARC_LOOKUP_ROWS = (
 def carc_lookup_raw(spark: SparkSession) -> DataFrame:
     """Raw two-column reason-code lookup (header names as in the source sheet)."""
     return lookup_from_rows(spark, CARC_LOOKUP_ROWS, ("CARC Code", "Description"))
+
+
+def lookup_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw lookup as large as ``part``: padded, no-break-space and NULL codes, texts with and without keywords."""
+    k = F.col("p_partkey")
+    code = F.concat(F.lit("P"), k.cast("string"))
+    nbsp = "\u00a0"
+    padded = (F.when(k % 5 == 0, F.concat(F.lit("  "), code, F.lit(" ")))
+              .when(k % 5 == 1, F.concat(F.lit(nbsp), code, F.lit(nbsp + " ")))
+              .when(k % 5 == 2, F.lit(None).cast("string")).otherwise(code))
+    words = ("Duplicate", "past timely filing", "No PRIOR Authorization", "eligibility", "non-covered", "medical necessity",
+             "coordination of benefits", "coinsurance", "deductible", "other")
+    word = F.element_at(F.array(*[F.lit(w) for w in words]), (k % len(words)).cast("int") + 1)
+    text = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat_ws(" ", "p_name", word))
+    return table(spark, sf_dir, "part").select(padded.alias("CARC Code"), text.alias("Description"))
+
+
+def weights_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uneven weights for every (brand, size) of ``part``: a pool of many codes."""
+    pairs = table(spark, sf_dir, "part").select("p_brand", "p_size").distinct()
+    code = F.concat_ws("-", "p_brand", F.col("p_size").cast("string"))
+    # One number per code, in text order of brand and then by size.
+    digits = F.regexp_replace("p_brand", "[^0-9]", "").cast("int")
+    return pairs.select((digits * 1000 + F.col("p_size")).cast("int").alias("ordinal"), code.alias("carc_code"),
+                        (F.lit(1) + F.col("p_size") % 7).cast("int").alias("weight"))
