@@ -24,6 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import fold, importable, map_arrow, map_groups, runs, stored, texts
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 3   # remainders: scored only; the fold that weights are learned on
-BLOCK_CHARS = 16_000_000             # characters of a block (one text at least)
-BUCKET_TOKENS = 2_000_000            # tokens of the corpus per hash bucket
+BLOCK_CHARS = 8_000_000              # bytes of a block's texts (one text at least)
+BUCKET_TOKENS = 1_500_000            # tokens of the corpus per hash bucket
 CLASSES = 24                         # context-frequency buckets: unseen, 1, 2-3, 4-7, ...
 STEPS = 12                           # expectation-maximisation turns at most
 TOLERANCE = 1e-5                     # nats a token; smaller gains end them
@@ -59,7 +60,7 @@ def words_of(text: str) -> list[bytes]:
 
 def packed(values: np.ndarray, kind: str) -> bytes:
     """Little-endian integers as byte planes, compressed."""
-    raw = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1)
+    raw = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
     return zstandard.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
 
 
@@ -81,18 +82,19 @@ def _bundles(docs: DataFrame) -> DataFrame:
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            all_texts, ids = texts(batch), batch.column("doc_id").to_pylist()
-            roles = batch.column("role").to_numpy()
-            for a, b in runs(np.array([len(t) for t in all_texts]), BLOCK_CHARS):
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+            for a, b in runs(sizes, BLOCK_CHARS):
+                some = batch.slice(a, b - a)
+                ids, roles = some.column("doc_id").to_pylist(), some.column("role").to_numpy()
                 known, tokens, sizes = Ids(), [], []
-                for t in all_texts[a:b]:
+                for t in texts(some):
                     words = words_of(t)
                     found = np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
                     tokens += [found, np.ones(1, np.uint32)]
                     sizes.append(len(words) + 1)
                 hashes = np.array([_START, _STOP, *map(xxhash.xxh3_64_intdigest, known)], np.uint64)
-                row = (f"{part}-{number}", packed(np.array([x or 0 for x in ids[a:b]], np.int64), "<i8"),
-                       packed(np.array([x is None for x in ids[a:b]]), "u1"), packed(roles[a:b], "u1"),
+                row = (f"{part}-{number}", packed(np.array([x or 0 for x in ids], np.int64), "<i8"),
+                       packed(np.array([x is None for x in ids]), "u1"), packed(roles, "u1"),
                        packed(np.array(sizes), "<u4"), packed(np.concatenate(tokens), "<u4"), hashes.tobytes())
                 number += 1
                 yield pa.RecordBatch.from_arrays(
@@ -103,6 +105,12 @@ def _bundles(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, BUNDLE)
 
 
+def _each(batch: pa.RecordBatch):
+    """The rows as dictionaries, one at a time: a row is a whole block."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Block:
     """A block's tokens with their contexts, and its distinct words and bigrams."""
 
@@ -142,7 +150,7 @@ class Block:
 def _requests(bundles: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 block = Block(row)
                 for kind in (0, 1):
                     order, edges, keys = block.dealt(kind, buckets)
@@ -236,14 +244,15 @@ def _parts(table: np.ndarray, n: int, v: int) -> tuple[np.ndarray, np.ndarray]:
 def _learn(blocks: DataFrame, n: int, v: int) -> np.ndarray:
     """Weights by context class: expectation-maximisation over the held-out counts of all blocks."""
     weights = np.full((CLASSES, 3), 1 / 3)
+    weights[0] = 0.0, 0.5, 0.5  # an unseen context has no bigram estimate
     held = blocks.select("held", "times")
     before = None
     for _ in range(STEPS):
         def expect(batch: pa.RecordBatch, weights=weights) -> pa.RecordBatch:
             mass, gain, seen = np.zeros((CLASSES, 3)), 0.0, 0
-            for held, times in zip(batch.column("held").to_pylist(), batch.column("times").to_pylist()):
-                table = unpacked(held, "<u8").astype(np.int64).reshape(-1, 3)
-                count = unpacked(times, "<u4")
+            for row in _each(batch):
+                table = unpacked(row["held"], "<u8").astype(np.int64).reshape(-1, 3)
+                count = unpacked(row["times"], "<u4")
                 klass, estimates = _parts(table, n, v)
                 share = weights[klass] * estimates
                 total = share.sum(axis=1)
@@ -262,7 +271,7 @@ def _learn(blocks: DataFrame, n: int, v: int) -> np.ndarray:
         if not got["seen"]:
             break
         mass = np.array([got[f"m{i}"] for i in range(3 * CLASSES)]).reshape(CLASSES, 3) + PRIOR
-        mass[0, 0] = 0.0  # an unseen context has no bigram estimate
+        mass[0, 0] = 0.0
         weights = mass / mass.sum(axis=1, keepdims=True)
         if before is not None and (got["gain"] - before) / got["seen"] < TOLERANCE:
             break
@@ -306,12 +315,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
     binary = "docs missing roles sizes known rows table held times".split()
     blocks = stored(map_groups(asked.unionByName(told), ["block"], _events(buckets),
                                ", ".join(f"{c} binary" for c in binary)), "events")
-    weights = _learn(blocks, n - deleted, v)
+    weights = _learn(blocks, n - deleted, v) if n else np.tile([0.0, 0.0, 1.0], (CLASSES, 1))
     floor = float(n + v + 1)
 
     def scores(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 sizes = unpacked(row["sizes"], "<u4").astype(np.int64)
                 table = unpacked(row["table"], "<u8").astype(np.int64).reshape(-1, 3)
                 klass, estimates = _parts(table, n, v)
