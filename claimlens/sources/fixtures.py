@@ -70,7 +70,7 @@ def claim_segments(spark: SparkSession, sf_dir: str, odd_amounts: bool = False)
     odd = F.when(F.lit(odd_amounts), F.when(k % 500 == 17, "200000000000000").when(k % 500 == 19, "0.00004")
                  .when((k % 500 == 23) & ~inpatient, "NaN"))
     return lines.join(heads, "CLM_ID", "inner").select(
-        F.col("CLM_ID"),
+        F.coalesce("CLM_ID", F.lit("")).alias("CLM_ID"),  # never NULL after the join, as the schema now says
         F.col("o_custkey").cast("string").alias("DESYNPUF_ID"),
         F.nullif(F.col("l_suppkey"), F.lit(0)).cast("string").alias("PRVDR_NUM"),
         F.when(line == 1, F.lit(None).cast("string"))

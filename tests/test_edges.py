@@ -95,35 +95,36 @@ def test_start_after_as_of_is_current(spark):  # D16
     assert f["1"].days_since_submission == 1 and f["1"].ar_aging_bucket == "0-30"
     assert f["2"].days_since_submission == 60 and f["2"].ar_aging_bucket == "31-60"
     # explicit as-of date
-    base, slots = wh.fact_base, wh.carc_slots
-    g = {r.claim_id: r for r in factmod.fact_claims(base, slots, as_of="2010-02-15").collect()}
+    base, draws = wh.fact_base, wh.carc_draws
+    g = {r.claim_id: r for r in factmod.fact_claims(base, draws, as_of="2010-02-15").collect()}
     assert g["1"].days_since_submission == -14 and g["1"].ar_aging_bucket == "0-30"
 
 
-def _slot_counts(spark, lookup_rows):
+def _draws(spark, lookup_rows, weights=None):
     lookup = dims.dim_carc_denials(spark.createDataFrame(lookup_rows, "c string, d string"))
-    pool = factmod.carc_pool(factmod.carc_weights(spark), lookup)
-    slots = factmod.carc_slots(pool)
-    counts = {r.carc_code: r["count"] for r in slots.groupBy("carc_code").count().collect()}
-    assert sum(counts.values()) == C.CARC_SLOTS
-    assert sorted(r.slot for r in slots.collect()) == list(range(C.CARC_SLOTS))
-    return counts
+    weights = factmod.carc_weights(spark) if weights is None else weights
+    codes = factmod.carc_draws(factmod.carc_pool(weights, lookup)).first()["codes"]
+    return {c: codes.count(c) for c in codes}
 
 
-def test_full_pool_slots_follow_weights(spark):
-    counts = _slot_counts(spark, [(c, "x") for c, _ in C.CARC_WEIGHTS])
-    assert counts == {c: w for c, w in C.CARC_WEIGHTS}
+def test_full_pool_draws_follow_weights(spark):
+    assert _draws(spark, [(c, "x") for c, _ in C.CARC_WEIGHTS]) == dict(C.CARC_WEIGHTS)
 
 
-def test_pool_renormalises_missing_codes(spark):  # D3
-    present = [(c, "x") for c, _ in C.CARC_WEIGHTS if c != "18"]
-    counts = _slot_counts(spark, present)
-    assert "18" not in counts and counts["16"] == 19  # ceil(15*100/82) slots
+def test_pool_renormalises_missing_codes(spark):  # D3: shares of 82, none lost or rounded
+    present = {c: w for c, w in C.CARC_WEIGHTS if c != "18"}
+    got = _draws(spark, [(c, "x") for c in present])
+    assert got == present and sum(got.values()) == 82
+
+
+def test_pool_of_many_codes_loses_none(spark):
+    rows = [(i, f"Z{i:03d}", 1) for i in range(150)]
+    weights = spark.createDataFrame(rows, "ordinal int, carc_code string, weight int")
+    assert _draws(spark, [(c, "x") for _, c, _ in rows], weights) == {c: 1 for _, c, _ in rows}
 
 
 def test_pool_falls_back_to_first_codes(spark):  # D3 fallback
-    counts = _slot_counts(spark, [(f"Z{i:02d}", "x") for i in range(15)])
-    assert counts == {f"Z{i:02d}": 10 for i in range(10)}
+    assert _draws(spark, [(f"Z{i:02d}", "x") for i in range(15)]) == {f"Z{i:02d}": 1 for i in range(10)}
 
 
 def test_every_denied_claim_gets_a_code(spark):
@@ -182,16 +183,56 @@ def test_header_scopes_and_no_overdue(spark):  # D10, D11
     assert j.clean_claim_rate_pct == pytest.approx(100 / 2)   # claims of types with an average
 
 
-def test_checked_broadcast_falls_back_above_bound(spark):
-    from claimlens.operators.joins import broadcast_if_small
-    small = spark.range(5).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    with_hint = broadcast_if_small(small, 10)
-    without = broadcast_if_small(big, 10)
-    plan = lambda df: spark.range(2000).withColumnRenamed("id", "k").join(df, "k")._jdf \
-        .queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(with_hint).lower()
-    assert "strategy=broadcast" not in plan(without).lower()
+def test_header_cards_with_a_third_status_and_no_type(spark):
+    """Any status but a denial counts its own amount; claims without a type are in the clean rate only."""
+    from claimlens.plans import kpis
+    rows = [("Paid - First Pass", "Inpatient", 100.0, "90+"), ("Paid - Resubmitted", "Inpatient", 50.0, "0-30"),
+            ("Denied", "Inpatient", None, "90+"), ("Denied", "Outpatient", 0.0, "90+"),
+            ("Paid - First Pass", None, 1000.0, "0-30")]
+    fact = spark.createDataFrame(rows, "adjudication_status string, claim_type string, billed_paid_amt double, "
+                                       "ar_aging_bucket string")
+    paid = [a for s, t, a, _ in rows if s == "Paid - First Pass" and t == "Inpatient"]
+    average = sum(paid) / len(paid)
+    own = [(average if s == "Denied" else a, a or 0.0, s) for s, t, a, _ in rows if t == "Inpatient"]
+    every, joined = kpis.header_cards(fact).first(), kpis.header_cards(fact, scope="joined").first()
+    for r in (every, joined):
+        assert r.total_expected_revenue == sum(e for e, _, _ in own) == 250.0
+        assert r.net_collection_ratio_pct == 150.0 * 100 / 250.0
+        assert r.overdue_ar_90plus == average
+    assert every.clean_claim_rate_pct == pytest.approx(100 * 2 / 5)
+    assert joined.clean_claim_rate_pct == pytest.approx(100 / 3)
+
+
+def test_odd_payments_are_paid(spark):
+    rows = [seg("1", "200000000000000"), seg("2", "0.00004"), seg("3", "NaN"), seg("4", "0"), seg("5", "1e300")]
+    got = {r.claim_id: r.adjudication_status for r in build(spark, rows).fact.collect()}
+    assert got == {"1": C.PAID_FIRST_PASS, "2": C.PAID_FIRST_PASS, "3": C.PAID_FIRST_PASS, "4": C.DENIED,
+                   "5": C.PAID_FIRST_PASS}
+
+
+def test_average_is_over_the_rows_of_its_sum(spark):
+    from claimlens.plans import kpis
+    rows = [(C.PAID_FIRST_PASS, "Inpatient", 2e14), (C.PAID_FIRST_PASS, "Inpatient", 100.0)]
+    fact = spark.createDataFrame(rows, "adjudication_status string, claim_type string, billed_paid_amt double")
+    assert kpis.avg_paid_by_type(fact).first().avg_paid_amt == (2e14 + 100) / 2
+
+
+def test_flag_column_that_no_year_has_is_an_error(spark, sf_dir):
+    from claimlens.sources import fixtures
+    years = [df.drop("SP_CHF") for df in fixtures.beneficiary_files(spark, sf_dir)]
+    with pytest.raises(ValueError, match="SP_CHF"):
+        dims.dim_patient(dims.beneficiaries(years))
+
+
+def test_report_counts_failing_tests(spark):
+    """The one-pass report and the failing rows agree where every test fails."""
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), ("b", "z"), (None, "z"), (None, None)],
+                               "k string, v string")
+    tests = [Q.SchemaTest("t", "k", "unique"), Q.SchemaTest("t", "k", "not_null"),
+             Q.SchemaTest("t", "v", "accepted_values", ("x",)), Q.SchemaTest("t", "v", "unique")]
+    got = {(r["column"], r["test"]): r["n_failing"] for r in Q.test_report({"t": df}, tests).collect()}
+    assert got == {("k", "unique"): 2, ("k", "not_null"): 2, ("v", "accepted_values"): 2, ("v", "unique"): 1}
+    assert all(t.failures(df).count() == got[t.column, t.test] for t in tests)
 
 
 def test_extremes_with_few_providers(spark):  # D26

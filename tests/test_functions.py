@@ -64,11 +64,14 @@ def test_adjudication_status(spark, amt, status):
     assert one(spark, X.adjudication_status, amt, "double") == status
 
 
-def test_hash_slot_is_md5_prefix_mod_100(spark):
+def test_hash32_is_md5_prefix(spark):
     import hashlib
     for key in ["1", "123", "99999", "abc"]:
-        expected = int(hashlib.md5(key.encode()).hexdigest()[:8], 16) % 100
-        assert one(spark, X.hash_slot, key) == expected
+        assert one(spark, X.hash32, key) == int(hashlib.md5(key.encode()).hexdigest()[:8], 16)
+
+
+def test_strip_text_takes_no_break_spaces(spark):
+    assert one(spark, X.strip_text, "\u00a0 A\u00a01 \t\u2003") == "A\u00a01"
 
 
 @pytest.mark.parametrize("code,valid", [
@@ -119,9 +122,21 @@ def test_round2_half_up(spark):
     assert one(spark, X.round2, 2.675, "double") == 2.68
 
 
-def test_money_sum_is_exact(spark):
-    df = spark.createDataFrame([(0.1,), (0.2,), (0.3,)], "v double")
-    assert df.agg(X.money_sum("v").alias("s")).first()["s"] == 0.6
+@pytest.mark.parametrize("values,total", [
+    ((0.1, 0.2, 0.3), 0.6), ((2e14, 0.00004), 200000000000000.00004), ((1e300, 1.0), 1e300), ((None, 2.5), 2.5),
+    ((None,), None), ((1e-300, 1e-300), 2e-300),
+])
+def test_money_sum_drops_and_rounds_nothing(spark, values, total):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(X.money_sum("v").alias("s")).first()["s"] == total
+    parts = df.groupBy("v").agg(*X.money_parts("v", "x")).groupBy().agg(*X.more_parts("x"))
+    assert parts.select(X.money_value("x").alias("s")).first()["s"] == total
+
+
+def test_money_sum_keeps_nan(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    s = df.agg(X.money_sum("v").alias("s")).first()["s"]
+    assert s != s
 
 
 def test_null_to_zero(spark):

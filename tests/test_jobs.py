@@ -39,4 +39,17 @@ def test_build_from_files_matches_in_memory(spark, wh, sf_dir):
     assert sorted(quality.dq_counts(built.fact, built.dim_patient, built.dim_diagnosis).collect()) == \
         sorted(quality.dq_counts(wh.fact, wh.dim_patient, wh.dim_diagnosis).collect())
     files = jobs.export_dashboard(built, f"{out}/dashboard")
-    assert spark.read.json(files["summary"]).count() == 6
+    data = spark.read.json(files["data"]).collect()
+    assert len(data) == 1 and set(data[0].asDict()) == {
+        "header_cards", "clean_claim_rate", "top_carc_denials", "clean_claim_by_provider_worst10",
+        "dq_orphaned_claims", "dq_duplicate_claim_ids", "dq_unmapped_diagnosis", "ar_matrix_top_providers"}
+
+
+def test_csv_columns_are_bound_by_name(spark):
+    from claimlens.sources.files import read_text_csv
+    import pytest
+    path = new_scratch_path(spark, "swapped")
+    spark.createDataFrame([("b1", "a1")], "B string, A string").write.option("header", True).csv(path)
+    assert [tuple(r) for r in read_text_csv(spark, path, ["A", "B"]).collect()] == [("a1", "b1")]
+    with pytest.raises(ValueError, match="C"):
+        read_text_csv(spark, path, ["A", "C"])

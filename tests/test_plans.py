@@ -34,23 +34,52 @@ def conf(spark, **kv):
 
 @pytest.fixture
 def fresh(spark, sf_dir):
-    return warehouse.from_test_tables(spark, sf_dir)
+    """With a given as-of date: without one, its scalar subquery is one more pass over the segments."""
+    return warehouse.from_test_tables(spark, sf_dir, as_of="1998-12-01")
 
 
-def test_rollup_reuses_join_partitioning(spark, fresh):
-    # As at scale: no broadcast of the orders side.
-    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = physical(fresh.fact_base)
-    assert "SortMergeJoin" in plan
-    # one exchange per join side, none between the join and the rollup
-    assert plan.count("Exchange hashpartitioning") == 2, plan
+def test_rollup_of_stored_segments_has_one_exchange_and_one_sort(spark, fresh):
+    plan = physical(fresh.land().fact_base)
+    known = plan[:plan.index("FileScan")]  # the branch of segments with a claim id, down to its scan
+    assert known.count("Exchange") == 1 and known.count("Sort [") == 1, plan
+    assert plan.count("IsNull(CLM_ID)") == 1 and plan.count("FileScan") == 2  # the other reads no other rows
+
+
+def jobs_run(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+
+
+def test_building_models_starts_no_job(spark, sf_dir):
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        wh = warehouse.from_test_tables(spark, sf_dir)  # reads the files' footers
+        before = jobs_run(spark)
+        for df in (wh.fact, wh.dim_patient, wh.dim_provider, wh.dim_diagnosis, wh.dim_carc_denials,
+                   kpis.header_cards(wh.fact), kpis.ar_aging_matrix(wh.fact),
+                   kpis.top_carc_denials(wh.fact, wh.dim_carc_denials)):
+            assert df.columns
+        assert jobs_run(spark) == before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_unset_shared_folder_on_a_cluster_is_an_error(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from claimlens import session
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                         getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(SimpleNamespace(sparkContext=sc))
 
 
 def test_fact_needs_no_join_beyond_the_segments(spark, fresh):
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         plan = physical(fresh.fact)
+        without_code = physical(fresh.fact.drop("carc_code"))
     assert "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan
-    assert plan.count("SortMergeJoin") == 1  # the raw segment join only
+    assert without_code.count("SortMergeJoin") == 1  # the raw segment join only
+    assert plan.count("SortMergeJoin") - 1 == plan.count("LeftSemi")  # and the pool's, within its subquery
 
 
 def test_reason_draw_pruned_when_unused(fresh):
@@ -80,8 +109,9 @@ def test_column_pruning_reaches_the_scan(fresh):
 
 
 def test_partition_filter_is_pushed(spark, sf_dir):
+    from pyspark.sql import functions as F
     df = registry.queries()["sink_partitioned_roundtrip"](spark, sf_dir)
-    plan = physical(df)
+    plan = physical(df.filter(F.col("claim_type") == "Inpatient"))
     assert "PartitionFilters: [isnotnull(claim_type" in plan and "Inpatient" in plan
 
 
