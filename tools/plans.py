@@ -19,16 +19,16 @@ from claimlens import registry  # noqa: E402
 from claimlens.session import local_session  # noqa: E402
 
 SHOWN = {
-    "stg_fact_base": "Segment join and claim rollup share one exchange on the claim id; the sort-based rollup reuses the join's sort order (no extra sort).",
-    "fact_claims_adjudication": "No shuffle and no join after the rollup (which reuses the join's sort order); the reason code indexes the 100-entry slot array and the as-of date is a scalar, both over checkpointed rows.",
+    "stg_fact_base": "The claim rollup's two aggregation steps share one exchange on the claim id and one sort.",
+    "fact_claims_adjudication": "No shuffle and no join after the rollup; the reason-code list and the as-of date are scalar subqueries.",
     "dim_patient": "WindowGroupLimit keeps one row per beneficiary before the shuffle.",
     "dim_diagnosis": "One scan, explode of three columns, partial distinct before the shuffle.",
     "kpi_clean_claim_rate": "One partial aggregate per task, one row shuffled per task.",
     "kpi_header_cards": "One groupBy(claim_type), then a global aggregate over at most two rows.",
     "kpi_ar_aging_matrix": "Pre-aggregate by (provider, bucket, type); per-type averages broadcast (two rows).",
-    "kpi_top_carc_denials": "Aggregate by code, window over at most 101 rows, then the lookup join.",
+    "kpi_top_carc_denials": "Aggregate by code, window over one row per code, then the lookup join.",
     "kpi_provider_extremes": "Two TakeOrderedAndProject top-10s; windows only over the 10 rows each leaves.",
-    "ar_matrix_top_providers": "Pivot with fixed values (no discovery job), then a top-12.",
+    "ar_matrix_top_providers": "Conditional sums per fixed bucket (no discovery job), then a top-12.",
     "dq_orphaned_claims": "NULL patient ids bypass the anti join; the rest is an anti join on the key.",
 }
 
