@@ -34,7 +34,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +67,25 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
 """
 
 
+# Base32 of the 160 bits of a SHA-1: four groups of 40 bits, eight digits each.
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT *, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS f FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         (CAST('0x' || substr(h, 1 + 10 * (k // 8), 10) AS BIGINT) >> (35 - 5 * (k % 8))) & 31 AS INTEGER) + 1, 1)
+         FOR k IN range(32)], '') AS payload_digest,
+       CASE WHEN f IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f IS DISTINCT FROM page_id THEN f END AS refers_to
+FROM d
+"""
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_line_dedup, op2_lm_score, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc, op7_near_dedup, op8_topk, op9_url_filter,
-             op10_quality)
+    found = (op1_line_dedup, op2_lm_score, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc,
+             op7_near_dedup, op8_topk, op9_url_filter, op10_quality)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_topk": OP8_SQL}
+    return {"op6_warc": OP6_SQL, "op8_topk": OP8_SQL}
