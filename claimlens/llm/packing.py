@@ -164,11 +164,13 @@ def best_fit_pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocab
     """
     spark = docs.sparkSession
     left = stored(pieces(docs, size, end_id, vocabulary), "pieces")
-    done, round_no, before = [], 0, None
+    done, round_no, before, as_before = [], 0, None, None
     while True:
         n = left.count()
         parts = max(1, -(-n // per_partition))
-        key = F.pmod(F.xxhash64("doc_key", "start", F.lit(round_no)), F.lit(parts)).cast("long")
+        # The row number deals pieces of one id apart (ids may be null or repeat).
+        key = F.pmod(F.xxhash64("doc_key", "start", F.monotonically_increasing_id(), F.lit(round_no)),
+                     F.lit(parts)).cast("long")
         placed = stored(map_groups(left.withColumn("part", key), ["part"], _pack_part(size), PLACED),
                         f"packed-{round_no}")
         # A sequence keeps the number of its round and partition for good.
@@ -177,7 +179,10 @@ def best_fit_pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocab
             + F.col("sequence_id"))
         per_part = placed.groupBy("part").agg(F.first("bins").alias("bins"))
         total = per_part.agg(F.sum("bins")).first()[0] or 0
-        if parts == 1 or (before is not None and total >= before):
+        if before is not None and total > before:  # worse than it was: that stays
+            done.append(as_before)
+            break
+        if parts == 1 or total == before:
             done.append(numbered)
             break
         # Certified partitions give up nothing but their one bin that is far from full;
@@ -185,8 +190,9 @@ def best_fit_pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocab
         certified = F.col("bins") <= F.col("bound")
         opened = (certified & (F.col("free") >= size // 4)) | (~certified & (F.col("free") > size // 64))
         done.append(numbered.filter(~opened))
+        as_before = numbered.filter(opened)
         left = pick(placed.filter(opened), "doc_id", "piece", "start", "length", "ids_crc32", "doc_key")
-        before = numbered.filter(opened).select("sequence_id").distinct().count()
+        before = as_before.select("sequence_id").distinct().count()
         round_no += 1
         if before == 0:
             break
