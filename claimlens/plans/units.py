@@ -115,8 +115,8 @@ def circulatory_codes(dim_diagnosis: DataFrame) -> DataFrame:
 def adjudication_join(base: DataFrame, draws: DataFrame) -> DataFrame:
     """Claims joined 1:1 to their adjudication outcome on ``claim_id``.
 
-    Both sides derive from the claim rollup, which is hash-partitioned by
-    ``claim_id``, so the join needs no further exchange.
+    Pass a stored rollup: both sides then scan its columns, and the segments
+    are not rolled up a second time.
     """
     outcome = factmod.fact_claims(base, draws).select("claim_id", "adjudication_status", "carc_code")
     return inner_join(base, outcome, "claim_id")
