@@ -18,7 +18,9 @@ WORD = re.compile(r"\w+")
 
 # Slots of the bounded pre-filter (see ``maybe_in``): at most this many
 # integers are ever broadcast, whatever the size of the data.
-SLOTS = 1 << 17
+SLOTS = 1 << 20
+ROWS = 1024      # of a batch that are worked on at a time
+BITS = 1 << 24   # of a broadcast bitmap: 2 MB
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +57,25 @@ def maybe_in(df: DataFrame, key: Column, keys: DataFrame, flag: str, slots: int
             .drop("__slot", "__hit"))
 
 
+def bitmap(keys: DataFrame) -> bytes:
+    """A bit for each key of a binary column of hashes, for ``in_bitmap``: BITS bits, whatever the data.
+
+    A pre-filter like ``maybe_in``, but finer: an exact join must follow.
+    """
+    name = keys.columns[0]
+    bit = F.pmod(F.conv(F.hex(F.substring(name, 1, 6)), 16, 10).cast("long"), F.lit(BITS))
+    words = (keys.select(bit.alias("bit")).groupBy((F.col("bit") / 32).cast("long").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("v")).toPandas())
+    out = np.zeros(BITS // 32, "<u4")
+    out[words["word"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
+    return out.tobytes()
+
+
+def in_bitmap(bits: bytes, key: bytes) -> bool:
+    bit = int.from_bytes(key[:6], "big") % BITS
+    return bool(bits[bit >> 3] >> (bit & 7) & 1)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers that see this folder import the package from it.
 
@@ -72,13 +93,16 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> Dat
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
-              schema: str) -> DataFrame:
-    """mapInArrow for a function from one record batch to one batch."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """mapInArrow for a function from one record batch to one batch.
+
+    Batches are handed on in slices of ROWS, so that only few texts are Python
+    objects at a time; the function sees every row once.
+    """
     def run(batches):
         for b in batches:
-            if b.num_rows:
-                yield fn(b)
+            for at in range(0, b.num_rows, ROWS):
+                yield fn(b.slice(at, ROWS))
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 
@@ -93,15 +117,16 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def text_md5(text: Column) -> Column:
+    """The 16 bytes of a text's MD5."""
+    return F.unhex(F.md5(text.cast("string").cast("binary")))
+
+
 def pick(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns of any name cannot clash."""
     return df.select(*[F.col(c) for c in columns])
 
 
-def pad_ids(batch: pa.RecordBatch, name: str) -> list:
-    return batch.column(name).to_pylist()
-
-
 def runs(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Cut consecutive rows into ranges of at most ``limit`` in total, one row at least."""
     start, total = 0, 0

@@ -8,7 +8,7 @@ words or more is a passage by itself and always a chunk of its own.
 Chunks that occur more than once (by 128-bit hash, counted with map-side
 combining) are candidates. Their text is then compared byte for byte by
 grouping on it; every occurrence but the first (smallest doc_id, then text
-hash, then place) is removed.
+hash, then place) is removed. Documents without such a chunk are not moved.
 
 Definitions: lines end at "\\n". A chunk counts if it has two lines or more,
 or is one long line, and has ``MIN_WORDS`` words at least. Null text stays
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import map_arrow, maybe_in
+from claimlens.llm.common import bitmap, in_bitmap, map_arrow, maybe_in, stored, text_md5
 
 WINDOW = 2       # lines that a boundary depends on
 MEAN_LINES = 4   # a boundary after one line in so many
@@ -64,31 +64,43 @@ def _counts(lines: list[str], a: int, b: int, text: str) -> bool:
     return len(text.split(None, MIN_WORDS)) >= MIN_WORDS
 
 
-def text_hash(text):
-    return F.unhex(F.md5(text.cast("binary")))
+def _chunk_rows(docs: DataFrame, bits: bytes | None = None) -> DataFrame:
+    """Chunks that count: doc_id, text_hash, first, lines, chunk (128-bit hash of its text).
 
-
-def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    schema = "doc_id long, text_hash binary, first int, lines int, chunk binary" + ", body string" * with_text
+    With ``bits``: only chunks whose bit is set, as (chunk, body).
+    """
+    shared = None if bits is None else docs.sparkSession.sparkContext.broadcast(bits)  # 4 MB
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[] for _ in range(5 + with_text)]
+        out = [[] for _ in range(5 if shared is None else 2)]
         for doc_id, text, own in zip(*(c.to_pylist() for c in batch.columns)):
             if not text:
                 continue
             lines = text.split("\n")
             for a, b in chunks(lines):
                 body = "\n".join(lines[a:b])
-                if _counts(lines, a, b, body):
-                    row = (doc_id, own, a, b - a, xxhash.xxh3_128_digest(body), body)
-                    for column, value in zip(out, row):
-                        column.append(value)
-        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.string())
-        names = ["doc_id", "text_hash", "first", "lines", "chunk", "body"]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names[: len(out)])
+                if not _counts(lines, a, b, body):
+                    continue
+                key = xxhash.xxh3_128_digest(body)
+                if shared is None:
+                    row = (doc_id, own, a, b - a, key)
+                else:
+                    if not in_bitmap(shared.value, key):
+                        continue
+                    row = (key, body)
+                for column, value in zip(out, row):
+                    column.append(value)
+        if shared is None:
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+            names = ["doc_id", "text_hash", "first", "lines", "chunk"]
+        else:
+            kinds, names = (pa.binary(), pa.string()), ["chunk", "body"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     text = F.col("text").cast("string")
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), text, text_hash(text)), run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), text, text_md5(text)), run,
+                     "doc_id long, text_hash binary, first int, lines int, chunk binary" if bits is None
+                     else "chunk binary, body string")
 
 
 # One sortable value for an occurrence: ids in order (null first), then text hash, then place.
@@ -99,18 +111,17 @@ def _place():
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """Occurrences to remove: doc_id, text_hash, first, lines (all but the first of each chunk)."""
-    found = _chunk_rows(docs, with_text=False).withColumn("at", _place())
+    found = stored(_chunk_rows(docs), "chunks").withColumn("at", _place())
     ends = found.groupBy("chunk").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-    repeated = ends.filter(F.col("lo") != F.col("hi")).select("chunk")
-    bodies = maybe_in(_chunk_rows(docs, with_text=True), F.col("chunk"), repeated, "maybe").filter("maybe").drop("maybe")
-    # Byte comparison: the text itself is a grouping and a join key.
-    keepers = (bodies.withColumn("at", _place()).groupBy("chunk", "body")
-               .agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-               .filter(F.col("lo") != F.col("hi"))
-               .select(F.col("chunk").alias("k_chunk"), F.col("body").alias("k_body"), F.col("lo").alias("keep")))
-    same = (F.col("chunk") == F.col("k_chunk")) & (F.col("body") == F.col("k_body"))
-    return (bodies.join(keepers, same).filter(_place() != F.col("keep"))
-            .select("doc_id", "text_hash", "first", "lines"))
+    repeated = stored(ends.filter(F.col("lo") != F.col("hi")).select("chunk", F.col("lo").alias("keep")), "repeated")
+    # Byte comparison: texts of one hash are grouped by their bytes. Where all
+    # are the same, the hash stands for them; only these chunks are removed.
+    # (Two different texts of one 128-bit hash would both stay.)
+    bodies = _chunk_rows(docs, bitmap(repeated.select("chunk"))).distinct()
+    same = bodies.groupBy("chunk").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") == 1)
+    proven = repeated.join(same.select("chunk"), "chunk", "left_semi")
+    return found.join(proven, "chunk").filter(F.col("at") != F.col("keep")).select(
+        "doc_id", "text_hash", "first", "lines")
 
 
 def dedup_lines(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
@@ -123,10 +134,14 @@ def dedup_lines(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
     """
     cuts = (repeated_chunks(docs).distinct()
             .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "lines")).alias("cuts")))
+    cuts = stored(cuts, "cuts")
     # The input row travels as one struct, so no column of any name can clash.
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text, doc_id = F.col("row.text").cast("string"), F.col("row.doc_id").cast("long")
-    joined = whole.join(cuts, doc_id.eqNullSafe(F.col("doc_id")) & (text_hash(text) == F.col("text_hash")), "left")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = maybe_in(whole.withColumn("own", text_md5(text)), F.col("own"), cuts.select("text_hash"), "maybe")
+    joined = (whole.filter("maybe").join(
+        cuts, doc_id.eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("text_hash")), "left").select("row", "cuts")
+        .unionByName(whole.filter("not maybe").select("row", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"))))
     lines = F.split(text, "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.exists(
         "cuts", lambda c: (i >= c["first"]) & (i < c["first"] + c["lines"])))

@@ -35,7 +35,7 @@ POWER = 4.0          # votes weigh similarity ** POWER
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
 BLOCK = 256          # documents per matrix product
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 LONGEST_CACHED = 60
 _SHAPES = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a"),
            (re.compile(r"\d+"), lambda m: "0"))

@@ -35,7 +35,7 @@ MIN_Z = 4.0          # a ratio must be so many standard errors from 0,
 MIN_RATIO = 0.7      # and speak for the label: n-grams that speak against it pile up with a text's length
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 LONGEST_CACHED = 60  # characters
 
 
