@@ -27,14 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts the lineage).
 
     The rows survive the loss of any executor, and later jobs read them
-    instead of computing them again.
+    instead of computing them again. Most are hashes, packed bytes and small
+    numbers, so they are not compressed unless asked for; a codec's native
+    buffers would outlast the many small files of a long run.
     """
     path = new_scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -72,7 +72,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     # At most 2 * per_class ids: a proven bound for the broadcast.
     ids = F.broadcast(training_ids(docs, labels, label, per_class))
     picked = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.col("text").cast("string").alias("text"))
-    picked = stored(picked.join(ids, "t_id").dropDuplicates(["t_id"]).select("t_label", "text"), "training")
+    picked = stored(picked.join(ids, "t_id").dropDuplicates(["t_id"]).select("t_label", "text"), "training", "zstd")
     sizes = dict(picked.groupBy("t_label").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         return {}, (4.0 if sizes.get(1) else -4.0)
