@@ -47,7 +47,7 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("score")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,57 @@ FROM d
 """
 
 
+def _op9_sql() -> str:
+    """Rules, then the two Markov models order by order, the calibrated threshold and the verdicts."""
+    host = "translate(regexp_extract(url[strpos(url, '://') + 3:], '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = "regexp_extract(url[strpos(url, '://') + 3:], '^[^/?#]*([^?#]*)', 1)"
+    rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}') THEN " for _, h, p in rules]
+    rule = "CASE " + " ".join(f"WHEN {f}'{h}{p}'" for f, (_, h, p) in zip(fits, rules)) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {f}'{v}'" for f, (v, _, _) in zip(fits, rules)) + " END"
+    k_max, least, limit, bins = url_filter.ORDER, url_filter.MIN_CONTEXT, url_filter.LIMIT, url_filter.BINS
+    orders = []
+    for k in range(k_max + 1):
+        shorter = f"JOIN p{k - 1} l ON l.gram = right(g.gram, {k})" if k else \
+            f"CROSS JOIN (SELECT 1.0::DOUBLE / {url_filter.ALPHABET} AS pa, 1.0::DOUBLE / {url_filter.ALPHABET} AS pr) l"
+        mix = lambda n, total, kinds, p: (
+            f"CASE WHEN {total} >= {least} THEN (g.{n} + {kinds} * l.{p}) / CAST({total} + {kinds} AS DOUBLE) ELSE l.{p} END AS {p}")
+        orders.append(f"""
+g{k} AS (SELECT right("window", {k + 1}) AS gram, left(right("window", {k + 1}), {k}) AS context,
+         CAST(SUM(a) AS BIGINT) AS a, CAST(SUM(r) AS BIGINT) AS r FROM every GROUP BY 1, 2),
+c{k} AS (SELECT context, CAST(SUM(a) AS BIGINT) AS na, CAST(SUM(r) AS BIGINT) AS nr, COUNT(*) FILTER (WHERE a > 0) AS ta,
+         COUNT(*) FILTER (WHERE r > 0) AS tr FROM g{k} GROUP BY 1),
+p{k} AS (SELECT g.gram, {mix('a', 'na', 'ta', 'pa')}, {mix('r', 'nr', 'tr', 'pr')}
+         FROM g{k} g JOIN c{k} c USING (context) {shorter})""")
+    below = "(ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+WITH parts AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN {host} ELSE '' END AS host,
+                      CASE WHEN contains(url, '://') THEN {path} ELSE '' END AS path FROM pages),
+ruled AS (SELECT *, {rule} AS rule, {verdict} AS by_rule FROM parts),
+urls AS (SELECT url, by_rule, COUNT(*) AS n, CAST('0x' || md5(url)[1:8] AS BIGINT) % {url_filter.CALIBRATION} = 0 AS kept
+         FROM ruled WHERE url IS NOT NULL GROUP BY url, by_rule),
+padded AS (SELECT *, repeat(chr(2), {k_max}) || url || chr(3) AS s FROM urls),
+windows AS (SELECT url, by_rule, n, kept, substr(s, i, {k_max + 1}) AS "window"
+            FROM (SELECT *, unnest(range(1, length(url) + 2)) AS i FROM padded)),
+every AS (SELECT "window", SUM(CASE WHEN by_rule = 'allow' AND NOT kept THEN n ELSE 0 END) AS a,
+                 SUM(CASE WHEN by_rule = 'block' AND NOT kept THEN n ELSE 0 END) AS r FROM windows GROUP BY 1),
+{",".join(orders)},
+scored AS (SELECT url, any_value(by_rule) AS by_rule, any_value(n) AS n,
+                  CAST(SUM(CAST(round((ln(pa) - ln(pr)) * {url_filter.UNIT}) AS BIGINT)) AS DOUBLE) / COUNT(*) / {url_filter.UNIT} AS score
+           FROM windows JOIN p{k_max} ON gram = "window" WHERE kept OR by_rule IS NULL GROUP BY url),
+bins AS (SELECT CAST(floor(greatest(-{limit}, least({limit}, score)) * {bins}) AS BIGINT) AS bin,
+                CAST(SUM(CASE WHEN by_rule = 'allow' THEN n ELSE 0 END) AS DOUBLE) AS a,
+                CAST(SUM(CASE WHEN by_rule = 'block' THEN n ELSE 0 END) AS DOUBLE) AS r
+         FROM scored WHERE by_rule IS NOT NULL GROUP BY 1),
+best AS (SELECT bin, 1 - coalesce(SUM(a) OVER {below}, 0) / nullif(SUM(a) OVER (), 0)
+                       + coalesce(SUM(r) OVER {below}, 0) / nullif(SUM(r) OVER (), 0) AS share FROM bins),
+chosen AS (SELECT coalesce((SELECT bin / {bins}.0 FROM best WHERE share IS NOT NULL ORDER BY share DESC, abs(bin), bin LIMIT 1), 0) AS t)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       coalesce(ruled.by_rule, CASE WHEN score >= (SELECT t FROM chosen) THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled LEFT JOIN scored ON scored.url = ruled.url
+"""
+
+
 def queries() -> dict[str, Query]:
     found = (op1_line_dedup, op2_lm_score, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc,
              op7_near_dedup, op8_topk, op9_url_filter, op10_quality)
@@ -88,4 +139,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op8_topk": OP8_SQL}
+    return {"op6_warc": OP6_SQL, "op8_topk": OP8_SQL, "op9_url_filter": _op9_sql()}

@@ -133,7 +133,8 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)
     urls = stored(rows.filter(F.col("url").isNotNull()).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
                   .select("url", "n", key.alias("key"), verdict.alias("verdict"))
-                  .withColumn("kept", F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(CALIBRATION)) == 0), "urls")
+                  .withColumn("kept", F.conv(F.substring(F.md5(F.col("url").cast("binary")), 1, 8), 16, 10).cast("long")
+                              % CALIBRATION == 0), "urls")
     training = urls.filter(F.col("verdict").isNotNull() & ~F.col("kept"))
     judged = urls.filter(F.col("verdict").isNull() | F.col("kept"))
     seen = _windows(training, "verdict", "n").groupBy("window").agg(
