@@ -22,7 +22,8 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id")
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +82,32 @@ FROM d
 """
 
 
+# Every item against every document by shared windows of five words (of all words, where a part has fewer).
+OP3_SQL = r"""
+WITH items AS (SELECT DISTINCT item_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS t FROM benchmark WHERE item_id IS NOT NULL),
+cut AS (
+  SELECT item_id, CASE WHEN contains(t, chr(10)) THEN regexp_extract(t, '(?s)^(.*)\n([^\n]*)$', ['q', 'a'])
+                       WHEN regexp_matches(t, '(?s)[.!?]\s') THEN regexp_extract(t, '(?s)^(.*[.!?]\s+)(.*)$', ['q', 'a'])
+                       ELSE {'q': t, 'a': ''} END AS c FROM items),
+parts AS (
+  SELECT item_id, part, regexp_extract_all(lower(CASE part WHEN 1 THEN c.q ELSE c.a END), '[\p{L}\p{N}_]+') AS w
+  FROM cut, (VALUES (1), (2)) v(part)),
+wanted AS (
+  SELECT DISTINCT item_id, part, least(5, len(w)) AS k, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM parts WHERE len(w) > 0)),
+need AS (SELECT item_id, part, COUNT(*) AS n FROM wanted GROUP BY 1, 2),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+runs AS (
+  SELECT r, doc_id, ks.k, array_to_string(w[i:i + ks.k - 1], ' ') AS gram
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs) d, (SELECT DISTINCT k FROM wanted) ks
+  WHERE i + ks.k - 1 <= len(w)),
+have AS (SELECT DISTINCT r, doc_id, k, gram FROM runs),
+hits AS (SELECT r, doc_id, item_id, part, COUNT(*) AS n FROM have JOIN wanted USING (k, gram) GROUP BY ALL)
+SELECT doc_id, item_id FROM hits JOIN need USING (item_id, part) WHERE hits.n >= 0.8 * need.n
+GROUP BY r, doc_id, item_id HAVING COUNT(*) = (SELECT COUNT(*) FROM need x WHERE x.item_id = hits.item_id)
+"""
+
+
 def _op9_sql() -> str:
     """Rules, then the two Markov models order by order, the calibrated threshold and the verdicts."""
     host = "translate(regexp_extract(url[strpos(url, '://') + 3:], '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -139,4 +166,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op8_topk": OP8_SQL, "op9_url_filter": _op9_sql()}
+    return {"op3_decontamination": OP3_SQL, "op6_warc": OP6_SQL, "op8_topk": OP8_SQL, "op9_url_filter": _op9_sql()}
