@@ -204,8 +204,8 @@ def shards(bench: DataFrame):
     for k in range(count):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         own = part.select(F.explode("terms").alias("term")).distinct().join(df, "term")
-        rows = sorted((r["item_id"], r["text"]) for r in part.select("item_id", "text").toLocalIterator())
-        yield Index(rows, {r["term"]: r["df"] for r in own.toLocalIterator()}, int(stats["n"]), float(stats["mean"] or 0))
+        rows = sorted((r["item_id"], r["text"]) for r in part.select("item_id", "text").collect())
+        yield Index(rows, {r["term"]: r["df"] for r in own.collect()}, int(stats["n"]), float(stats["mean"] or 0))
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP) -> DataFrame:
