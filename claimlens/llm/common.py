@@ -95,16 +95,17 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> Dat
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
+              rows: int = ROWS) -> DataFrame:
     """mapInArrow for a function from one record batch to one batch.
 
-    Batches are handed on in slices of ROWS, so that only few texts are Python
+    Batches are handed on in slices of ``rows``, so that only few texts are Python
     objects at a time; the function sees every row once.
     """
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, ROWS):
-                yield fn(b.slice(at, ROWS))
+            for at in range(0, b.num_rows, rows):
+                yield fn(b.slice(at, rows))
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 

@@ -35,6 +35,7 @@ MIN_Z = 4.0          # a ratio must be so many standard errors from 0,
 MIN_RATIO = 0.7      # and speak for the label: n-grams that speak against it pile up with a text's length
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
+COUNTED = 128        # texts whose n-grams a worker counts at a time
 CACHE_WORDS = 150_000
 LONGEST_CACHED = 60  # characters
 
@@ -72,7 +73,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     # At most 2 * per_class ids: a proven bound for the broadcast.
     ids = F.broadcast(training_ids(docs, labels, label, per_class))
     picked = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.col("text").cast("string").alias("text"))
-    picked = stored(picked.join(ids, "t_id").dropDuplicates(["t_id"]).select("t_label", "text"), "training", "zstd")
+    picked = stored(picked.join(ids, "t_id").dropDuplicates(["t_id"]).select("t_label", "text"), "training")
     sizes = dict(picked.groupBy("t_label").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         return {}, (4.0 if sizes.get(1) else -4.0)
@@ -87,7 +88,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
             [pa.array(found, pa.string()), *(pa.array([c[g] for g in found], pa.int64()) for c in counts)],
             names=["gram", "c0", "c1"])
 
-    counted = stored(map_arrow(picked, count, "gram string, c0 long, c1 long").groupBy("gram")
+    counted = stored(map_arrow(picked, count, "gram string, c0 long, c1 long", COUNTED).groupBy("gram")
                      .agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "grams")
     # Shares of all n-grams of the class, so that a class of longer texts is not favoured.
     of = counted.agg(F.sum("c0").alias("m0"), F.sum("c1").alias("m1"), F.count(F.lit(1)).alias("n")).first()
