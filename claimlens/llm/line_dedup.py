@@ -1,24 +1,31 @@
 """Removal of multi-line chunks that repeat anywhere in the corpus.
 
-Each document's lines are hashed; a rolling hash over the last ``WINDOW`` line
-hashes chooses the chunk boundaries, so they depend on nearby content only and
-text moved or inserted elsewhere does not shift them. A line of ``LONG_WORDS``
-words or more is a passage by itself and always a chunk of its own.
-
-Chunks that occur more than once (by 128-bit hash, counted with map-side
-combining) are candidates. Their text is then compared byte for byte by
-grouping on it; every occurrence but the first (smallest doc_id, then text
-hash, then place) is removed. Documents without such a chunk are not moved.
-
-Definitions: lines end at "\\n". A chunk counts if it has two lines or more,
-or is one long line, and has ``MIN_WORDS`` words at least. Null text stays
+Chunks overlap: one begins at every line and one ends at every line, each the
+shortest run of lines that counts. They depend on their own lines only, so
+text around them does not matter, and every line of a repeated passage that
+counts is in a chunk that lies inside the passage: the chunk that begins there
+or, near its end, the one that ends with the passage. Nothing is lost to the
+choice of boundaries.
+
+Chunks whose 64-bit hash occurs more than once (counted with map-side
+combining) go on, by a bitmap, to the exact count by 128-bit hash. The text of
+those that repeat is then compared byte for byte by grouping on it; every
+occurrence but the first (smallest doc_id, then text hash, then place) is
+removed. Documents without such a chunk are not moved.
+
+Definitions: lines end at "\\n". A chunk counts if it has two lines or more and
+``MIN_WORDS`` words at least, or is one line of ``LONG_WORDS`` words or more. An
+occurrence that overlaps the first one is no repetition of it. Of a run of empty
+lines, chunks begin and end at the ``MAX_BLANK`` next to a line with words. Null text stays
 null. Rows that repeat doc_id and text in whole are one document: each gets
 the same result, and they are no repetition of each other.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -27,80 +34,85 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import bitmap, in_bitmap, map_arrow, maybe_in, stored, text_md5
 
-WINDOW = 2       # lines that a boundary depends on
-MEAN_LINES = 4   # a boundary after one line in so many
 MIN_LINES = 2
-MAX_LINES = 64   # a boundary at the latest after so many lines
+MAX_BLANK = 64   # empty lines at either end of a chunk
 LONG_WORDS = 50
 MIN_WORDS = 10
-_PRIME = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-
-
-def chunks(lines: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges (first line, line after the last) of a document's chunks."""
-    start, before = 0, 0
-    for i, line in enumerate(lines):
-        if len(line) > 2 * LONG_WORDS and len(line.split(None, LONG_WORDS)) >= LONG_WORDS:
-            if i > start:
-                yield start, i
-            yield i, i + 1
-            start, before = i + 1, 0
+
+
+def chunks(lines: list[str]) -> list[tuple[int, int]]:
+    """Ranges (first line, line after the last) of a document's chunks, in order."""
+    words = [len(line.split(None, LONG_WORDS)) for line in lines]
+    total = [0, *accumulate(words)]
+    found = set()
+    for i, n in enumerate(words):
+        if n >= LONG_WORDS:
+            found.add((i, i + 1))
             continue
-        h = xxhash.xxh3_64_intdigest(line)
-        rolled = (before * _PRIME + h) & _MASK  # the window's hash: this line and the one before
-        before = h
-        n = i + 1 - start
-        if n >= MIN_LINES and (rolled * _PRIME & _MASK) >> 32 < (1 << 32) // MEAN_LINES or n >= MAX_LINES:
-            yield start, i + 1
-            start = i + 1
-    if start < len(lines):
-        yield start, len(lines)
+        a = min(i + 1 - MIN_LINES, bisect_right(total, total[i + 1] - MIN_WORDS) - 1)
+        if a >= 0 and (n or i + 1 - bisect_left(total, total[i]) <= MAX_BLANK):
+            found.add((a, i + 1))
+        b = max(i + MIN_LINES, bisect_left(total, total[i] + MIN_WORDS))
+        if b <= len(lines) and (n or bisect_right(total, total[i]) - 1 - i <= MAX_BLANK):
+            found.add((i, b))
+    return sorted(found)
 
 
 def _counts(lines: list[str], a: int, b: int, text: str) -> bool:
     if b - a < MIN_LINES:
-        return len(lines[a]) > 2 * LONG_WORDS and len(lines[a].split(None, LONG_WORDS)) >= LONG_WORDS
+        return len(lines[a].split(None, LONG_WORDS)) >= LONG_WORDS
     return len(text.split(None, MIN_WORDS)) >= MIN_WORDS
 
 
-def _chunk_rows(docs: DataFrame, bits: bytes | None = None) -> DataFrame:
-    """Chunks that count: doc_id, text_hash, first, lines, chunk (128-bit hash of its text).
+def _bodies(text: str) -> Iterator[tuple[int, int, str]]:
+    """First line, number of lines and text of each chunk."""
+    lines = text.split("\n")
+    starts = [0, *accumulate(len(line) + 1 for line in lines)]
+    for a, b in chunks(lines):
+        yield a, b - a, text[starts[a]:starts[b] - 1]
+
+
+def _likely(docs: DataFrame) -> bytes:
+    """A bitmap of the chunks that may occur more than once."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [int.from_bytes(xxhash.xxh3_128_digest(body)[:8], "big", signed=True)
+               for text in batch.column(0).to_pylist() if text for _, _, body in _bodies(text)]
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["half"])
+
+    halves = map_arrow(docs.select(F.col("text").cast("string").alias("text")), run, "half long")
+    several = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return bitmap(several.select(F.unhex(F.lpad(F.hex("half"), 16, "0")).alias("chunk")))
+
+
+def _chunk_rows(docs: DataFrame, bits: bytes, bodies: bool = False) -> DataFrame:
+    """Chunks whose bit is set: doc_id, text_hash, first, lines, chunk (128-bit hash of its text).
 
-    With ``bits``: only chunks whose bit is set, as (chunk, body).
+    With ``bodies``: as (chunk, body).
     """
-    shared = None if bits is None else docs.sparkSession.sparkContext.broadcast(bits)  # 4 MB
+    shared = docs.sparkSession.sparkContext.broadcast(bits)  # 2 MB
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[] for _ in range(5 if shared is None else 2)]
+        out = [[] for _ in range(2 if bodies else 5)]
         for doc_id, text, own in zip(*(c.to_pylist() for c in batch.columns)):
             if not text:
                 continue
-            lines = text.split("\n")
-            for a, b in chunks(lines):
-                body = "\n".join(lines[a:b])
-                if not _counts(lines, a, b, body):
-                    continue
+            for first, lines, body in _bodies(text):
                 key = xxhash.xxh3_128_digest(body)
-                if shared is None:
-                    row = (doc_id, own, a, b - a, key)
-                else:
-                    if not in_bitmap(shared.value, key):
-                        continue
-                    row = (key, body)
-                for column, value in zip(out, row):
+                if not in_bitmap(shared.value, key):
+                    continue
+                for column, value in zip(out, (key, body) if bodies else (doc_id, own, first, lines, key)):
                     column.append(value)
-        if shared is None:
+        if bodies:
+            kinds, names = (pa.binary(), pa.string()), ["chunk", "body"]
+        else:
             kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
             names = ["doc_id", "text_hash", "first", "lines", "chunk"]
-        else:
-            kinds, names = (pa.binary(), pa.string()), ["chunk", "body"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     text = F.col("text").cast("string")
     return map_arrow(docs.select(F.col("doc_id").cast("long"), text, text_md5(text)), run,
-                     "doc_id long, text_hash binary, first int, lines int, chunk binary" if bits is None
-                     else "chunk binary, body string")
+                     "chunk binary, body string" if bodies
+                     else "doc_id long, text_hash binary, first int, lines int, chunk binary")
 
 
 # One sortable value for an occurrence: ids in order (null first), then text hash, then place.
@@ -111,30 +123,50 @@ def _place():
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """Occurrences to remove: doc_id, text_hash, first, lines (all but the first of each chunk)."""
-    found = stored(_chunk_rows(docs), "chunks").withColumn("at", _place())
+    found = stored(_chunk_rows(docs, _likely(docs)), "chunks").withColumn("at", _place())
     ends = found.groupBy("chunk").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     repeated = stored(ends.filter(F.col("lo") != F.col("hi")).select("chunk", F.col("lo").alias("keep")), "repeated")
     # Byte comparison: texts of one hash are grouped by their bytes. Where all
     # are the same, the hash stands for them; only these chunks are removed.
     # (Two different texts of one 128-bit hash would both stay.)
-    bodies = _chunk_rows(docs, bitmap(repeated.select("chunk"))).distinct()
+    bodies = _chunk_rows(docs, bitmap(repeated.select("chunk")), bodies=True).distinct()
     same = bodies.groupBy("chunk").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") == 1)
     proven = repeated.join(same.select("chunk"), "chunk", "left_semi")
-    return found.join(proven, "chunk").filter(F.col("at") != F.col("keep")).select(
-        "doc_id", "text_hash", "first", "lines")
+    of_keep = ((F.col("at.o") == F.col("keep.o")) & (F.col("at.t") == F.col("keep.t"))
+               & (F.col("first") < F.col("keep.f") + F.col("lines")))  # the first itself, or it overlaps the first
+    return found.join(proven, "chunk").filter(~of_keep).select("doc_id", "text_hash", "first", "lines")
+
+
+def _merged(cuts: DataFrame) -> DataFrame:
+    """The cuts of each document (doc_id, text_hash, cuts) as runs of lines that neither overlap nor touch."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for found in batch.column("cuts").to_pylist():
+            ranges: list[dict[str, int]] = []
+            for first, end in sorted((c["first"], c["first"] + c["lines"]) for c in found):
+                if ranges and first <= ranges[-1]["first"] + ranges[-1]["lines"]:
+                    ranges[-1]["lines"] = max(ranges[-1]["lines"], end - ranges[-1]["first"])
+                else:
+                    ranges.append({"first": first, "lines": end - first})
+            out.append(ranges)
+        kind = pa.list_(pa.struct([("first", pa.int32()), ("lines", pa.int32())]))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(out, kind)],
+                                          names=["doc_id", "text_hash", "cuts"])
+
+    return map_arrow(cuts, run, "doc_id long, text_hash binary, cuts array<struct<first:int,lines:int>>")
 
 
 def dedup_lines(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
     """Every document with its repeated chunks removed.
 
-    Returns doc_id, text, n_lines, removed_lines and removed_chunks; with
-    ``keep_columns`` the input's columns instead, with the new text (and
+    Returns doc_id, text, n_lines, removed_lines and removed_chunks (runs of
+    lines, each of one repeated chunk or several that join); with ``keep_columns`` the input's columns instead, with the new text (and
     n_chars, where the input has it). A null text counts 0 lines, an empty
     one 1. An empty table gives no rows.
     """
     cuts = (repeated_chunks(docs).distinct()
             .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "lines")).alias("cuts")))
-    cuts = stored(cuts, "cuts")
+    cuts = stored(_merged(cuts), "cuts")
     # The input row travels as one struct, so no column of any name can clash.
     text, doc_id = F.col("row.text").cast("string"), F.col("row.doc_id").cast("long")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

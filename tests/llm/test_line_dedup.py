@@ -85,3 +85,36 @@ def test_odd_rows_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert L.dedup_lines(docs(spark, [])).count() == 0
+
+
+def test_whole_passages_of_few_lines_go_from_all_copies_but_one(spark):
+    # Passages of 2 to 12 lines and over 50 words, each between other neighbours in every document.
+    rng = random.Random(11)
+    passages = [[sentence(rng, 52 // n + 1 + rng.randint(0, 2)) for _ in range(n)] for n in range(2, 13) for _ in range(8)]
+    passages.append(["one two", "", *[sentence(rng, 3) for _ in range(18)], "", "", "the end"])
+    rows = [(10 * k + c, "\n".join([prose(f"{k} {c} a", 1 + (k + c) % 3, 9), *p, prose(f"{k} {c} b", 1 + k % 4, 9)]))
+            for k, p in enumerate(passages) for c in range(3)]
+    out = L.dedup_lines(docs(spark, rows).repartition(5)).collect()
+    for r in out:
+        p, c = passages[r["doc_id"] // 10], r["doc_id"] % 10
+        gone = [x for x in dict(rows)[r["doc_id"]].split("\n") if x not in r["text"].split("\n")]
+        assert (gone == [] and r["removed_chunks"] == 0) if c == 0 else (gone == [x for x in p if x in gone])
+        assert r["removed_lines"] == (len(p) if c else 0)
+        assert not c or not any(x and x in r["text"].split("\n") for x in p)
+
+
+def test_every_repeated_run_of_lines_is_covered():
+    rng = random.Random(3)
+    for _ in range(300):
+        run = [sentence(rng, rng.choice([1, 2, 3, 9, 12, 60])) if rng.random() < 0.8 else "" for _ in range(rng.randint(2, 9))]
+        if sum(len(x.split()) for x in run) < L.MIN_WORDS:
+            continue
+        around = [sentence(rng, rng.randint(1, 20)) for _ in range(8)]
+        found = [(a, b) for a, b in L.chunks(around[:4] + run + around[4:]) if a >= 4 and b <= 4 + len(run)]
+        assert {i for a, b in found for i in range(a, b)} == set(range(4, 4 + len(run)))
+
+
+def test_an_occurrence_that_overlaps_the_first_stays(spark):
+    x = prose("x", 1, 20)
+    out = got(L.dedup_lines(docs(spark, [(1, "\n".join([x] * 3)), (2, "\n".join([x] * 4)), (3, f"{x}\nother")])))
+    assert out == {1: ["\n".join([x] * 3)], 2: [""], 3: [f"{x}\nother"]}
