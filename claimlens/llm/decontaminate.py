@@ -1,23 +1,20 @@
 """Benchmark decontamination: BM25 over an inverted index of test items.
 
-The index holds the benchmark items; every training passage is a query. Each
-item's BM25 score is divided by the score that the whole item would get, so
-one threshold serves items of all lengths: the normalised score says how much
-of an item's weight a passage covers. Block-max WAND retrieves every item at
-or above the threshold:
-
-- the short postings lists are summed for all passages of many documents at
-  once; an item's long lists (frequent terms) count as if the passage held
-  them all. Passages that reach no item so are passed over;
-- postings are in blocks of items with each block's largest impact; WAND's
-  pivot and the block maxima skip items that cannot reach it in the others.
-
-Items that are retrieved are verified on the document's words: the question
-and the answer (the item's last line or sentence, where it has one) must each
-have ``OVERLAP`` of their five-word shingles in the document near that place.
-
-Passages are ``PASSAGE`` words with half of them shared with the next one, or
-longer where an item needs it, so every run of half a passage is inside one.
+The index holds the benchmark items; every training document is a query. Its
+terms are the words that stand in a run of ``SHINGLE`` words (of a whole part,
+where that has fewer) which some item of the index has as well, wherever in
+the document they are. A document may hold an item's parts far apart, and
+decoys of it: each run counts.
+
+Each item's BM25 score is divided by the score that the whole item would get,
+so the normalised score says how much of an item's weight a document's known
+runs cover. Block-max WAND retrieves every item that reaches the threshold:
+postings are in blocks of items with each block's largest impact; WAND's
+pivot and the block maxima skip items that cannot reach it.
+
+Every item that is retrieved is verified once on the words of the whole
+document: the question and the answer (the item's last line or sentence, where
+it has one) must each have ``OVERLAP`` of their five-word shingles in it.
 
 The benchmark is dealt to shards of at most ``SHARD`` items; one shard's index
 at a time is broadcast, so its size is bounded however many items there are.
@@ -34,18 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import WORD, map_arrow, runs, texts
+from claimlens.llm.common import WORD, map_arrow, texts
 
 SHINGLE = 5
 OVERLAP = 0.8
-THRESHOLD = 0.5      # of an item's own score; an overlap of 0.8 leaves more
-PASSAGE = 128        # words
+THRESHOLD = 0.5      # of an item's own score
 SHARD = 20_000       # items per broadcast index
 BLOCK = 64           # postings per block
-LONG = 4             # lists under so many postings are always read
-ASIDE = 0.6          # see Index._split_lists
-TOGETHER = 2_000_000  # characters whose passages are bounded at once
 K1, B = 1.2, 0.75
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 _SENTENCE = re.compile(r"[.!?]\s+")
 
 
@@ -64,14 +58,26 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)} if words else set()
 
 
+def places(words: list[str], k: int) -> dict[tuple[str, ...], int]:
+    """The runs of k words, each with the word at which it first starts."""
+    return {tuple(words[i:i + k]): i for i in reversed(range(len(words) - k + 1))}
+
+
 def overlap(part: list[str], doc_words: list[str]) -> float:
     """Share of the part's shingles that the words hold; 1 for an empty part."""
     wanted = shingles(part)
     if not wanted:
         return 1.0
-    k = min(SHINGLE, len(part))
-    have = {tuple(doc_words[i:i + k]) for i in range(len(doc_words) - k + 1)}
-    return len(wanted & have) / len(wanted)
+    return len(wanted & places(doc_words, min(SHINGLE, len(part))).keys()) / len(wanted)
+
+
+def gram_hashes(terms: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of each run of k terms."""
+    out = np.zeros(max(0, len(terms) - k + 1), np.uint64)
+    for i in range(k):
+        out = (out ^ terms[i:i + len(out)].astype(np.uint64)) * _MULT
+        out ^= out >> np.uint64(29)
+    return out
 
 
 class Index:
@@ -96,7 +102,11 @@ class Index:
         self.impacts = [np.array([v for _, v in p]) for p in lists]
         self.block_max = [np.maximum.reduceat(v, np.arange(0, len(v), BLOCK)) for v in self.impacts]
         self.max_impact = np.array([v.max() for v in self.impacts] or [0.0])
-        self.passage = max(PASSAGE, 2 * max(self.lengths, default=0))
+        grams: dict[int, list[np.ndarray]] = defaultdict(list)  # of the parts, by their words' number
+        for part in (p for both in self.parts for p in both if p):
+            k = min(SHINGLE, len(part))
+            grams[k].append(gram_hashes(np.array([self.terms[w] for w in part], np.int64), k))
+        self.grams = {k: np.unique(np.concatenate(h)) for k, h in grams.items()}
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All items with a score of ``threshold`` or more for a query of distinct terms (block-max WAND)."""
@@ -136,50 +146,23 @@ class Index:
             for t in ahead:
                 at[t] = int(np.searchsorted(self.items[t], after))
 
-    def _split_lists(self, threshold: float) -> None:
-        """Deal the terms to short lists, read for every passage, and long ones, which only bounds speak for.
+    def known(self, terms: np.ndarray) -> np.ndarray:
+        """The distinct terms in runs that an item has too; ``terms``: of each of a text's words, or -1.
 
-        The longest lists are set aside as long as no item loses more than
-        ``ASIDE`` of the threshold; ``need`` is what is left for the others.
-        """
-        aside = np.zeros(len(self.ids))
-        short = np.ones(len(self.items), bool)
-        for t in sorted(range(len(self.items)), key=lambda t: (-len(self.items[t]), t)):
-            after = aside[self.items[t]] + self.impacts[t]
-            if len(after) >= LONG and (after <= ASIDE * threshold).all():
-                aside[self.items[t]] = after
-                short[t] = False
-        self.short, self.need = short, threshold - aside
-        kept = [t for t in range(len(self.items)) if short[t]]
-        sizes = np.zeros(len(self.items) + 1, np.int64)
-        sizes[np.array(kept, np.int64) + 1] = [len(self.items[t]) for t in kept]
-        self.ends = np.cumsum(sizes)
-        self.flat_items = np.concatenate([self.items[t] for t in kept] or [np.zeros(0, np.int64)])
-        self.flat_impacts = np.concatenate([self.impacts[t] for t in kept] or [np.zeros(0)])
-
-    def reached(self, ids: np.ndarray, chunk: np.ndarray, threshold: float) -> np.ndarray:
-        """Passages (each two chunks, named by the second) whose bound reaches the threshold for some item.
-
-        ``ids``: term of each word or -1; ``chunk``: the half passage it is in.
-        The short lists are scored for all passages at once; an item's long
-        lists count in full.
+        A run is known by its hash: a collision adds a term to the query, and loses none.
         """
-        if threshold != getattr(self, "split_for", None):
-            self._split_lists(threshold)
-            self.split_for = threshold
-        if not self.items:
-            return np.zeros(0, np.int64)
-        on = (ids >= 0) & self.short[ids]
-        n = len(self.items)
-        own = chunk[on] * n + ids[on]
-        pairs = np.unique(np.concatenate([own, own + n]))  # a chunk ends one passage and begins the next
-        passage, term = np.divmod(pairs, n)
-        first, sizes = self.ends[term], self.ends[term + 1] - self.ends[term]
-        at = np.repeat(first - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        cells, where = np.unique(np.repeat(passage, sizes) * len(self.ids) + self.flat_items[at], return_inverse=True)
-        score = np.bincount(where, self.flat_impacts[at], len(cells))
-        passage, item = np.divmod(cells, max(1, len(self.ids)))
-        return np.unique(passage[score >= self.need[item] - 1e-9])
+        on = np.zeros(len(terms), bool)
+        if not (terms >= 0).any():
+            return terms[on]
+        strange = np.concatenate(([0], np.cumsum(terms < 0)))
+        for k, hashes in self.grams.items():
+            at = np.flatnonzero(strange[k:] == strange[:-k])  # runs without strange words
+            h = gram_hashes(terms, k)[at]
+            found = np.searchsorted(hashes, h)
+            at = at[hashes[np.minimum(found, len(hashes) - 1)] == h]
+            for i in range(k):
+                on[at + i] = True
+        return np.unique(terms[on])
 
 
 def shards(bench: DataFrame):
@@ -211,7 +194,7 @@ def shards(bench: DataFrame):
 def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP) -> DataFrame:
     """Verified matches: doc_id, item_id, bm25 (normalised), question_overlap, answer_overlap, place.
 
-    ``place`` is the word at which the passage starts. A null text is empty
+    ``place`` is the word at which the first of the item's shingles starts. A null text is empty
     and matches nothing, as does an item without words; repeated rows match
     alike; an empty table on either side gives no rows.
     """
@@ -226,34 +209,27 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
 
 
 def _matcher(shared, threshold: float, least: float):
-    def match(index: Index, ids: list, docs: list[list[str]], out: list[list]) -> None:
-        get, step = index.terms.get, index.passage // 2
-        terms = [np.fromiter((get(w, -1) for w in words), np.int64, len(words)) for words in docs]
-        base = np.cumsum([0, *(len(t) // step + 3 for t in terms)])  # a document's first chunk, one spare on each side
-        chunk = np.concatenate([b + 1 + np.arange(len(t)) // step for b, t in zip(base, terms)])
-        hits: dict[int, dict[int, tuple[float, int]]] = {}
-        for p in index.reached(np.concatenate(terms), chunk, threshold).tolist():
-            d = int(np.searchsorted(base, p, side="right")) - 1
-            start = max(0, (p - 2 - int(base[d])) * step)
-            some = np.unique(terms[d][start:start + index.passage])
-            for item, score in index.search(some[some >= 0].tolist(), threshold):
-                best = hits.setdefault(d, {})
-                if score > best.get(item, (0.0, 0))[0]:
-                    best[item] = (score, start)
-        for d, best in sorted(hits.items()):
-            for item, (score, start) in sorted(best.items()):
-                # The passage and as much on both sides, where an item may reach over its ends.
-                near = docs[d][max(0, start - index.passage):start + 2 * index.passage]
-                q, a = (overlap(part, near) for part in index.parts[item])
-                if q >= least and a >= least:
-                    for column, value in zip(out, (ids[d], index.ids[item], score, q, a, start)):
-                        column.append(value)
+    def match(index: Index, doc_id: int | None, words: list[str], out: list[list]) -> None:
+        get = index.terms.get
+        known = index.known(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))
+        at: dict[int, dict[tuple[str, ...], int]] = {}  # the document's runs by length, made once for all items
+        for item, score in index.search(known.tolist(), threshold):
+            shares, first = [], len(words)
+            for part in index.parts[item]:
+                k, wanted = min(SHINGLE, len(part)), shingles(part)
+                if wanted and k not in at:
+                    at[k] = places(words, k)
+                found = [at[k][g] for g in wanted if g in at[k]]
+                shares.append(len(found) / len(wanted) if wanted else 1.0)
+                first = min([first, *found])
+            if min(shares) >= least:
+                for column, value in zip(out, (doc_id, index.ids[item], score, *shares, first)):
+                    column.append(value)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [[] for _ in range(6)]
-        ids, all_texts = batch.column("doc_id").to_pylist(), texts(batch)
-        for a, b in runs(np.array([len(t) for t in all_texts]), TOGETHER):
-            match(shared.value, ids[a:b], [WORD.findall(t.lower()) for t in all_texts[a:b]], out)
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+            match(shared.value, doc_id, WORD.findall(text.lower()), out)
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(out, kinds)],

@@ -1,6 +1,6 @@
 import random
 
-from helpers import CLASH, docs, odd_rows, prose, sentence, words
+from helpers import CLASH, WORDS, docs, odd_rows, prose, sentence, words
 
 from claimlens.llm import decontaminate as D
 
@@ -84,3 +84,21 @@ def test_odd_rows_and_empty_tables(spark):
     assert D.drop_contaminated(table, bench(spark, [])).count() == len(odd_rows())
     assert D.contaminated(docs(spark, []), bench(spark, items)).count() == 0
     assert D.contaminated(table, bench(spark, [])).count() == 0
+
+
+def test_decoys_and_distant_answers(spark):
+    rng = random.Random(4)
+    items = [(k, f"{' '.join(rng.sample(WORDS, 30))}. {' '.join(rng.sample(WORDS, 12))}.") for k in range(20)]
+    rows = []
+    for k, x in items:
+        q, a = x.split(". ")
+        mixed = x.replace(".", "").split()
+        rng.shuffle(mixed)
+        far = prose(k, 40, 20)
+        rows += [(100 + k, f"{' '.join(mixed)}\n{far}\n{x}"),              # all words, scattered, before the copy
+                 (200 + k, f"{q}. {' '.join(a.split()[:8])}\n{far}\n{x}"),  # a part of the answer only
+                 (300 + k, f"{q}\n{far}\n{a}"),                           # the answer at the end
+                 (400 + k, f"{' '.join(q.split()[:16])}\n{far}\n{' '.join(q.split()[12:])}\n{far}\n{a}"),
+                 (500 + k, f"{' '.join(mixed)}\n{far}")]
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, rows), bench(spark, items)).collect()}
+    assert got == plain(rows, items) == {(n + k, k) for n in (100, 200, 300, 400) for k in range(20)}
