@@ -8,7 +8,9 @@ decoys of it: each run counts.
 
 Each item's BM25 score is divided by the score that the whole item would get,
 so the normalised score says how much of an item's weight a document's known
-runs cover. Block-max WAND retrieves every item that reaches the threshold:
+runs cover. What a document must reach is an item's own need: the least score
+that ``OVERLAP`` of each part's shingles can leave, see ``least_left``. Impacts are
+divided by it, so that block-max WAND retrieves every item that reaches 1:
 postings are in blocks of items with each block's largest impact; WAND's
 pivot and the block maxima skip items that cannot reach it.
 
@@ -35,7 +37,6 @@ from claimlens.llm.common import WORD, map_arrow, texts
 
 SHINGLE = 5
 OVERLAP = 0.8
-THRESHOLD = 0.5      # of an item's own score
 SHARD = 20_000       # items per broadcast index
 BLOCK = 64           # postings per block
 K1, B = 1.2, 0.75
@@ -80,22 +81,52 @@ def gram_hashes(terms: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def least_left(parts: tuple[list[str], list[str]], impact: dict[str, float], least: float) -> float:
+    """No more than the impact of the terms that ``least`` of each part's shingles hold, whichever these are.
+
+    A term is missing only if all shingles with it are. So many may be missing,
+    each with ``k`` terms at most, which bounds how many terms can go, each
+    counted by its shingles; the dearest by this measure go first, the last
+    in part. A term of both parts can go only with the question's shingles.
+    One of the item's terms is always left.
+    """
+    gone, seen = 0.0, set()
+    for part in parts:
+        wanted = shingles(part)
+        if not wanted:
+            continue
+        lost = len(wanted) - math.ceil(least * len(wanted) - 1e-9)
+        room = lost * min(SHINGLE, len(part))
+        held = Counter(t for g in wanted for t in set(g))
+        for t in sorted(held.keys() - seen, key=lambda t: (-impact[t] / held[t], t)):
+            if room <= 0:
+                break
+            if held[t] <= lost:
+                gone += impact[t] * min(1.0, room / held[t])
+                room -= held[t]
+        seen |= held.keys()
+    return max(sum(impact.values()) - gone, min(impact.values()))
+
+
 class Index:
-    """Inverted index of one shard, with normalised impacts and block maxima."""
+    """Inverted index of one shard, with impacts as shares of each item's need, and block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean_length: float):
+    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean_length: float,
+                 least: float = OVERLAP):
         self.ids = [i for i, _ in items]
         self.parts = [split_item(t) for _, t in items]
         self.lengths = [len(q) + len(a) for q, a in self.parts]
+        self.needs: list[float] = []  # as shares of the whole item's score
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for x, (q, a) in enumerate(self.parts):
             counts = Counter(q + a)
             size = K1 * (1 - B + B * self.lengths[x] / max(mean_length, 1e-9))
             impact = {t: math.log(1 + (n_items - df.get(t, 1) + 0.5) / (df.get(t, 1) + 0.5)) * c * (K1 + 1) / (c + size)
                       for t, c in counts.items()}
-            whole = sum(impact.values())
+            need = least_left((q, a), impact, least)
+            self.needs.append(need / sum(impact.values()))
             for t, v in impact.items():
-                postings[t].append((x, v / whole))
+                postings[t].append((x, v / need))
         self.terms = {t: k for k, t in enumerate(sorted(postings))}
         lists = [postings[t] for t in self.terms]
         self.items = [np.array([x for x, _ in p], np.int64) for p in lists]
@@ -165,7 +196,7 @@ class Index:
         return np.unique(terms[on])
 
 
-def shards(bench: DataFrame):
+def shards(bench: DataFrame, least: float = OVERLAP):
     """Indexes over at most ``SHARD`` items each, by one and the same statistics of all items.
 
     Only one shard's items are on the driver at a time. Rows that repeat are
@@ -188,10 +219,10 @@ def shards(bench: DataFrame):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         own = part.select(F.explode("terms").alias("term")).distinct().join(df, "term")
         rows = sorted((r["item_id"], r["text"]) for r in part.select("item_id", "text").collect())
-        yield Index(rows, {r["term"]: r["df"] for r in own.collect()}, int(stats["n"]), float(stats["mean"] or 0))
+        yield Index(rows, {r["term"]: r["df"] for r in own.collect()}, int(stats["n"]), float(stats["mean"] or 0), least)
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP) -> DataFrame:
+def contaminated(docs: DataFrame, bench: DataFrame, least: float = OVERLAP) -> DataFrame:
     """Verified matches: doc_id, item_id, bm25 (normalised), question_overlap, answer_overlap, place.
 
     ``place`` is the word at which the first of the item's shingles starts. A null text is empty
@@ -201,19 +232,19 @@ def contaminated(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD
     schema = "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, place long"
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
-    for index in shards(bench):
+    for index in shards(bench, least):
         shared = docs.sparkSession.sparkContext.broadcast(index)  # at most SHARD items
-        found = map_arrow(rows, _matcher(shared, threshold, least), schema)
+        found = map_arrow(rows, _matcher(shared, least), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _matcher(shared, threshold: float, least: float):
+def _matcher(shared, least: float):
     def match(index: Index, doc_id: int | None, words: list[str], out: list[list]) -> None:
         get = index.terms.get
         known = index.known(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))
         at: dict[int, dict[tuple[str, ...], int]] = {}  # the document's runs by length, made once for all items
-        for item, score in index.search(known.tolist(), threshold):
+        for item, score in index.search(known.tolist(), 1.0):
             shares, first = [], len(words)
             for part in index.parts[item]:
                 k, wanted = min(SHINGLE, len(part)), shingles(part)
@@ -223,7 +254,7 @@ def _matcher(shared, threshold: float, least: float):
                 shares.append(len(found) / len(wanted) if wanted else 1.0)
                 first = min([first, *found])
             if min(shares) >= least:
-                for column, value in zip(out, (doc_id, index.ids[item], score, *shares, first)):
+                for column, value in zip(out, (doc_id, index.ids[item], score * index.needs[item], *shares, first)):
                     column.append(value)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -243,7 +274,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     rows = docs.select(row, F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for index in shards(bench):
         shared = docs.sparkSession.sparkContext.broadcast(index)
-        match = _matcher(shared, THRESHOLD, OVERLAP)
+        match = _matcher(shared, OVERLAP)
 
         def clean(batch: pa.RecordBatch, match=match) -> pa.RecordBatch:
             at = pa.array(range(batch.num_rows), pa.int64())

@@ -102,3 +102,37 @@ def test_decoys_and_distant_answers(spark):
                  (500 + k, f"{' '.join(mixed)}\n{far}")]
     got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, rows), bench(spark, items)).collect()}
     assert got == plain(rows, items) == {(n + k, k) for n in (100, 200, 300, 400) for k in range(20)}
+
+
+def templated():
+    """Items with most words in common, and documents that lack the rare part of one."""
+    rng = random.Random(8)
+    common, ends = rng.sample(WORDS, 24), [f"rare{k}x" for k in range(400)]
+    items = [(k, " ".join([*common[:12], ends[2 * k], ends[2 * k + 1]])) for k in range(100)]
+    items += [(100 + k, " ".join([*common, *(ends[2 * (100 + k)] + c for c in "abcde")])) for k in range(100)]
+    rows = [(k, f"{prose(k, 2)}\n{' '.join(x.split()[:n])}\n{prose(-k, 2)}")
+            for k, x in items[::10] for n in ([12] if k < 100 else [24, 23])]
+    return rows, items
+
+
+def test_templated_benchmark(spark):
+    rows, items = templated()
+    got = [(r["doc_id"], r["item_id"]) for r in D.contaminated(docs(spark, rows), bench(spark, items)).collect()]
+    assert set(got) == plain(rows, items) and len(plain(rows, items)) > 1000
+
+
+def test_an_item_needs_no_more_than_any_choice_of_its_shingles_leaves():
+    rng = random.Random(2)
+    for _ in range(300):
+        q, a = ([rng.choice(WORDS[:30]) for _ in range(rng.randint(1, n))] for n in (24, 12))
+        impact = {t: rng.choice([0.1, 1.0, 5.0]) * rng.random() + 1e-3 for t in q + a}
+        need = D.least_left((q, a), impact, D.OVERLAP)
+        for _ in range(30):
+            left = set()
+            for part in (q, a):
+                grams = sorted(D.shingles(part))
+                n = next(n for n in range(len(grams) + 1) if n / len(grams) >= D.OVERLAP)
+                drop = rng.randint(0, len(grams) - n)  # the run that is missing, or any
+                kept = rng.sample(grams, n) if rng.random() < 0.5 else (grams[:drop] + grams[drop + len(grams) - n:])[:n]
+                left |= {t for g in kept for t in g}
+            assert need <= sum(impact[t] for t in left) + 1e-9
