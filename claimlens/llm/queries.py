@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, line_dedup, lm, near_dedup, packing, quality, topk, toxicity, url_filter, warc
+from claimlens.llm import (decontaminate, filter_audit, line_dedup, lm, near_dedup, packing, quality, topk, toxicity,
+                           url_filter, warc, word_bpe)
 from claimlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
@@ -108,6 +120,37 @@ GROUP BY r, doc_id, item_id HAVING COUNT(*) = (SELECT COUNT(*) FROM need x WHERE
 """
 
 
+# Cells of (part, failures) against all 120 orders, step by step.
+OP13_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS part, coalesce(text, '') AS t, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(min(doc_id) OVER (PARTITION BY coalesce(text, '')) < doc_id, false) AS e FROM documents),
+cells AS (
+  SELECT part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d, e,
+         COUNT(*) AS n, COUNT(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)) AS good,
+         COUNT(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) AS toxic
+  FROM d GROUP BY ALL),
+failed AS (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+                  || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS f, n, good, toxic FROM cells),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM l p, l q, l r, l s, l t
+           WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT filter_order, CAST(k AS INTEGER) AS step, filter_order[k] AS x, left(filter_order, k - 1) AS before
+          FROM orders, (SELECT unnest(range(1, 6)) AS k)),
+told AS (
+  SELECT part, filter_order, step, x,
+         CAST(SUM(CASE WHEN translate(f, before || x, '') = f THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(SUM(CASE WHEN contains(f, x) AND translate(f, before, '') = f THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(SUM(CASE WHEN contains(f, x) AND translate(f, before, '') <> f THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(SUM(CASE WHEN f = x THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(SUM(CASE WHEN contains(f, x) AND translate(f, before, '') = f THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(SUM(CASE WHEN contains(f, x) AND translate(f, before, '') = f THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM failed, steps GROUP BY ALL)
+SELECT * EXCLUDE (x), CAST(SUM(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM told
+"""
+
+
 def _op9_sql() -> str:
     """Rules, then the two Markov models order by order, the calibrated threshold and the verdicts."""
     host = "translate(regexp_extract(url[strpos(url, '://') + 3:], '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -161,9 +204,10 @@ FROM ruled LEFT JOIN scored ON scored.url = ruled.url
 
 def queries() -> dict[str, Query]:
     found = (op1_line_dedup, op2_lm_score, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc,
-             op7_near_dedup, op8_topk, op9_url_filter, op10_quality)
+             op7_near_dedup, op8_topk, op9_url_filter, op10_quality, op12_word_bpe, op13_filter_audit)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_warc": OP6_SQL, "op8_topk": OP8_SQL, "op9_url_filter": _op9_sql()}
+    return {"op3_decontamination": OP3_SQL, "op6_warc": OP6_SQL, "op8_topk": OP8_SQL, "op9_url_filter": _op9_sql(),
+            "op13_filter_audit": OP13_SQL}
