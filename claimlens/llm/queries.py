@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import (decontaminate, filter_audit, line_dedup, lm, near_dedup, packing, quality, topk, toxicity,
-                           url_filter, warc, word_bpe)
+from claimlens.llm import (alignment, decontaminate, filter_audit, line_dedup, lm, near_dedup, packing, quality, topk,
+                           toxicity, url_filter, warc, word_bpe)
 from claimlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents")))
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -204,7 +208,7 @@ FROM ruled LEFT JOIN scored ON scored.url = ruled.url
 
 def queries() -> dict[str, Query]:
     found = (op1_line_dedup, op2_lm_score, op3_decontamination, op4_best_fit_packing, op5_toxicity, op6_warc,
-             op7_near_dedup, op8_topk, op9_url_filter, op10_quality, op12_word_bpe, op13_filter_audit)
+             op7_near_dedup, op8_topk, op9_url_filter, op10_quality, op11_alignment, op12_word_bpe, op13_filter_audit)
     return {f.__name__: f for f in found}
 
 
