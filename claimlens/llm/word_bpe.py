@@ -1,13 +1,12 @@
 """BPE encoding and decoding of whole texts, by batched merge rounds in numpy.
 
-Texts are cut at special tokens and white space; what lies between is looked
-up among the chunks that the task has met. New chunks are normalised and split
-into words, and the words of a whole batch are encoded together: their
-symbols lie in one flat array; in each round every word's lowest-ranked
-adjacent pair is found by binary search over the sorted pair keys, and merged
-wherever it occurs; words without a known pair leave the array. A very long
-word would need very many rounds over all of it, so it merges by a queue of its
-pairs instead, which gives the same ids.
+Texts are cut at special tokens, normalised and split into words, which are
+looked up among those that the task has met. The new words of a whole batch are
+encoded together: their symbols lie in one flat array; adjacent pairs get
+their ranks by binary search over the sorted pair keys, and in each round
+every word's lowest-ranked pair is merged wherever it occurs; words without a
+known pair leave the array. A very long word would need very many rounds over
+all of it, so it merges by a queue of its pairs instead, which gives the same ids.
 
 Definitions: a null text is empty, and an empty text (or one of white space
 only) has no ids and decodes to ''. Rows that repeat are encoded alike. An
@@ -30,13 +29,15 @@ from claimlens.llm.common import map_arrow, texts
 
 VOCABULARY = "word_bpe_49k"
 LONG = 2048            # symbols of a word from which it has a queue of its own
-CACHE_CHUNKS = 100_000  # that a task remembers at most
-CACHE_LENGTH = 64      # characters of a chunk that is worth remembering
+CACHE_WORDS = 200_000  # that a task remembers at most
+CACHE_LENGTH = 64      # characters of a word that is worth remembering
 ENCODED = "doc_id long, ids binary"
 DECODED = ENCODED + ", decoded string"
-# The white space that the vocabulary's normaliser knows, and its ASCII words.
+# The white space that the vocabulary's normaliser knows; texts of ASCII and the plain letters
+# of Latin-1, which normalisation only lower-cases; and their words.
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+PLAIN_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t-\ra-z0-9\xdf-\xf6\xf8-\xff]+")
 _NONE = np.int64(1) << np.int64(40)
 
 
@@ -72,11 +73,12 @@ class Vocabulary:
         result = np.array([vocab["".join(m)] for m in spec["model"]["merges"]], np.int64)
         keys = left * self.size + right
         order = np.argsort(keys)
-        self.keys, self.ranks, self.results = keys[order], order.astype(np.int64), result[order]
+        kind = np.uint32 if self.size < 1 << 16 else np.int64
+        self.keys, self.ranks, self.results = keys[order].astype(kind), order.astype(np.int64), result[order]
         self.token = [""] * self.size
         for text, i in [*vocab.items(), *self.special.items()]:
             self.token[i] = text
-        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     @cached_property
     def lookup(self) -> dict[int, tuple[int, int]]:
@@ -84,16 +86,22 @@ class Vocabulary:
 
     def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (_NONE if unknown) and result of each pair of symbols."""
-        key = left * self.size + right
+        key = (left * self.size + right).astype(self.keys.dtype)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], _NONE), self.results[at]
 
-    def split(self, chunk: str) -> list[bytes]:
-        """The words of a chunk without white space, as bytes."""
-        if chunk.isascii():
-            return [w.encode() for w in ASCII_WORD.findall(chunk.lower())]
-        found = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))
-        return [bytes(map(self.byte_of.__getitem__, w)) for w, _ in found]
+    def split(self, text: str) -> list[str]:
+        """The normalised words of a text."""
+        if PLAIN.fullmatch(text):
+            return PLAIN_WORD.findall(text.lower())
+        out = []
+        for chunk in SPACE.split(text):  # neither normalising nor words reach across white space
+            if PLAIN.fullmatch(chunk):
+                out += PLAIN_WORD.findall(chunk.lower())
+            else:
+                found = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))
+                out += [bytes(map(self.byte_of.__getitem__, w)).decode() for w, _ in found]
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -126,20 +134,22 @@ def merge_queue(symbols: np.ndarray, v: Vocabulary) -> np.ndarray:
 
 
 def merge_rounds(symbols: np.ndarray, word: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Merge the symbols of many words; ``word`` numbers each symbol's word, in order. Both shrink together."""
+    """Merge the symbols of many words; ``word`` numbers each symbol's word, in order. Both shrink together.
+
+    rank and result belong to the pair of a symbol and the next one (none at the
+    end of a word); a merge changes only its own pair and the one before.
+    """
     done: list[tuple[np.ndarray, np.ndarray]] = []
+    rank, result = v.pairs(symbols[:-1], symbols[1:])
+    rank = np.append(np.where(word[:-1] == word[1:], rank, _NONE), _NONE)[:len(symbols)]
+    result = np.append(result, 0)[:len(symbols)]
     while len(symbols):
-        rank, result = v.pairs(symbols[:-1], symbols[1:])
-        rank = np.append(np.where(word[:-1] == word[1:], rank, _NONE), _NONE)
         first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         lowest = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(word))))
         over = lowest == _NONE
         if over.any():
             done.append((symbols[over], word[over]))
-            symbols, word = symbols[~over], word[~over]
-            # Rounds that only follow a removal need no new search: pairs never cross words.
-            keep = np.flatnonzero(~over)
-            rank, lowest, result = rank[keep], lowest[keep], np.append(result, 0)[keep]
+            symbols, word, rank, result, lowest = (x[~over] for x in (symbols, word, rank, result, lowest))
             if not len(symbols):
                 break
         at = np.flatnonzero(rank == lowest)
@@ -149,14 +159,21 @@ def merge_rounds(symbols: np.ndarray, word: np.ndarray, v: Vocabulary) -> tuple[
         symbols[at] = result[at]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
-        symbols, word = symbols[stays], word[stays]
+        at = (np.cumsum(stays) - 1)[at]
+        symbols, word, rank, result = (x[stays] for x in (symbols, word, rank, result))
+        changed = np.zeros(len(symbols), bool)
+        changed[at] = changed[np.maximum(at - 1, 0)] = True
+        at = np.flatnonzero(changed)
+        on = np.minimum(at + 1, len(symbols) - 1)
+        new, result[at] = v.pairs(symbols[at], symbols[on])
+        rank[at] = np.where((word[at] == word[on]) & (on > at), new, _NONE)
     symbols, word = (np.concatenate([np.zeros(0, np.int64), *(d[k] for d in done)]) for k in (0, 1))
     order = np.argsort(word, kind="stable")
     return symbols[order], word[order]
 
 
-def encode_words(words: list[bytes], v: Vocabulary) -> list[np.ndarray]:
-    """The ids of each word."""
+def encode_words(words: list[bytes], v: Vocabulary) -> list[bytes]:
+    """The ids of each word, as little-endian unsigned 32-bit integers."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     raw = np.frombuffer(b"".join(words), np.uint8)
     symbols = v.of_byte[raw]
@@ -166,42 +183,32 @@ def encode_words(words: list[bytes], v: Vocabulary) -> list[np.ndarray]:
     long = lengths > LONG
     short = ~long[word]
     merged, of = merge_rounds(symbols[short], word[short], v)
-    out = np.split(merged, np.searchsorted(of, np.arange(1, len(words)))) if len(words) else []
+    ids, at = merged.astype("<u4").tobytes(), 4 * np.searchsorted(of, np.arange(len(words) + 1))
+    out = [ids[i:j] for i, j in zip(at.tolist(), at[1:].tolist())]
     for i in np.flatnonzero(long):
-        out[i] = merge_queue(symbols[ends[i] - lengths[i]:ends[i]], v)
+        out[i] = merge_queue(symbols[ends[i] - lengths[i]:ends[i]], v).astype("<u4").tobytes()
     return out
 
 
-def encode_chunks(chunks: list[str], v: Vocabulary) -> list[bytes]:
-    """The ids of each chunk, as little-endian unsigned 32-bit integers."""
-    split = [v.split(c) for c in chunks]
-    kinds = list(dict.fromkeys(w for ws in split for w in ws))
-    ids = dict(zip(kinds, (x.astype("<u4").tobytes() for x in encode_words(kinds, v))))
-    return [b"".join(map(ids.__getitem__, ws)) for ws in split]
-
-
 def encode_batch(batch: list[str], v: Vocabulary) -> list[bytes]:
     """The ids of each text. Special tokens spelled in a text become their ids, as the file's library has it."""
-    cut, fresh = [], {}
-    if len(v.chunks) > CACHE_CHUNKS:
-        v.chunks.clear()
-    known = v.chunks
+    known, cut, fresh = v.words, [], set()
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    if not known:
+        known.update((t, np.array([i], "<u4").tobytes()) for t, i in v.special.items())
     for text in batch:
-        parts = []
+        words = []
         for piece in v.at_special.split(text) if v.special else [text]:
-            parts += [piece] if piece in v.special else SPACE.split(piece)
-        cut.append(parts)
-        fresh.update((c, b"") for c in parts if c not in known)
-    new = [c for c in fresh if c and c not in v.special]
-    fresh.update(zip(new, encode_chunks(new, v)))
-    fresh.update((c, np.array([v.special[c]], "<u4").tobytes()) for c in fresh if c in v.special)
-    out = []
-    for parts in cut:
-        try:
-            out.append(b"".join(map(known.__getitem__, parts)))
-        except KeyError:
-            out.append(b"".join([known[c] if c in known else fresh[c] for c in parts]))
-    known.update((c, x) for c, x in fresh.items() if len(c) <= CACHE_LENGTH)
+            words += [piece] if piece in v.special else v.split(piece)
+        cut.append(words)
+        fresh.update(words)
+    new = [w for w in fresh if w not in known]
+    known.update(zip(new, encode_words([w.encode() for w in new], v)))
+    out = [b"".join(map(known.__getitem__, words)) for words in cut]
+    for w in new:
+        if len(w) > CACHE_LENGTH:
+            del known[w]
     return out
 
 

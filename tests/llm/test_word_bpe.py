@@ -46,7 +46,7 @@ def test_queue_and_rounds_agree():
     words = [bytes(rng.choice(b"abcde") for _ in range(rng.randint(1, 300))) for _ in range(200)] + [b"a" * k for k in range(1, 40)]
     for word, ids in zip(words, W.encode_words(words, v)):
         raw = np.frombuffer(word, np.uint8)
-        assert W.merge_queue(np.append(v.of_byte[raw[:-1]], v.of_last[raw[-1]]), v).tolist() == ids.tolist()
+        assert W.merge_queue(np.append(v.of_byte[raw[:-1]], v.of_last[raw[-1]]), v).tolist() == np.frombuffer(ids, "<u4").tolist()
     assert W.encode_words([], v) == []
 
 
