@@ -11,7 +11,7 @@ from functools import reduce
 from operator import add
 from typing import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -157,47 +157,96 @@ def null_to_zero(c: ColumnOrName, zero=0) -> Column:
 # -- exact money aggregation -------------------------------------------------
 
 MONEY = DecimalType(C.MONEY_PRECISION, C.MONEY_SCALE)
+# An amount is whole units and two limbs of its decimals, all 64-bit: no group of
+# fewer than 9 * 10^13 rows can overflow the limbs, and the whole units only
+# do where their total leaves 64 bits.
+_LIMB = 10 ** (C.MONEY_SCALE // 2)
+_UNIT = 10 ** C.MONEY_SCALE
+_NARROW = float(1 << 19)  # below it a double holds at most one decimal of MONEY's scale
+PARTS = ("whole", "mid", "low", "plain", "odd")
 
 
-def _exact(amount: Column) -> Column:
-    """The amount as MONEY, NULL where that would change its value."""
-    fixed = amount.try_cast(MONEY)
-    return F.when(fixed.cast("double") == amount.cast("double"), fixed)
+def _long(n: int) -> Column:
+    return F.lit(n).cast("bigint")
+
+
+def _limbs(amount: Column) -> tuple[Column, Column, Column]:
+    """The amount as whole units and two limbs, NULL where MONEY cannot hold its value.
+
+    Usual amounts take double and long arithmetic: where the amount is the
+    double nearest to n / 10^scale, n is its decimal form without the point.
+    The others are cast to the wide decimal.
+    """
+    scaled = F.rint(amount * F.lit(float(_UNIT)))
+    usual = (F.abs(amount) < F.lit(_NARROW)) & (scaled / F.lit(float(_UNIT)) == amount)
+    n = F.when(usual, scaled.cast("bigint"))
+    fixed = F.when(~usual, amount).try_cast(MONEY)
+    fixed = F.when(fixed.cast("double") == amount, fixed)
+    wide = fixed.cast("bigint")
+    rest = ((fixed - wide) * _long(_UNIT)).cast("bigint")
+    part = n % _long(_UNIT)
+    whole = F.coalesce(((n - part) / _long(_UNIT)).cast("bigint"), wide)
+    part = F.coalesce(part, rest)
+    low = part % _long(_LIMB)
+    return whole, ((part - low) / _long(_LIMB)).cast("bigint"), low
 
 
 def money_parts(c: ColumnOrName, name: str, where: Column | None = None) -> list[Column]:
-    """Aggregates that ``money_value`` and ``money_total`` turn into the sum of an amount.
+    """Aggregates that ``money_value`` turns into the sum of an amount.
 
-    The exact sum, the plain sum, and how many non-NULL amounts the exact one
-    cannot hold (very large or small ones, NaN). Partial sums add up, so
-    pre-aggregates carry these three columns.
+    The exact sum as three 64-bit totals, the plain sum, and how many non-NULL
+    amounts the exact one cannot hold (very large or small ones, NaN). Partial
+    sums add up (``more_parts``), so pre-aggregates carry these columns.
     """
-    amount = col(c) if where is None else F.when(where, col(c))
-    exact = _exact(amount)
-    return [F.sum(exact).alias(f"{name}_exact"), F.sum(amount.cast("double")).alias(f"{name}_plain"),
-            F.count_if(amount.isNotNull() & exact.isNull()).alias(f"{name}_odd")]
+    amount = (col(c) if where is None else F.when(where, col(c))).cast("double")
+    whole, mid, low = _limbs(amount)
+    return [F.try_sum(whole).alias(f"{name}_whole"), F.sum(mid).alias(f"{name}_mid"), F.sum(low).alias(f"{name}_low"),
+            F.sum(amount).alias(f"{name}_plain"), F.count_if(amount.isNotNull() & whole.isNull()).alias(f"{name}_odd")]
+
 
+def more_parts(name: str, where: Column | None = None, over: WindowSpec | None = None) -> list[Column]:
+    """The parts of several groups' sums added up again.
 
-def more_parts(name: str, where: Column | None = None) -> list[Column]:
-    """The parts of several groups' sums added up again."""
-    return [F.sum(F.when(where, F.col(x)) if where is not None else F.col(x)).alias(x)
-            for x in (f"{name}_exact", f"{name}_plain", f"{name}_odd")]
+    Whole units that left 64 bits stay NULL, which ``odd`` keeps: it counts one more.
+    """
+    def of(x: str) -> Column:
+        c = F.col(f"{name}_{x}")
+        if x == "odd":
+            c = c + F.when(F.col(f"{name}_mid").isNotNull() & F.col(f"{name}_whole").isNull(), 1).otherwise(0)
+        c = F.when(where, c) if where is not None else c
+        c = F.try_sum(c) if x == "whole" else F.sum(c)
+        return (c.over(over) if over is not None else c).alias(f"{name}_{x}")
+
+    return [of(x) for x in PARTS]
+
+
+def _total(whole: Column, mid: Column, low: Column, plain: Column, odd: Column) -> Column:
+    """The sum that the parts hold, as DOUBLE; decided by the amounts alone.
+
+    A total of fewer digits than a double holds exactly is one division of whole
+    numbers, which rounds as the decimal would.
+    """
+    n = whole * _long(_UNIT) + mid * _long(_LIMB) + low
+    short = (F.abs(whole) < F.lit(500_000)) & (F.abs(mid) < F.lit(10 ** 9)) & (F.abs(low) < F.lit(10 ** 9))
+    as_decimal = [(c.cast("decimal(20,0)") * F.lit(f"1e-{places}").cast(DecimalType(places, places)) if places
+                   else c.cast("decimal(20,0)")) for c, places in
+                  ((whole, 0), (mid, C.MONEY_SCALE // 2), (low, C.MONEY_SCALE))]
+    exact = F.when(short, n.cast("double") / F.lit(float(_UNIT))).otherwise(reduce(add, as_decimal).cast("double"))
+    return F.when((F.coalesce(odd, F.lit(0)) == 0) & (whole.isNotNull() | mid.isNull()), exact).otherwise(plain)
 
 
 def money_value(name: str) -> Column:
-    """The sum that a row's parts hold, as DOUBLE; decided by the amounts alone."""
-    return F.when(F.coalesce(F.col(f"{name}_odd"), F.lit(0)) == 0, F.col(f"{name}_exact").cast("double")).otherwise(
-        F.col(f"{name}_plain"))
+    """The sum that a row's parts hold, as DOUBLE."""
+    return _total(*(F.col(f"{name}_{x}") for x in PARTS))
 
 
 def money_sum(c: ColumnOrName, where: Column | None = None) -> Column:
     """SUM of amounts as DOUBLE (NULL when no value); no amount is dropped or rounded.
 
-    Exact where every non-NULL amount of the group fits MONEY without loss,
-    else the plain double sum (NaN stays NaN).
+    Exact where every non-NULL amount of the group fits MONEY without loss
+    and the total's whole units fit 64 bits, else the plain double sum (NaN stays NaN).
     """
-    exact, plain, odd = money_parts(c, "x", where)
-    return F.when(odd == 0, exact.cast("double")).otherwise(plain)
+    return _total(*money_parts(c, "x", where))
 
 
 def money_avg(c: ColumnOrName) -> Column:

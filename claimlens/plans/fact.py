@@ -48,28 +48,22 @@ def fact_base(detail: DataFrame) -> DataFrame:
 
     Attributes take the smallest non-NULL value (a stable "any value", D7);
     dates span the segments; amounts are summed exactly (``money_sum``).
-    Almost every claim has one segment, so combining before the shuffle
-    saves nothing and would sort the input twice: the segments are
-    partitioned by claim first, and both aggregation steps share that
-    exchange and one sort. Segments without a claim id would all meet in one
-    task, so they are combined on a branch of their own, map side first; a
-    column that the schema declares never NULL needs no such branch.
+    One ``groupBy`` with partial aggregation: segments of one claim id, or of
+    none, are combined map side first, so an id that holds a third of all
+    rows (a placeholder, say, or NULL) is one row per task when the shuffle
+    brings it together. Input that is already partitioned by claim id is
+    not shuffled again.
     """
-    def rollup(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("claim_id").agg(
-            F.min("patient_id").alias("patient_id"),
-            F.min("provider_id").alias("provider_id"),
-            F.min("claim_type").alias("claim_type"),
-            F.min("clm_from_dt").alias("clm_from_dt"),
-            F.max("clm_thru_dt").alias("clm_thru_dt"),
-            money_sum("clm_pmt_amt").alias("clm_pmt_amt"),
-            money_sum("primary_pyr_pd_amt").alias("primary_pyr_pd_amt"),
-            F.min("primary_diagnosis_code").alias("primary_diagnosis_code"),
-        )
-    if not detail.schema["claim_id"].nullable:
-        return rollup(detail.repartition("claim_id"))
-    known = F.col("claim_id").isNotNull()
-    return rollup(detail.filter(known).repartition("claim_id")).unionByName(rollup(detail.filter(~known)))
+    return detail.groupBy("claim_id").agg(
+        F.min("patient_id").alias("patient_id"),
+        F.min("provider_id").alias("provider_id"),
+        F.min("claim_type").alias("claim_type"),
+        F.min("clm_from_dt").alias("clm_from_dt"),
+        F.max("clm_thru_dt").alias("clm_thru_dt"),
+        money_sum("clm_pmt_amt").alias("clm_pmt_amt"),
+        money_sum("primary_pyr_pd_amt").alias("primary_pyr_pd_amt"),
+        F.min("primary_diagnosis_code").alias("primary_diagnosis_code"),
+    )
 
 
 _WEIGHT_SCHEMA = StructType([

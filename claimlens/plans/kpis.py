@@ -134,17 +134,16 @@ def top_carc_denials(fact: DataFrame, dim_carc: DataFrame, sort: bool = True) ->
     The loss proxy is the overall paid average (all types, D21). The fact
     is reduced to one row per reason code first (partial aggregation makes
     the NULL code of paid claims one row per task). That result is bounded
-    by the reason-code domain (codes come from the 100-slot table, plus
-    NULL), so the overall average is a window over it: the fact is read in
+    by the reason-code domain (the codes of the weighted pool, plus NULL), so the overall average is a window over it: the fact is read in
     a single pass. The lookup joins only the small result, dropping NULL
     and unmapped codes.
     """
     parts = (fact.groupBy("carc_code")
              .agg(F.count_if(_is(C.DENIED)).alias("n_denied"), *_paid_parts()))
     every_code = Window.partitionBy(F.lit(0))  # at most one row per code
-    for c in ("paid_exact", "paid_plain", "paid_odd", "paid_n"):
-        parts = parts.withColumn(c, F.sum(c).over(every_code))
-    per_code = (parts.withColumn("avg_paid", _paid_avg())
+    every = parts.select("carc_code", "n_denied", *more_parts("paid", over=every_code),
+                         F.sum("paid_n").over(every_code).alias("paid_n"))
+    per_code = (every.withColumn("avg_paid", _paid_avg())
                 .filter((F.col("n_denied") > 0) & F.col("carc_code").isNotNull()))
     out = (per_code.join(dim_carc, "carc_code", "inner")
            .select("carc_code", "description", "preventability_bucket",

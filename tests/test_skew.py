@@ -4,11 +4,14 @@ With AQE's skew thresholds lowered so the skew split really happens, the
 results must equal direct counts (correctness under the skew code paths)."""
 
 import contextlib
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from claimlens import constants as C
+from claimlens.plans import fact as factmod
 from claimlens.plans import kpis, quality, warehouse
+from claimlens.session import new_scratch_path
 from claimlens.sources import fixtures
 from claimlens.sources.files import all_string_schema
 
@@ -60,3 +63,45 @@ def test_hot_provider_and_null_patient(spark):
         rate = kpis.clean_claim_rate(wh.fact).first()
         assert rate.total_claims == n
         assert rate.denied_claims == sum(1 for i in range(n) if i % 7 == 0)
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a plan that has run wrote, in all."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind == "ShuffleQueryStageExec":
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                found += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_hot_claim_id_is_combined_before_the_shuffle(spark):
+    """A placeholder id and NULL each hold a third of all segments: a row per task of each is shuffled."""
+    n, tasks = 6000, 16
+    rows = []
+    for i in range(n):
+        row = dict.fromkeys(SEG)
+        row.update(CLM_ID=("HOT", None, str(i))[i % 3], DESYNPUF_ID=f"B{i % 70:02d}", PRVDR_NUM=f"P{i % 40:02d}",
+                   CLM_FROM_DT=f"2010{i % 12 + 1:02d}01", CLM_THRU_DT="20100301", CLM_PMT_AMT=f"{i}.1",
+                   NCH_PRMRY_PYR_CLM_PD_AMT="0.2", ICD9_DGNS_CD_1=None if i % 2 else "4280", CLAIM_TYPE=C.INPATIENT)
+        rows.append(tuple(row[c] for c in SEG))
+    segments = spark.createDataFrame(rows, all_string_schema(SEG)).repartition(tasks)
+    root = new_scratch_path(spark, "hot-claims")
+    segments.write.parquet(root)
+    base = factmod.fact_base(factmod.claim_detail(spark.read.parquet(root)))
+    got = {r.claim_id: r for r in base.collect()}
+    assert len(got) == n // 3 + 2
+    for key, k in (("HOT", 0), (None, 1)):
+        r = got[key]
+        assert (r.patient_id, r.provider_id, str(r.clm_from_dt)) == (
+            "B00", f"P{min(i % 40 for i in range(k, n, 3)):02d}", "2010-01-01" if k == 0 else "2010-02-01")
+        assert r.clm_pmt_amt == float(sum(Decimal(f"{i}.1") for i in range(k, n, 3)))
+        assert r.primary_pyr_pd_amt == 400.0
+    assert shuffled_rows(base) <= n // 3 + 2 * tasks
