@@ -96,7 +96,12 @@ def hash32(key: ColumnOrName) -> Column:
     Depends on the key alone, so a recomputed partition draws the same
     value (unlike ``rand``), and both SQL engines can evaluate it.
     """
-    return F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return hash_bits(key, 8)
+
+
+def hash_bits(key: ColumnOrName, digits: int) -> Column:
+    """The first ``digits`` hexadecimal digits of md5(key) as a whole number (15 at most)."""
+    return F.conv(F.substring(F.md5(col(key).cast("string")), 1, digits), 16, 10).cast("bigint")
 
 
 # -- diagnosis codes (F3, X6, X7, X17) ---------------------------------------
@@ -204,18 +209,19 @@ def money_parts(c: ColumnOrName, name: str, where: Column | None = None) -> list
             F.sum(amount).alias(f"{name}_plain"), F.count_if(amount.isNotNull() & whole.isNull()).alias(f"{name}_odd")]
 
 
-def more_parts(name: str, where: Column | None = None, over: WindowSpec | None = None) -> list[Column]:
-    """The parts of several groups' sums added up again.
+def more_parts(part: str, where: Column | None = None, over: WindowSpec | None = None,
+               name: str | None = None) -> list[Column]:
+    """The parts ``part`` of several groups' sums added up again (as those of ``name``).
 
     Whole units that left 64 bits stay NULL, which ``odd`` keeps: it counts one more.
     """
     def of(x: str) -> Column:
-        c = F.col(f"{name}_{x}")
+        c = F.col(f"{part}_{x}")
         if x == "odd":
-            c = c + F.when(F.col(f"{name}_mid").isNotNull() & F.col(f"{name}_whole").isNull(), 1).otherwise(0)
+            c = c + F.when(F.col(f"{part}_mid").isNotNull() & F.col(f"{part}_whole").isNull(), 1).otherwise(0)
         c = F.when(where, c) if where is not None else c
         c = F.try_sum(c) if x == "whole" else F.sum(c)
-        return (c.over(over) if over is not None else c).alias(f"{name}_{x}")
+        return (c.over(over) if over is not None else c).alias(f"{name or part}_{x}")
 
     return [of(x) for x in PARTS]
 

@@ -14,7 +14,7 @@ from typing import Iterable
 from pyspark.sql import SparkSession
 
 from claimlens.plans import dashboard, fact as factmod, kpis, quality, warehouse
-from claimlens.sinks import materialize
+from claimlens.sinks import publish, publish_view
 
 
 def build_warehouse(spark: SparkSession, inpatient_path: str, outpatient_path: str,
@@ -27,31 +27,36 @@ def build_warehouse(spark: SparkSession, inpatient_path: str, outpatient_path: s
 
 
 def publish_marts(wh: warehouse.Warehouse, output: str, prefix: str = "") -> dict[str, str]:
-    """Give every mart a name: staging as a view, KPI and DQ relations as stored tables.
+    """Give every mart a name in the catalog: staging as a view, KPI and DQ relations as stored tables.
 
-    ``wh`` should be stored already, so that each mart scans Parquet. Returns
-    each relation's kind; all can be read with ``spark.table(prefix + name)``.
+    ``wh`` must be stored (``materialize``) with its fact: the staging view reads
+    that, the KPI marts its cells. Returns each relation's kind; every
+    session can read them with ``spark.table(prefix + name)``, and running the
+    job again replaces them one by one (``sinks.publish``).
     """
-    by_provider = kpis.clean_claim_rate_by_provider(wh.fact, sort=False)
-    matrix = kpis.ar_aging_matrix(wh.fact)
-    top_carc = kpis.top_carc_denials(wh.fact, wh.dim_carc_denials, sort=False)
+    if wh.root is None:
+        raise ValueError("publish_marts needs a stored warehouse")
+    cells = wh.claim_cells
+    by_provider = kpis.clean_claim_rate_by_provider(cells, sort=False)
+    matrix = kpis.ar_aging_matrix(cells)
+    top_carc = kpis.top_carc_denials(cells, wh.dim_carc_denials, sort=False)
     tables = {
-        "kpi_clean_claim_rate": kpis.clean_claim_rate(wh.fact),
+        "kpi_clean_claim_rate": kpis.clean_claim_rate(cells),
         "kpi_clean_claim_rate_by_provider": by_provider,
         "kpi_ar_aging_matrix": matrix,
         "kpi_top_carc_denials": top_carc,
-        "kpi_header_cards": kpis.header_cards(wh.fact),
+        "kpi_header_cards": kpis.header_cards(cells),
         "kpi_preventability_mix": kpis.preventability_mix(top_carc),
         "kpi_ar_aging_totals": kpis.ar_aging_totals(matrix),
         "kpi_provider_extremes": kpis.provider_extremes(by_provider),
-        "kpi_claim_type_summary": kpis.claim_type_summary(wh.fact),
+        "kpi_claim_type_summary": kpis.claim_type_summary(cells),
         "dq_orphaned_claims": quality.orphaned_claims(wh.fact, wh.dim_patient),
         "dq_duplicate_claim_ids": quality.duplicate_claim_ids(wh.fact),
         "dq_unmapped_diagnosis": quality.unmapped_diagnosis(wh.fact, wh.dim_diagnosis),
     }
-    materialize(factmod.stg_fact(wh.fact), f"{prefix}stg_fact_claims_adjudication", "view")
+    publish_view(wh.spark, f"{prefix}stg_fact_claims_adjudication", f"{wh.root}/fact", list(factmod.FACT_COLUMNS))
     for name, df in tables.items():
-        materialize(df, prefix + name, "table", f"{output}/{name}")
+        publish(df, prefix + name, f"{output}/{name}")
     return {"stg_fact_claims_adjudication": "view"} | dict.fromkeys(tables, "table")
 
 

@@ -20,16 +20,18 @@ def distinct_values(df: DataFrame, columns: Sequence[str], name: str,
                     keep: Column | None = None) -> DataFrame:
     """Distinct non-NULL values found in any of ``columns``.
 
-    One scan: the columns are unpivoted with ``explode(array(...))``, the
-    optional ``keep`` predicate (over column ``name``) is applied before the
-    de-duplicating shuffle, and partial aggregation collapses repeats per
-    task first.
+    One scan: the columns are unpivoted with ``explode(array(...))`` and
+    partial aggregation collapses repeats per task first. The optional
+    ``keep`` predicate (over column ``name``) is costly next to that, so it is
+    tested once for each distinct value: it hangs on the group's count, below
+    which Catalyst cannot push it.
     """
     values = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias(name))
     values = values.filter(F.col(name).isNotNull())
-    if keep is not None:
-        values = values.filter(keep)
-    return values.distinct()
+    if keep is None:
+        return values.distinct()
+    groups = values.groupBy(name).agg(F.count(F.lit(1)).alias("__n"))
+    return groups.filter(F.when(F.col("__n") > 0, keep)).select(name)
 
 
 def duplicate_keys(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:

@@ -46,49 +46,50 @@ class SchemaTest:
         raise ValueError(f"unknown test {self.test}")
 
 
-def _column_results(df: DataFrame, column: str, tests: Sequence[SchemaTest]) -> DataFrame:
-    """Failing counts of every test on one column, in one pass.
-
-    ``not_null`` alone is a filtered count (no shuffle). When a ``unique`` or
-    ``accepted_values`` test is present, one per-value count (partially
-    aggregated before its shuffle, so a hot value costs one row per task)
-    answers all tests of the column at once.
+def _relation_results(df: DataFrame, relation: str, tests: Sequence[SchemaTest]) -> DataFrame:
+    """Failing counts of every test on one relation, in one pass.
+
+    The tested columns are unpivoted to (column, value) and counted by value,
+    partially aggregated before the shuffle, so a hot value costs one row per
+    task; a second aggregation over the counts answers all tests at once.
+    Of a column with ``not_null`` tests only, all present values are one.
+    Values are compared as text.
     """
-    c = F.col(column)
-    kinds = {t.test for t in tests}
-    if kinds == {"not_null"}:
-        agg = df.agg(F.count_if(c.isNull()).alias("not_null"))
-    else:
-        per_value = df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        v, n = F.col("v"), F.col("n")
-        parts = []
-        for t in tests:
-            if t.test == "not_null":
-                parts.append(F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("not_null"))
-            elif t.test == "unique":
-                parts.append(F.count_if(v.isNotNull() & (n > 1)).alias("unique"))
-            elif t.test == "accepted_values":
-                parts.append(F.count_if(v.isNotNull() & ~v.isin(list(t.values))).alias("accepted_values"))
-            else:
-                raise ValueError(f"unknown test {t.test}")
-        agg = per_value.agg(*parts)
-    rows = [F.struct(F.lit(t.test).alias("test"), F.col(t.test).cast("long").alias("n_failing"))
-            for t in tests]
-    return agg.select(F.inline(F.array(*rows)))
+    kinds: dict[str, set[str]] = {}
+    for t in tests:
+        if t.test not in ("not_null", "unique", "accepted_values"):
+            raise ValueError(f"unknown test {t.test}")
+        kinds.setdefault(t.column, set()).add(t.test)
+    cells = [F.struct(F.lit(i).alias("at"), (F.when(F.col(c).isNotNull(), "") if k == {"not_null"} else F.col(c).cast("string"))
+                      .alias("v")) for i, (c, k) in enumerate(kinds.items())]
+    per_value = df.select(F.inline(F.array(*cells))).groupBy("at", "v").agg(F.count(F.lit(1)).alias("n"))
+    v, n, place = F.col("v"), F.col("n"), {c: i for i, c in enumerate(kinds)}
+    counts = []
+    for i, t in enumerate(tests):
+        here = F.col("at") == place[t.column]
+        if t.test == "not_null":
+            failing = F.coalesce(F.sum(F.when(here & v.isNull(), n)), F.lit(0))
+        elif t.test == "unique":
+            failing = F.count_if(here & v.isNotNull() & (n > 1))
+        else:
+            failing = F.count_if(here & v.isNotNull() & ~v.isin([str(x) for x in t.values]))
+        counts.append(failing.cast("long").alias(f"t{i}"))
+    rows = [F.struct(F.lit(t.column).alias("column"), F.lit(t.test).alias("test"), F.col(f"t{i}").alias("n_failing"))
+            for i, t in enumerate(tests)]
+    return per_value.agg(*counts).select(F.lit(relation).alias("relation"), F.inline(F.array(*rows)))
 
 
 def test_report(relations: dict[str, DataFrame], tests: Sequence[SchemaTest]) -> DataFrame:
     """Q7-style report: one row ``(relation, column, test, n_failing)`` per test.
 
     The failing count of a test equals the number of rows its failing-row
-    query returns (``failures``); tests on the same column share one pass.
+    query returns (``failures``); all tests of a relation share one scan.
     """
-    groups: dict[tuple[str, str], list[SchemaTest]] = {}
+    groups: dict[str, list[SchemaTest]] = {}
     for t in tests:
-        groups.setdefault((t.relation, t.column), []).append(t)
+        groups.setdefault(t.relation, []).append(t)
     out = None
-    for (relation, column), group in groups.items():
-        part = _column_results(relations[relation], column, group).select(
-            F.lit(relation).alias("relation"), F.lit(column).alias("column"), "test", "n_failing")
+    for relation, group in groups.items():
+        part = _relation_results(relations[relation], relation, group)
         out = part if out is None else out.unionByName(part)
     return out

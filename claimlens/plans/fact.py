@@ -10,10 +10,10 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from claimlens import constants as C
 from claimlens.functions.exprs import (
-    adjudication_status, aging_bucket, days_between, hash32, money_sum,
+    adjudication_status, aging_bucket, days_between, hash32, hash_bits, money_sum,
     parse_double, parse_yyyymmdd,
 )
-from claimlens.operators.joins import scalar
+from claimlens.operators.joins import bounded_broadcast, scalar
 from claimlens.sources.files import literal_table
 
 FACT_COLUMNS = (
@@ -103,15 +103,65 @@ def carc_pool(weights: DataFrame, dim_carc: DataFrame,
 
 
 def carc_draws(pool: DataFrame) -> DataFrame:
-    """One row, ``codes``: each code of the pool as often as its weight, in pool order.
+    """One row, ``draws``: the codes of a bounded pool in order, and the ends of their shares of the weights.
 
-    A hash h draws the entry ``h % size``, so a code owns exactly its share
-    of the total weight, (renormalised) over the codes of the pool, and every
-    code can be drawn. Weights are small whole numbers: the list has as many
-    entries as they add up to.
+    A hash h draws the first code whose end is over ``h % total``, so each code
+    owns exactly its share of the total weight, (renormalised) over the codes
+    of the pool, and every code can be drawn. The list has an entry per code,
+    whatever the weights: for the literal pool and its fallback. A pool as
+    large as a table is drawn from with ``draw_by_interval``.
     """
-    entries = F.sort_array(F.collect_list(F.struct("ordinal", "carc_code", "weight")))
-    return pool.agg(F.flatten(F.transform(entries, lambda e: F.array_repeat(e["carc_code"], e["weight"]))).alias("codes"))
+    entries = F.sort_array(F.collect_list(F.struct("ordinal", "carc_code", F.col("weight").cast("bigint").alias("weight"))))
+    weights = F.transform(entries, lambda e: e["weight"])
+    upto = lambda e, i: F.aggregate(F.slice(weights, 1, i + 1), F.lit(0).cast("bigint"), lambda a, w: a + w)
+    return pool.agg(F.struct(F.transform(entries, lambda e: e["carc_code"]).alias("codes"),
+                             F.transform(entries, upto).alias("ends")).alias("draws"))
+
+
+def pool_intervals(pool: DataFrame, blocks: int | None = None) -> DataFrame:
+    """The share of each code of a pool of any size: carc_code, start, end (a distributed prefix sum of the weights).
+
+    The codes are range-partitioned in their order; the sums of the partitions,
+    one row each, are added up by a window, and each partition adds up its own
+    codes from there. Codes without a positive weight have no share.
+    """
+    some = pool.filter(F.col("weight") > 0)
+    blocks = blocks or int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (some.repartitionByRange(blocks, "ordinal", "carc_code").withColumn("__block", F.spark_partition_id())
+             .select("ordinal", "carc_code", F.col("weight").cast("bigint").alias("weight"), "__block"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("__block").agg(F.sum("weight").alias("__sum"))  # a row per partition
+    sums = sums.select("__block", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("__block").orderBy("ordinal", "carc_code").rowsBetween(Window.unboundedPreceding, 0)
+    ends = dealt.join(bounded_broadcast(sums), "__block").withColumn("end", F.col("__before") + F.sum("weight").over(within))
+    return ends.select("carc_code", (F.col("end") - F.col("weight")).alias("start"), "end")
+
+
+def draw_by_interval(claims: DataFrame, intervals: DataFrame, key: str, name: str = "carc_code",
+                     cells: int = 1 << 12) -> DataFrame:
+    """X18/F8 for a pool of any size and weight: ``claims`` with the code that each key's hash draws.
+
+    The hash (60 bits of the key's MD5) modulo the total weight is a point.
+    The line of points is cut into ``cells`` of equal width; each cell gets
+    the claims whose points lie in it and the intervals that touch it, and in
+    the order of points every claim takes the last interval begun. So
+    a claim moves once, no claim meets more than one interval, and points are spread evenly over the
+    cells. An empty pool gives NULL codes.
+    """
+    total = scalar(intervals.agg(F.max("end").alias("total")))
+    width = F.greatest(F.ceil(total / F.lit(cells)), F.lit(1)).cast("bigint")
+    cell = lambda at: ((at - F.pmod(at, width)) / width).cast("bigint")
+    rows = claims.withColumn("__at", F.pmod(hash_bits(key, 15), total))
+    rows = rows.select(cell(F.col("__at")).alias("__cell"), "__at", F.lit(1).alias("__kind"),
+                       F.struct(*[F.col(f"`{c}`") for c in claims.columns]).alias("__row"), F.lit(None).cast("string").alias("__code"))
+    first, last = cell(F.col("start")), cell(F.col("end") - 1)
+    begun = intervals.select(F.explode(F.sequence(first, last)).alias("__cell"), F.col("start").alias("__at"),
+                             F.lit(0).alias("__kind"), F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"),
+                             F.col("carc_code").alias("__code"))
+    upto = Window.partitionBy("__cell").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    drawn = rows.unionByName(begun).withColumn("__drawn", F.last("__code", ignorenulls=True).over(upto))
+    return drawn.filter("__kind = 1").select(*[F.col(f"__row.`{c}`").alias(c) for c in claims.columns],
+                                             F.col("__drawn").alias(name))
 
 
 def as_of_date(claims: DataFrame) -> Column:
@@ -125,9 +175,14 @@ def as_of_date(claims: DataFrame) -> Column:
 
 
 def drawn_code(key: str, draws: DataFrame) -> Column:
-    """The code that the hash of ``key`` draws; the list is read by a scalar subquery."""
-    codes = scalar(draws)
-    return F.try_element_at(codes, (F.pmod(hash32(key), F.size(codes)) + 1).cast("int"))
+    """The code that the hash of ``key`` draws; the list is read by a scalar subquery.
+
+    The point's place among the sorted ends is one more than the ends it has passed.
+    """
+    pool = scalar(draws)
+    point = F.pmod(hash32(key), F.try_element_at(pool["ends"], F.lit(-1))) + F.lit(0.5)
+    places = F.sort_array(F.array_append(pool["ends"].cast("array<double>"), point))
+    return F.try_element_at(pool["codes"], F.array_position(places, point).cast("int"))
 
 
 def fact_claims(base: DataFrame, draws: DataFrame,

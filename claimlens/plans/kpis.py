@@ -1,6 +1,10 @@
 """Revenue-cycle KPI models.
 
-Plan shape: each KPI reads the fact once. Per-claim-type averages are not
+Every model takes the fact, or ``claim_cells``: its claims counted by all keys
+that the models group by. A consumer of several models stores the cells
+(one scan of the fact) and reads each model from them.
+
+Plan shape: each KPI reads its input once. Per-claim-type averages are not
 joined back onto the fact; they are derived from a small pre-aggregate
 (grouped by the KPI's own keys plus ``claim_type``) and applied to that
 pre-aggregate instead, so the fact is never shuffled for a join, only for a
@@ -25,11 +29,39 @@ def _count_all() -> Column:
 def _is(status: str) -> Column:
     return F.col("adjudication_status") == F.lit(status)
 
-def _paid_parts() -> list[Column]:
+CELL_KEYS = ("provider_id", "ar_aging_bucket", "claim_type", "carc_code", "adjudication_status")
+
+def claim_cells(fact: DataFrame) -> DataFrame:
+    """The fact by provider, bucket, type, reason code and status: claims, and the parts of their amounts.
+
+    All but the provider are closed domains, so the cells of a provider
+    are bounded however many claims it has.
+    """
+    return fact.groupBy(*CELL_KEYS).agg(
+        _count_all().alias("cell_claims"), F.count("billed_paid_amt").alias("cell_amounts"),
+        *money_parts("billed_paid_amt", "cell"))
+
+def _claims(of: DataFrame, where: Column | None = None) -> Column:
+    """How many claims (of ``where``) a group holds, of the fact or of its cells."""
+    if "cell_claims" in of.columns:
+        n = F.col("cell_claims")
+        return F.coalesce(F.sum(n if where is None else F.when(where, n)), F.lit(0))
+    return _count_all() if where is None else F.count_if(where)
+
+def _billed_parts(of: DataFrame, name: str, where: Column | None = None) -> list[Column]:
+    """The parts of the sum of amounts (of ``where``), of the fact or of its cells."""
+    if "cell_claims" in of.columns:
+        return more_parts("cell", where, name=name)
+    return money_parts("billed_paid_amt", name, where)
+
+def _paid_parts(of: DataFrame) -> list[Column]:
     """Sum and count of paid amounts: the parts of the paid average (both over non-NULL amounts)."""
     paid = _is(C.PAID_FIRST_PASS)
-    return [*money_parts("billed_paid_amt", "paid", paid),
-            F.count(F.when(paid, F.col("billed_paid_amt"))).alias("paid_n")]
+    if "cell_claims" in of.columns:
+        n = F.coalesce(F.sum(F.when(paid, F.col("cell_amounts"))), F.lit(0))
+    else:
+        n = F.count(F.when(paid, F.col("billed_paid_amt")))
+    return [*_billed_parts(of, "paid", paid), n.alias("paid_n")]
 
 def _paid_avg() -> Column:
     return F.try_divide(money_value("paid"), F.col("paid_n").cast("double"))
@@ -38,11 +70,11 @@ def _paid_avg() -> Column:
 
 def clean_claim_rate(fact: DataFrame) -> DataFrame:
     """M7/A3: overall clean-claim rate with totals."""
-    n = _count_all()
+    n = _claims(fact)
     return fact.agg(
-        pct(F.count_if(_is(C.PAID_FIRST_PASS)), n).alias("clean_claim_rate_pct"),
+        pct(_claims(fact, _is(C.PAID_FIRST_PASS)), n).alias("clean_claim_rate_pct"),
         n.alias("total_claims"),
-        F.count_if(_is(C.DENIED)).alias("denied_claims"),
+        _claims(fact, _is(C.DENIED)).alias("denied_claims"),
     )
 
 def clean_claim_rate_by_provider(fact: DataFrame, min_claims: int = C.MIN_CLAIMS_PER_PROVIDER,
@@ -52,10 +84,10 @@ def clean_claim_rate_by_provider(fact: DataFrame, min_claims: int = C.MIN_CLAIMS
     The NULL provider stays a group (D23). Sorted by rate ascending, ties by
     provider (NULL last, D14).
     """
-    n = _count_all()
+    n = _claims(fact)
     out = (fact.groupBy("provider_id")
            .agg(n.alias("total_claims"),
-                pct(F.count_if(_is(C.PAID_FIRST_PASS)), n).alias("clean_claim_rate_pct"))
+                pct(_claims(fact, _is(C.PAID_FIRST_PASS)), n).alias("clean_claim_rate_pct"))
            .filter(F.col("total_claims") >= min_claims))
     if sort:
         out = out.orderBy(F.col("clean_claim_rate_pct").asc_nulls_last(),
@@ -69,20 +101,22 @@ def worst_providers(by_provider: DataFrame, k: int = C.WORST_PROVIDERS) -> DataF
 
 def claim_type_summary(fact: DataFrame) -> DataFrame:
     """Volume, denials, rounded clean rate and paid total per claim type."""
-    n = _count_all()
-    return fact.groupBy("claim_type").agg(
+    n = _claims(fact)
+    by_type = fact.groupBy("claim_type").agg(
         n.alias("total_claims"),
-        F.count_if(_is(C.DENIED)).alias("denied_claims"),
-        round2(pct(F.count_if(_is(C.PAID_FIRST_PASS)), n)).alias("clean_claim_rate_pct"),
-        round2(money_sum("billed_paid_amt")).alias("total_paid_amt"),
+        _claims(fact, _is(C.DENIED)).alias("denied_claims"),
+        round2(pct(_claims(fact, _is(C.PAID_FIRST_PASS)), n)).alias("clean_claim_rate_pct"),
+        *_billed_parts(fact, "billed"),
     )
+    return by_type.select("claim_type", "total_claims", "denied_claims", "clean_claim_rate_pct",
+                          round2(money_value("billed")).alias("total_paid_amt"))
 
 # -- per-type paid averages ------------------------------------------------------
 
 def avg_paid_by_type(fact: DataFrame) -> DataFrame:
     """A5: average paid amount of first-pass-paid claims per claim type."""
     return (fact.filter(_is(C.PAID_FIRST_PASS)).groupBy("claim_type")
-            .agg(*_paid_parts())
+            .agg(*_paid_parts(fact))
             .select("claim_type", _paid_avg().alias("avg_paid_amt")))
 
 def _type_averages(parts: DataFrame) -> DataFrame:
@@ -104,7 +138,7 @@ def ar_aging_matrix(fact: DataFrame) -> DataFrame:
     The proxy of a denied claim is the paid average of its claim type.
     """
     parts = (fact.groupBy("provider_id", "ar_aging_bucket", "claim_type")
-             .agg(F.count_if(_is(C.DENIED)).alias("n_denied"), *_paid_parts()))
+             .agg(_claims(fact, _is(C.DENIED)).alias("n_denied"), *_paid_parts(fact)))
     # claim_type has a closed two-value domain: the average table is tiny.
     avg = bounded_broadcast(_type_averages(parts))
     return (parts.filter(F.col("n_denied") > 0)
@@ -139,7 +173,7 @@ def top_carc_denials(fact: DataFrame, dim_carc: DataFrame, sort: bool = True) ->
     and unmapped codes.
     """
     parts = (fact.groupBy("carc_code")
-             .agg(F.count_if(_is(C.DENIED)).alias("n_denied"), *_paid_parts()))
+             .agg(_claims(fact, _is(C.DENIED)).alias("n_denied"), *_paid_parts(fact)))
     every_code = Window.partitionBy(F.lit(0))  # at most one row per code
     every = parts.select("carc_code", "n_denied", *more_parts("paid", over=every_code),
                          F.sum("paid_n").over(every_code).alias("paid_n"))
@@ -184,13 +218,13 @@ def header_cards(fact: DataFrame, scope: str = "all") -> DataFrame:
         raise ValueError(f"unknown scope {scope!r}")
     paid, denied = _is(C.PAID_FIRST_PASS), _is(C.DENIED)
     t = fact.groupBy("claim_type").agg(
-        _count_all().alias("n_all"),
-        F.count_if(paid).alias("n_paid"),
-        F.count_if(denied).alias("n_denied"),
-        F.count_if(denied & (F.col("ar_aging_bucket") == C.AGING_OVERFLOW)).alias("n_overdue"),
-        *money_parts("billed_paid_amt", "billed"),
-        *money_parts("billed_paid_amt", "kept", ~denied),
-        *_paid_parts(),
+        _claims(fact).alias("n_all"),
+        _claims(fact, paid).alias("n_paid"),
+        _claims(fact, denied).alias("n_denied"),
+        _claims(fact, denied & (F.col("ar_aging_bucket") == C.AGING_OVERFLOW)).alias("n_overdue"),
+        *_billed_parts(fact, "billed"),
+        *_billed_parts(fact, "kept", ~denied),
+        *_paid_parts(fact),
     )
     joined = (F.col("paid_n") > 0) & F.col("claim_type").isNotNull()
     expected = F.coalesce(money_value("kept"), F.lit(0.0)) + F.col("n_denied") * _paid_avg()

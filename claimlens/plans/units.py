@@ -20,9 +20,9 @@ from claimlens.operators.joins import bounded_broadcast, inner_join, scalar
 from claimlens.operators.quality import SchemaTest, test_report
 from claimlens.plans import dashboard, dims, fact as factmod, kpis, quality, warehouse
 from claimlens.session import new_scratch_path
-from claimlens.sinks import materialize, write_json, write_parquet
+from claimlens.sinks import materialize, replace_partitions, write_bucketed, write_json, write_lookup, write_parquet
 from claimlens.sources import fixtures
-from claimlens.sources.files import read_claim_files, read_lookup, read_yearly
+from claimlens.sources.files import read_checked_csv, read_claim_files, read_lookup, read_yearly
 
 
 # -- sources (S1-S3, S7, U1-U3) ------------------------------------------------
@@ -197,9 +197,44 @@ def codes_from_large_pool(fact: DataFrame, weights: DataFrame) -> DataFrame:
             .select("claim_id", factmod.drawn_code("claim_id", factmod.carc_draws(pool)).alias("carc_code")))
 
 
+def codes_from_heavy_pool(fact: DataFrame, weights: DataFrame) -> DataFrame:
+    """Codes drawn from a pool as large as a table, of any weights."""
+    denied = fact.filter(F.col("adjudication_status") == C.DENIED).select("claim_id")
+    return factmod.draw_by_interval(denied, factmod.pool_intervals(weights), "claim_id")
+
+
+def replaced_partition(spark: SparkSession, fact: DataFrame) -> DataFrame:
+    """K4: the fact stored by claim type, then one type's rows replaced (without their reason codes), all read back."""
+    path = write_parquet(fact, new_scratch_path(spark, "fact-replaced"), partition_by="claim_type")
+    redone = fact.filter(F.col("claim_type") == C.INPATIENT).withColumn("carc_code", F.lit(None).cast("string"))
+    replace_partitions(redone, path, "claim_type")
+    return spark.read.parquet(path).select(*fact.columns)
+
+
+def bucketed_claims(spark: SparkSession, base: DataFrame, draws: DataFrame, buckets: int = 8) -> DataFrame:
+    """J1/A12 over co-bucketed tables: claims joined to their outcome, and how often the id occurs, without a shuffle."""
+    root, name = new_scratch_path(spark, "bucketed"), f"b{uuid.uuid4().hex[:8]}"
+    outcome = factmod.fact_claims(base, draws).select("claim_id", "adjudication_status", "carc_code")
+    left = write_bucketed(base, f"{name}_base", f"{root}/base", "claim_id", buckets)
+    right = write_bucketed(outcome, f"{name}_outcome", f"{root}/outcome", "claim_id", buckets)
+    times = left.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"))
+    return inner_join(inner_join(left, right, "claim_id"), times, "claim_id")
+
+
+def checked_claim_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Lines of claim files of which some are ragged: the rejected ones, and how many rows were accepted of each flag."""
+    root = new_scratch_path(spark, "ragged")
+    lines.write.text(root)
+    columns = ("CLM_ID", "SEGMENT", "PRVDR_NUM", "FLAG", "STATUS", "SHIP")
+    rows, rejected = read_checked_csv(spark, root, columns, header=False)
+    accepted = rows.groupBy("FLAG").agg(F.count(F.lit(1)).alias("n"))
+    return accepted.select(F.lit("accepted").alias("kind"), F.col("FLAG").alias("line"), "n").unionByName(
+        rejected.groupBy("line").agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected").alias("kind"), "line", "n"))
+
+
 def lookup_roundtrip(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """A raw lookup written as Parquet, read by its reader, cleaned and bucketed."""
-    path = write_parquet(raw, new_scratch_path(spark, "lookup"))
+    path = write_lookup(raw, new_scratch_path(spark, "lookup"))
     return dims.dim_carc_denials(read_lookup(spark, path, "parquet"))
 
 
@@ -229,11 +264,12 @@ def repeated_segments(detail: DataFrame) -> DataFrame:
 
 
 def marts_by_name(spark: SparkSession, wh) -> DataFrame:
-    """Publish all marts, then read some back by their names: (mart, key, value)."""
+    """Publish all marts, then another session reads some by their names: (mart, key, value)."""
     prefix = f"m{uuid.uuid4().hex[:8]}_"
     jobs.publish_marts(wh, new_scratch_path(spark, "marts"), prefix)
-    named = lambda name: spark.table(prefix + name)
-    return spark.sql(f"""
+    other = spark.newSession()
+    named = lambda name: other.table(prefix + name)
+    return other.sql(f"""
         SELECT 'provider' AS mart, provider_id AS key, clean_claim_rate_pct AS value FROM {prefix}kpi_clean_claim_rate_by_provider
         UNION ALL SELECT 'reason', carc_code, estimated_financial_loss FROM {prefix}kpi_top_carc_denials
         UNION ALL SELECT 'type', claim_type, total_paid_amt FROM {prefix}kpi_claim_type_summary

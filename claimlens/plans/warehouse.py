@@ -10,7 +10,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlens.plans import dims, fact as factmod
+from claimlens.plans import dims, fact as factmod, kpis
 from claimlens.session import new_scratch_path
 from claimlens.sinks import write_parquet
 from claimlens.sources import fixtures
@@ -24,6 +24,7 @@ class Warehouse:
     beneficiaries: DataFrame
     carc_lookup_raw: DataFrame
     as_of: object = None
+    root: str | None = None  # of the stored relations
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -78,7 +79,12 @@ class Warehouse:
         return self._get("fact", lambda: factmod.fact_claims(self.fact_base, self.carc_draws,
                                                              self.as_of_date))
 
-    TABLES = ("dim_patient", "dim_provider", "dim_diagnosis", "dim_carc_denials", "fact")
+    @property
+    def claim_cells(self) -> DataFrame:
+        """The fact counted by all keys of the KPI models (``kpis.claim_cells``)."""
+        return self._get("claim_cells", lambda: kpis.claim_cells(self.fact))
+
+    TABLES = ("dim_patient", "dim_provider", "dim_diagnosis", "dim_carc_denials", "fact", "claim_cells")
 
     def land(self, root: str | None = None) -> "Warehouse":
         """Write the raw segments once as Parquet (the landing copy) and return
@@ -108,7 +114,8 @@ class Warehouse:
         for name in tables:
             path = f"{root}/{name}"
             part = partition_fact_by if name == "fact" else None
-            df = getattr(self, name)
+            stored_fact = name == "claim_cells" and "fact" in tables[:list(tables).index(name)]
+            df = kpis.claim_cells(cache["fact"]) if stored_fact else getattr(self, name)
             if name == "fact":
                 # Cluster each file by status (a per-task sort, no shuffle):
                 # Parquet row-group statistics then let a pushed status filter
@@ -119,7 +126,7 @@ class Warehouse:
             if name == "fact":
                 df = df.select(*factmod.FACT_COLUMNS)
             cache[name] = df
-        return replace(self, _cache=cache)
+        return replace(self, root=root, _cache=cache)
 
 
 def from_raw(spark: SparkSession, segments: DataFrame, yearly_beneficiaries: list[DataFrame],

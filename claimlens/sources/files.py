@@ -38,6 +38,44 @@ def read_text_csv(spark: SparkSession, path: str,
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+REJECTED_LINE = "_rejected_line"
+
+
+def read_checked_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                     header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with an account of malformed lines: (rows, rejected).
+
+    A line is malformed if it has not as many fields as the header (or as
+    ``columns``, for a file without one). ``rows`` are the well-formed ones,
+    every column text; ``rejected`` has file and line of the others.
+    ``read_text_csv`` by contrast takes what fits of such lines. Both results
+    parse whole lines, without column pruning: land them before repeated use.
+    """
+    if header:
+        names = spark.read.option("header", True).csv(path).columns
+        missing = [c for c in columns or () if c not in names]
+        if missing:
+            raise ValueError(f"{path} has no columns {missing}")
+    elif not columns:
+        raise ValueError("a file without header needs its columns")
+    else:
+        names = list(columns)
+    schema = StructType([*all_string_schema(names).fields, StructField(REJECTED_LINE, StringType(), True)])
+    every = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+             .option("mode", "PERMISSIVE").option("columnPruning", False)
+             .option("columnNameOfCorruptRecord", REJECTED_LINE).csv(path))
+    # Spark refuses a scan of the malformed line alone, so a field is read beside it (its length is never under 0).
+    every = every.filter(F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0)
+    rows = every.filter(F.col(REJECTED_LINE).isNull()).select(*[F.col(f"`{c}`") for c in columns or names])
+    rejected = every.filter(F.col(REJECTED_LINE).isNotNull())
+    return rows, rejected.select(F.input_file_name().alias("file"), F.col(REJECTED_LINE).alias("line"))
+
+
+def rejected_counts(rejected: DataFrame) -> DataFrame:
+    """Malformed lines per file: file, n_rejected."""
+    return rejected.groupBy("file").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
 def tag_source(df: DataFrame, column: str, value) -> DataFrame:
     """S3: constant source tag column (e.g. the claim type of a file)."""
     return df.withColumn(column, F.lit(value))

@@ -178,3 +178,21 @@ def weights_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = F.regexp_replace("p_brand", "[^0-9]", "").cast("int")
     return pairs.select((digits * 1000 + F.col("p_size")).cast("int").alias("ordinal"), code.alias("carc_code"),
                         (F.lit(1) + F.col("p_size") % 7).cast("int").alias("weight"))
+
+
+def heavy_weights_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code for every ``part``, with weights from 0 to a million; one holds a third of them all."""
+    k = F.col("p_partkey")
+    weight = F.when(k % 9 == 0, 0).when(k == 1, 10 ** 9).otherwise((k * 7919) % 1_000_003)
+    return table(spark, sf_dir, "part").select(k.cast("int").alias("ordinal"), F.concat(F.lit("H"), k.cast("string")).alias("carc_code"),
+                                               weight.cast("bigint").alias("weight"))
+
+
+def ragged_claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a claim file without header (one column ``value``): six fields, some lines short or with too many."""
+    li = table(spark, sf_dir, "lineitem")
+    k, fields = F.col("l_orderkey") + F.col("l_linenumber"), ("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag",
+                                                              "l_linestatus", "l_partkey")
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in fields])
+    return li.select(F.when(k % 97 == 5, F.concat_ws(",", *[F.col(c).cast("string") for c in fields[:4]]))
+                     .when(k % 89 == 7, F.concat(line, F.lit(",extra,more"))).otherwise(line).alias("value"))

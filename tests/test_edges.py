@@ -2,6 +2,7 @@
 tables cannot show."""
 
 import datetime
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,8 +104,8 @@ def test_start_after_as_of_is_current(spark):  # D16
 def _draws(spark, lookup_rows, weights=None):
     lookup = dims.dim_carc_denials(spark.createDataFrame(lookup_rows, "c string, d string"))
     weights = factmod.carc_weights(spark) if weights is None else weights
-    codes = factmod.carc_draws(factmod.carc_pool(weights, lookup)).first()["codes"]
-    return {c: codes.count(c) for c in codes}
+    draws = factmod.carc_draws(factmod.carc_pool(weights, lookup)).first()["draws"]
+    return {c: hi - lo for c, lo, hi in zip(draws["codes"], [0, *draws["ends"]], draws["ends"])}
 
 
 def test_full_pool_draws_follow_weights(spark):
@@ -245,3 +246,41 @@ def test_extremes_with_few_providers(spark):  # D26
     assert len(out) == 13
     assert groups.count("Bottom 10") == 10 and groups.count("Top 10") == 3
     assert {r.provider_id for r in out if r.rank_group == "Top 10"} == {"P11", "P10", "P09"}
+
+
+def test_heavy_pool_draws_by_interval(spark):  # X18, F8: any weights, exact shares
+    weights = [(1, "A", 3), (2, "B", 0), (3, "C", 10 ** 9), (4, "D", 1), (5, "E", 7 * 10 ** 8), (5, "EE", 1)]
+    pool = spark.createDataFrame(weights, "ordinal int, carc_code string, weight long").repartition(3)
+    intervals = factmod.pool_intervals(pool, 4)
+    ends, at = [], 0
+    for _, code, w in weights:
+        at += w
+        if w:
+            ends.append((at - w, at, code))
+    assert sorted((r.start, r.end, r.carc_code) for r in intervals.collect()) == ends
+    claims = spark.createDataFrame([(str(i), i) for i in range(400)] + [(None, -1)], "claim_id string, n int").repartition(5)
+
+    def code(key):
+        h = int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % at
+        return next(c for lo, hi, c in ends if lo <= h < hi)
+
+    for cells in (1, 7, 4096):
+        got = factmod.draw_by_interval(claims, intervals, "claim_id", cells=cells).collect()
+        assert sorted(tuple(r) for r in got if r.claim_id) == sorted((str(i), i, code(str(i))) for i in range(400))
+        assert [tuple(r) for r in got if r.claim_id is None] == [(None, -1, None)]
+    empty = factmod.pool_intervals(pool.filter("weight < 0"))
+    assert {r.carc_code for r in factmod.draw_by_interval(claims, empty, "claim_id").collect()} == {None}
+
+
+def test_kpis_of_cells_equal_those_of_the_fact(spark):
+    rows = [seg(str(i), [None, "0", "10.01", "99.99", "NaN", "-3"][i % 6 if i % 2 else 2], "Inpatient" if i % 3 else "Outpatient",
+                provider=f"P{i % 4}" if i % 5 else None, start=f"2010{1 + i % 9:02d}01", end="20101001") for i in range(300)]
+    wh = build(spark, rows)
+    fact, cells = wh.fact, kpis.claim_cells(wh.fact)
+    by = lambda of: kpis.clean_claim_rate_by_provider(of, min_claims=1)
+    for model in (kpis.clean_claim_rate, by, kpis.claim_type_summary, kpis.avg_paid_by_type, kpis.ar_aging_matrix,
+                  kpis.header_cards, lambda of: kpis.header_cards(of, "joined"),
+                  lambda of: kpis.top_carc_denials(of, wh.dim_carc_denials)):
+        a, b = model(fact), model(cells)
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

@@ -1,12 +1,16 @@
 """Sinks and landing: the dashboard JSON extract and the Parquet landing copy."""
 
+import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from claimlens import sinks
 from claimlens.plans import dashboard, kpis
 from claimlens.session import new_scratch_path, scratch_dir
+from claimlens.sources.files import read_checked_csv, rejected_counts
 
 
 def test_scratch_dir_comes_from_session(spark):
@@ -68,3 +72,59 @@ def test_materialize_view_and_table(spark, wh):  # K1, K7
     assert "FileScan parquet" in spark.table("claimlens_dim_provider_table")._jdf \
         .queryExecution().executedPlan().toString()
     assert t.count() == v.count()
+
+
+def test_malformed_lines_are_accounted_for(spark, tmp_path):  # S1
+    (tmp_path / "a.csv").write_text('x,y,z\n1,2,3\n4,5\n6,7,8,9\n,,\n"q,r",s,t\n')
+    (tmp_path / "b.csv").write_text("x,y,z\n1,2,3\n")
+    rows, rejected = read_checked_csv(spark, str(tmp_path))
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+        [("1", "2", "3"), (None, None, None), ("q,r", "s", "t"), ("1", "2", "3")], key=str)
+    assert rows.count() == 4 and rejected.count() == 2
+    assert sorted(r.line for r in rejected.collect()) == ["4,5", "6,7,8,9"]
+    assert [(r.file.rsplit("/", 1)[1], r.n_rejected) for r in rejected_counts(rejected).collect()] == [("a.csv", 2)]
+    assert read_checked_csv(spark, str(tmp_path), ["z"])[0].columns == ["z"]
+    with pytest.raises(ValueError, match="nowhere"):
+        read_checked_csv(spark, str(tmp_path), ["nowhere"])
+
+
+def test_published_names_are_every_sessions(spark):  # K1, K2, K7, S7
+    path, name = new_scratch_path(spark, "named"), "named_relation"
+    sinks.publish(spark.range(5), name, path)
+    other = spark.newSession()
+    assert other.table(name).count() == 5
+    with pytest.raises(Exception, match="wrong"):  # a rewrite that fails leaves the old rows
+        sinks.publish(spark.range(9).withColumn("bad", F.raise_error(F.lit("wrong"))), name, path)
+    assert other.table(name).columns == ["id"] and other.table(name).count() == 5
+    sinks.publish(spark.range(7).withColumn("more", F.lit("x")), name, path)
+    assert spark.newSession().table(name).columns == ["id", "more"] and other.table(name).count() == 7
+
+
+def test_replaced_partition_leaves_the_others(spark):  # K4
+    root = new_scratch_path(spark, "parts")
+    rows = spark.range(100).withColumn("kind", F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
+    sinks.write_parquet(rows, root, partition_by="kind")
+
+    def files(kind):
+        return {(f, os.stat(f).st_mtime_ns) for f in glob.glob(f"{root.removeprefix('file:')}/kind={kind}/*.parquet")}
+
+    before = files("a"), files("b")
+    sinks.replace_partitions(rows.filter("kind = 'a'").withColumn("id", F.col("id") + 1000), root, "kind")
+    assert files("b") == before[1] and not files("a") & before[0]
+    got = spark.read.parquet(root)
+    assert got.count() == 100 and got.filter("kind = 'a'").agg(F.min("id")).first()[0] == 1000
+
+
+def test_bucketed_tables_join_without_exchange(spark):  # J1, A12
+    root = new_scratch_path(spark, "buckets")
+    a = sinks.write_bucketed(spark.range(500).withColumn("x", F.lit(1)), "bucketed_a", f"{root}/a", "id", 4)
+    b = sinks.write_bucketed(spark.range(400).withColumn("y", F.lit(2)), "bucketed_b", f"{root}/b", "id", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined, counted = a.join(b, "id"), a.groupBy("id").count()
+        for df in (joined, counted):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 400 and counted.count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

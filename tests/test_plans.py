@@ -6,7 +6,7 @@ import contextlib
 import pytest
 
 from claimlens import registry
-from claimlens.plans import kpis, warehouse
+from claimlens.plans import dashboard, kpis, quality, warehouse
 
 
 def physical(df) -> str:
@@ -146,3 +146,35 @@ def test_stored_fact_pushes_status_filter(spark, fresh):
     stored = fresh.materialize(tables=("fact",))
     plan = physical(stored.fact.filter(F.col("adjudication_status") == "Denied"))
     assert "PushedFilters: [IsNotNull(adjudication_status), EqualTo(adjudication_status,Denied)]" in plan
+
+
+def scanned(df) -> dict[str, int]:
+    """How often the plan scans each stored relation, by the name of its folder."""
+    found, todo = {}, [df._jdf.queryExecution().sparkPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            name = node.relation().location().rootPaths().apply(0).getName()
+            found[name] = found.get(name, 0) + 1
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_dashboard_scans_the_stored_fact_for_checks_only(fresh):
+    stored = fresh.materialize()
+    checks = scanned(quality.dq_counts(stored.fact, stored.dim_patient, stored.dim_diagnosis))
+    whole = scanned(dashboard.dashboard_rows(stored))
+    assert whole["fact"] == checks["fact"] and whole["claim_cells"] >= 5
+    for section in ("header_cards", "clean_claim_rate", "top_carc_denials", "ar_aging_matrix", "ar_matrix_top_providers"):
+        assert "fact" not in scanned(dashboard.sections(stored)[section])
+
+
+def test_schema_tests_scan_each_relation_once(fresh):
+    found = scanned(quality.schema_test_report(fresh.materialize()))
+    assert {found[n] for n in ("fact", "dim_patient", "dim_provider", "dim_diagnosis")} == {1}, found
+
+
+def test_code_rules_run_on_distinct_codes(fresh):
+    for df in (fresh.land().dim_diagnosis, registry.units.circulatory_codes(fresh.land().dim_diagnosis)):
+        plan = physical(df)
+        assert "regexp_replace" in plan and "regexp_replace" not in plan[plan.index("Exchange"):]
