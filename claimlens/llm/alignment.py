@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import importable, runs, stored
+from claimlens.llm.common import hold, importable, runs, stored
 
 A_NAME = "byte_bpe_50k"
 B_NAME = "piece_bpe_32k"
@@ -106,6 +106,7 @@ class Pair:
 
 @lru_cache(maxsize=1)
 def pair(a_name: str = A_NAME, b_name: str = B_NAME) -> Pair:
+    hold(__name__, pair.cache_clear)
     return Pair(a_name, b_name)
 
 

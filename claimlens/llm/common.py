@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -89,6 +91,28 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
 
 
+_HELD: dict[str, Callable[[], None]] = {}  # of this worker: what its modules keep between tasks
+
+
+def hold(owner: str, clear: Callable[[], None]) -> None:
+    """Have ``clear`` called when this worker begins a task of another module than ``owner``."""
+    _HELD[owner] = clear
+
+
+def let_go(owner: str) -> None:
+    """Free what other modules' tasks left in this worker, and memory that its allocators keep."""
+    others = [o for o in _HELD if o != owner]
+    for o in others:
+        _HELD.pop(o)()
+    if others:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_groups(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
     """applyInPandas over groups of ``keys``."""
     importable(df.sparkSession)
@@ -102,10 +126,14 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     Batches are handed on in slices of ``rows``, so that only few texts are Python
     objects at a time; the function sees every row once.
     """
+    owner = fn.__module__
+
     def run(batches):
+        let_go(owner)
         for b in batches:
             for at in range(0, b.num_rows, rows):
                 yield fn(b.slice(at, rows))
+        pa.default_memory_pool().release_unused()
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 

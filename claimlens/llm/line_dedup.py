@@ -1,22 +1,25 @@
 """Removal of multi-line chunks that repeat anywhere in the corpus.
 
-Chunks overlap: one begins at every line and one ends at every line, each the
-shortest run of lines that counts. They depend on their own lines only, so
-text around them does not matter, and every line of a repeated passage that
-counts is in a chunk that lies inside the passage: the chunk that begins there
-or, near its end, the one that ends with the passage. Nothing is lost to the
-choice of boundaries.
-
-Chunks whose 64-bit hash occurs more than once (counted with map-side
-combining) go on, by a bitmap, to the exact count by 128-bit hash. The text of
-those that repeat is then compared byte for byte by grouping on it; every
-occurrence but the first (smallest doc_id, then text hash, then place) is
-removed. Documents without such a chunk are not moved.
+Lines are hashed to 128 bits, and a rolling hash over the line hashes (modulo a
+prime, so that any run of lines costs one subtraction) gives every chunk its key.
+Chunk boundaries are content-defined and resist shifts: a chunk begins at
+every line and one ends at every line, each the shortest run of lines that
+counts. It depends on its own lines only, and every line of a repeated
+passage that counts is in a chunk inside the passage: the chunk that begins
+there or, near its end, the one that ends with the passage. (Boundaries thinned
+out by hash, as in chunking of files, lie inside a passage of few lines by chance
+only; then no chunk of it repeats, and it stays.)
+
+Chunks whose key's half occurs more than once (counted with map-side
+combining) go on, by a bitmap, to the exact count by key. The lines of those that
+repeat are then compared byte for byte, each line once however many chunks it is
+in, by grouping their texts by hash; every occurrence of a chunk but the first
+(smallest doc_id, then text hash, then place) is removed. Documents without
+such a chunk are not moved.
 
 Definitions: lines end at "\\n". A chunk counts if it has two lines or more and
 ``MIN_WORDS`` words at least, or is one line of ``LONG_WORDS`` words or more. An
-occurrence that overlaps the first one is no repetition of it. Of a run of empty
-lines, chunks begin and end at the ``MAX_BLANK`` next to a line with words. Null text stays
+occurrence that overlaps the first one is no repetition of it. Null text stays
 null. Rows that repeat doc_id and text in whole are one document: each gets
 the same result, and they are no repetition of each other.
 """
@@ -24,7 +27,6 @@ the same result, and they are no repetition of each other.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -35,9 +37,10 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import bitmap, in_bitmap, map_arrow, maybe_in, stored, text_md5
 
 MIN_LINES = 2
-MAX_BLANK = 64   # empty lines at either end of a chunk
 LONG_WORDS = 50
 MIN_WORDS = 10
+PRIME = (1 << 127) - 1
+BASE = xxhash.xxh3_128_intdigest(b"base of the rolling hash") % PRIME
 
 
 def chunks(lines: list[str]) -> list[tuple[int, int]]:
@@ -50,10 +53,10 @@ def chunks(lines: list[str]) -> list[tuple[int, int]]:
             found.add((i, i + 1))
             continue
         a = min(i + 1 - MIN_LINES, bisect_right(total, total[i + 1] - MIN_WORDS) - 1)
-        if a >= 0 and (n or i + 1 - bisect_left(total, total[i]) <= MAX_BLANK):
+        if a >= 0:
             found.add((a, i + 1))
         b = max(i + MIN_LINES, bisect_left(total, total[i] + MIN_WORDS))
-        if b <= len(lines) and (n or bisect_right(total, total[i]) - 1 - i <= MAX_BLANK):
+        if b <= len(lines):
             found.add((i, b))
     return sorted(found)
 
@@ -64,19 +67,27 @@ def _counts(lines: list[str], a: int, b: int, text: str) -> bool:
     return len(text.split(None, MIN_WORDS)) >= MIN_WORDS
 
 
-def _bodies(text: str) -> Iterator[tuple[int, int, str]]:
-    """First line, number of lines and text of each chunk."""
-    lines = text.split("\n")
-    starts = [0, *accumulate(len(line) + 1 for line in lines)]
+_POWERS = [1]
+
+
+def keyed_chunks(lines: list[str]) -> list[tuple[int, int, bytes]]:
+    """First line, line after the last and key of each chunk: the rolling hash over its lines' hashes."""
+    upto = [0]
+    for line in lines:
+        upto.append((upto[-1] * BASE + xxhash.xxh3_128_intdigest(line) % PRIME + 1) % PRIME)
+    out = []
     for a, b in chunks(lines):
-        yield a, b - a, text[starts[a]:starts[b] - 1]
+        while len(_POWERS) <= b - a:
+            _POWERS.append(_POWERS[-1] * BASE % PRIME)
+        out.append((a, b, ((upto[b] - upto[a] * _POWERS[b - a]) % PRIME).to_bytes(16, "big")))
+    return out
 
 
 def _likely(docs: DataFrame) -> bytes:
     """A bitmap of the chunks that may occur more than once."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [int.from_bytes(xxhash.xxh3_128_digest(body)[:8], "big", signed=True)
-               for text in batch.column(0).to_pylist() if text for _, _, body in _bodies(text)]
+        out = [int.from_bytes(key[:8], "big") for text in batch.column(0).to_pylist() if text
+               for _, _, key in keyed_chunks(text.split("\n"))]
         return pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["half"])
 
     halves = map_arrow(docs.select(F.col("text").cast("string").alias("text")), run, "half long")
@@ -84,35 +95,60 @@ def _likely(docs: DataFrame) -> bytes:
     return bitmap(several.select(F.unhex(F.lpad(F.hex("half"), 16, "0")).alias("chunk")))
 
 
-def _chunk_rows(docs: DataFrame, bits: bytes, bodies: bool = False) -> DataFrame:
-    """Chunks whose bit is set: doc_id, text_hash, first, lines, chunk (128-bit hash of its text).
-
-    With ``bodies``: as (chunk, body).
-    """
+def _chunk_rows(docs: DataFrame, bits: bytes) -> DataFrame:
+    """Chunks whose bit is set: doc_id, text_hash, first, lines, chunk (its key)."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # 2 MB
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[] for _ in range(2 if bodies else 5)]
+        out = [[] for _ in range(5)]
         for doc_id, text, own in zip(*(c.to_pylist() for c in batch.columns)):
-            if not text:
-                continue
-            for first, lines, body in _bodies(text):
-                key = xxhash.xxh3_128_digest(body)
-                if not in_bitmap(shared.value, key):
-                    continue
-                for column, value in zip(out, (key, body) if bodies else (doc_id, own, first, lines, key)):
-                    column.append(value)
-        if bodies:
-            kinds, names = (pa.binary(), pa.string()), ["chunk", "body"]
-        else:
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
-            names = ["doc_id", "text_hash", "first", "lines", "chunk"]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+            for a, b, key in keyed_chunks(text.split("\n")) if text else ():
+                if in_bitmap(shared.value, key):
+                    for column, value in zip(out, (doc_id, own, a, b - a, key)):
+                        column.append(value)
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
+                                          names=["doc_id", "text_hash", "first", "lines", "chunk"])
 
     text = F.col("text").cast("string")
     return map_arrow(docs.select(F.col("doc_id").cast("long"), text, text_md5(text)), run,
-                     "chunk binary, body string" if bodies
-                     else "doc_id long, text_hash binary, first int, lines int, chunk binary")
+                     "doc_id long, text_hash binary, first int, lines int, chunk binary")
+
+
+def _unlike(docs: DataFrame, bits: bytes) -> DataFrame:
+    """Hashes of lines (``line``) that stand for different texts, among the lines of chunks whose bit is set."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = set()
+        for text in batch.column(0).to_pylist():
+            lines = text.split("\n") if text else []
+            for a, b, key in keyed_chunks(lines):
+                if in_bitmap(shared.value, key):
+                    found.update(lines[a:b])
+        return pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in found], pa.binary()),
+                                           pa.array(list(found), pa.string())], names=["line", "body"])
+
+    rows = map_arrow(docs.select(F.col("text").cast("string").alias("text")), run, "line binary, body string")
+    # Every text is compared with the others of its hash: all but one text for a hash are too many.
+    return rows.distinct().groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("line")
+
+
+def _holding(docs: DataFrame, bits: bytes) -> DataFrame:
+    """chunk and line (hash) of every line of every chunk whose bit is set."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = set()
+        for text in batch.column(0).to_pylist():
+            lines = text.split("\n") if text else []
+            for a, b, key in keyed_chunks(lines):
+                if in_bitmap(shared.value, key):
+                    found.update((key, xxhash.xxh3_128_digest(x)) for x in lines[a:b])
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.binary()),
+                                           pa.array([x for _, x in found], pa.binary())], names=["chunk", "line"])
+
+    return map_arrow(docs.select(F.col("text").cast("string").alias("text")), run, "chunk binary, line binary")
 
 
 # One sortable value for an occurrence: ids in order (null first), then text hash, then place.
@@ -126,15 +162,14 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = stored(_chunk_rows(docs, _likely(docs)), "chunks").withColumn("at", _place())
     ends = found.groupBy("chunk").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     repeated = stored(ends.filter(F.col("lo") != F.col("hi")).select("chunk", F.col("lo").alias("keep")), "repeated")
-    # Byte comparison: texts of one hash are grouped by their bytes. Where all
-    # are the same, the hash stands for them; only these chunks are removed.
-    # (Two different texts of one 128-bit hash would both stay.)
-    bodies = _chunk_rows(docs, bitmap(repeated.select("chunk")), bodies=True).distinct()
-    same = bodies.groupBy("chunk").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") == 1)
-    proven = repeated.join(same.select("chunk"), "chunk", "left_semi")
+    bits = bitmap(repeated.select("chunk"))
+    unlike, proven = stored(_unlike(docs, bits), "unlike"), repeated
+    if not unlike.isEmpty():  # a hash of 128 bits that two lines share: their chunks stay
+        proven = repeated.join(_holding(docs, bits).join(unlike, "line", "left_semi").select("chunk"), "chunk", "left_anti")
     of_keep = ((F.col("at.o") == F.col("keep.o")) & (F.col("at.t") == F.col("keep.t"))
                & (F.col("first") < F.col("keep.f") + F.col("lines")))  # the first itself, or it overlaps the first
-    return found.join(proven, "chunk").filter(~of_keep).select("doc_id", "text_hash", "first", "lines")
+    # Stored before they are grouped by document, so that a hot chunk's rows can be split over tasks.
+    return stored(found.join(proven, "chunk").filter(~of_keep).select("doc_id", "text_hash", "first", "lines"), "found")
 
 
 def _merged(cuts: DataFrame) -> DataFrame:

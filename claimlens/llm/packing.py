@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import map_arrow, map_groups, pick, stored, texts
+from claimlens.llm.common import hold, map_arrow, map_groups, pick, stored, texts
 
 SIZE = 1024
 END_ID = 2
@@ -47,6 +47,7 @@ def _encoders(vocabulary: str):
     import tiktoken
     from tokenizers import Tokenizer
 
+    hold(__name__, _encoders.cache_clear)
     exact = Tokenizer.from_file(P.path(f"{vocabulary}.json"))
     with open(P.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}

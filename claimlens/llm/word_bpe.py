@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import map_arrow, texts
+from claimlens.llm.common import hold, map_arrow, texts
 
 VOCABULARY = "word_bpe_49k"
 LONG = 2048            # symbols of a word from which it has a queue of its own
@@ -106,6 +106,7 @@ class Vocabulary:
 
 @lru_cache(maxsize=1)
 def vocabulary(name: str = VOCABULARY) -> Vocabulary:
+    hold(__name__, vocabulary.cache_clear)
     return Vocabulary(name)
 
 

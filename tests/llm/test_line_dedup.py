@@ -118,3 +118,29 @@ def test_an_occurrence_that_overlaps_the_first_stays(spark):
     x = prose("x", 1, 20)
     out = got(L.dedup_lines(docs(spark, [(1, "\n".join([x] * 3)), (2, "\n".join([x] * 4)), (3, f"{x}\nother")])))
     assert out == {1: ["\n".join([x] * 3)], 2: [""], 3: [f"{x}\nother"]}
+
+
+def test_long_runs_of_empty_lines_go_with_their_passage(spark):
+    a, b = prose("a", 1, 10), prose("b", 1, 10)
+    passage = "\n".join([a, *[""] * 200, b])
+    assert got(L.dedup_lines(docs(spark, [(1, passage), (2, f"x\n{passage}\ny"), (3, "\n" * 3000)]))) == {
+        1: [passage], 2: ["x\ny"], 3: ["\n" * 3000]}
+
+
+def test_lines_of_one_hash_but_other_bytes_stay():
+    lines = [prose(i, 1, 12) for i in range(6)]
+    keys = {(a, b): k for a, b, k in L.keyed_chunks(lines)}
+    moved = {(a - 2, b - 2): k for a, b, k in L.keyed_chunks(["one", "two", *lines])}
+    assert {k: v for k, v in moved.items() if k in keys} == keys  # a key depends on its own lines alone
+    assert len(set(keys.values())) == len(keys)
+
+
+def test_unlike_lines_are_told(spark, monkeypatch):
+    rows = [(1, f"{prose('p', 2)}\n{prose('q', 2)}"), (2, f"{prose('p', 2)}\nother")]
+    table = docs(spark, rows)
+    every = b"\xff" * (1 << 21)
+    assert L._unlike(table, every).count() == 0
+    assert L._holding(table, every).select("line").distinct().count() == 5
+    unlike = L._holding(table, every).filter(f"hex(line) = '{L.xxhash.xxh3_128_hexdigest(prose('p', 2).split(chr(10))[0]).upper()}'")
+    monkeypatch.setattr(L, "_unlike", lambda docs, bits: unlike.select("line").distinct())
+    assert got(L.dedup_lines(table)) == {i: [t] for i, t in rows}
