@@ -33,7 +33,7 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
 
 def test_queries_are_registered():
     import __spark_entry__ as E
-    names = [f"op{n}" for n in range(1, 11)]
+    names = [f"op{n}" for n in range(1, 14)]
     assert sorted({q.split("_")[0] for q in queries()}) == sorted(names)
     assert set(queries()) <= set(E.queries()) and "pipeline" in E.queries()
     assert set(oracle_sql()) <= set(queries())
