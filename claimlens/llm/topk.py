@@ -9,11 +9,13 @@ distance. Annuli start empty and expand in the order of their bounds until the
 bound of everything outside is below the query's k-th best score.
 
 The index is range-partitioned by (pivot, distance, id), so a cell of any
-size, even of equal vectors, is spread over partitions. Queries go to them in
-blocks of at most ``QUERY_BLOCK``; each partition returns its best k for each
-query, and the best k of these remain. A threshold from the pivot sample (its
-members are candidates, so their k-th best is a lower bound) lets most
-partitions return little.
+size, even of equal vectors, is spread over parts. Spark deals every query to
+every part, behind the part's own rows: a task holds one part, reads the
+queries as a stream in blocks of at most ``QUERY_BLOCK`` and returns the part's
+best k for each; the best k of these remain. The index is read once however
+many queries there are, and none pass through the driver. A threshold from the
+pivot sample (its members are candidates, so their k-th best is a lower bound)
+lets most parts return little.
 
 Pivots are a bounded sample of ``PIVOTS`` vectors; the index holds every row.
 """
@@ -30,22 +32,30 @@ from claimlens.llm.common import importable, stored
 SCALE = 1024
 TOP = 10
 PIVOTS = 256
-QUERY_BLOCK = 2048   # queries that are broadcast at once
+QUERY_BLOCK = 2048   # queries that a task answers at once
 CHUNK = 256          # queries, and index rows, of one matrix product
 SLACK = 1e-6         # relative; bounds are floating-point numbers, scores are exact
+LONGEST = 2.0 ** 31  # two vectors shorter than this have 64-bit products
+WIDEST = 1.7976931348623157e308  # the largest double
+LOW, HIGH = -2 ** 63, 2 ** 63 - 1
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """(id, v): integer components floor(scale * x), x as double.
+    """(id, v): whole components floor(scale * x), x as double, kept as doubles (exact at any size).
 
     Left out: null ids, null vectors and vectors with a null or non-finite
-    component. Empty vectors stay and have all products 0.
+    component. Empty vectors stay and have all products 0. Where scale * x leaves
+    the doubles, the component is the largest double of its sign.
     """
     x = F.transform(F.col(vec_col), lambda e: e.cast("double"))
     finite = ~F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(float("inf"))))
+
+    def whole(e: Column) -> Column:  # doubles from 2^52 on have no fraction
+        y = F.greatest(F.lit(-WIDEST), F.least(F.lit(WIDEST), F.lit(float(scale)) * e))
+        return F.when(F.abs(y) < F.lit(2.0 ** 52), F.floor(y).cast("double")).otherwise(y)
+
     return (vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & finite)
-            .select(F.col(id_col).cast("long").alias("id"),
-                    F.transform(x, lambda e: F.floor(F.lit(float(scale)) * e).cast("long")).alias("v")))
+            .select(F.col(id_col).cast("long").alias("id"), F.transform(x, whole).alias("v")))
 
 
 def _matrix(lists: list, width: int) -> np.ndarray:
@@ -57,10 +67,23 @@ def _matrix(lists: list, width: int) -> np.ndarray:
 
 
 def products(q: np.ndarray, x: np.ndarray, exact_floats: bool) -> np.ndarray:
-    """Integer inner products; by floating-point where every partial sum is exact there."""
+    """Integer inner products of whole doubles; those beyond 64 bits become the nearest 64-bit number.
+
+    By floating-point where every partial sum is exact there, else in 64 bits;
+    rows of a length of ``LONGEST`` or more in integers of any size.
+    """
     if exact_floats:
         return (q @ x.T).astype(np.int64)
-    return q.astype(np.int64) @ x.T.astype(np.int64)
+    with np.errstate(over="ignore"):
+        long_q, long_x = (np.einsum("ij,ij->i", a, a) >= LONGEST ** 2 for a in (q, x))
+    out = np.zeros((len(q), len(x)), np.int64)
+    out[np.ix_(~long_q, ~long_x)] = q[~long_q].astype(np.int64) @ x[~long_x].T.astype(np.int64)
+    for rows, columns in ((long_q, np.ones(len(x), bool)), (~long_q, long_x)):
+        if rows.any() and columns.any():
+            left, right = (np.array([[int(e) for e in r] for r in a], object).reshape(len(a), -1)
+                           for a in (q[rows], x[columns]))
+            out[np.ix_(rows, columns)] = np.clip(left @ right.T, LOW, HIGH).astype(np.int64)
+    return out
 
 
 def _lift(x: np.ndarray, longest: float) -> np.ndarray:
@@ -77,7 +100,7 @@ def _distances(x: np.ndarray, lift: np.ndarray, pivots: np.ndarray, pivot_lift:
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best by (score descending, id ascending)."""
-    return np.lexsort((ids, -scores))[:k]
+    return np.lexsort((ids, ~scores))[:k]
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -88,61 +111,63 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
     those of the query's own id; rows that repeat an id are candidates of
     their own with equal ids, and a query that repeats counts once, by its
     smallest vector. Vectors of different lengths are compared over their
-    common components. Ties go to the smaller id. A query has fewer rows if
-    there are fewer candidates, none without any.
+    common components. Ties go to the smaller id. A product beyond 64 bits counts
+    as the nearest 64-bit number. A query has fewer rows if there are fewer
+    candidates, none without any.
     """
     spark = vectors.sparkSession
     importable(spark)
     rows = stored(quantised(vectors, id_col, vec_col, scale), "vectors")
-    norm = F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double"))
+    norm = F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e)
     about = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("longest")).first()
     width, longest = int(about["width"] or 0), float(about["longest"] or 0.0)
     exact = longest < 2.0 ** 52
     sample = rows.orderBy(F.xxhash64("id"), "id", "v").limit(n_pivots).collect()  # a bounded sample
     pivots = _matrix([r["v"] for r in sample], width)
     pivot_ids = np.array([r["id"] for r in sample], np.int64)
-    pivot_lift = _lift(pivots, longest)
-    index = _index(rows, pivots, pivot_lift, width, longest)
-
-    queries = stored(rows.filter(is_query).groupBy("id").agg(F.min("v").alias("v")), "queries")
-    blocks = max(1, -(-queries.count() * 5 // (QUERY_BLOCK * 4)))  # a fifth to spare for uneven hashing
-    found = None
-    for b in range(blocks):
-        block = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id").collect()
-        ids, q = np.array([r["id"] for r in block], np.int64), _matrix([r["v"] for r in block], width)
-        seed = _seed(ids, q, pivot_ids, pivots, exact, k)
-        shared = spark.sparkContext.broadcast((ids, q, seed, pivots, pivot_lift))
-        part = index.mapInArrow(_searcher(shared, width, longest, exact, k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionByName(part)
+    with np.errstate(over="ignore", invalid="ignore"):
+        pivot_lift = _lift(pivots, longest)
+    shared = spark.sparkContext.broadcast((pivot_ids, pivots, pivot_lift))
+    index = _index(rows, shared, width, longest)
+    parts = int(index.agg(F.max("part")).first()[0] or 0) + 1
+
+    queries = rows.filter(is_query).groupBy("id").agg(F.min("v").alias("v"))
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(True).alias("asks"), "id", "v",
+        F.lit(None).cast("int").alias("pivot"), F.lit(None).cast("double").alias("distance"))
+    dealt = (index.select("part", F.lit(False).alias("asks"), "id", "v", "pivot", "distance").unionByName(asked)
+             .repartition(parts, "part").sortWithinPartitions("part", "asks", "pivot", "distance", "id"))
+    found = dealt.mapInArrow(_searcher(shared, width, longest, exact, k, QUERY_BLOCK, CHUNK),
+                             "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _index(rows: DataFrame, pivots: np.ndarray, pivot_lift: np.ndarray, width: int, longest: float) -> DataFrame:
-    """Every row with its nearest pivot and distance, sorted by them within range partitions; stored."""
+def _index(rows: DataFrame, shared, width: int, longest: float) -> DataFrame:
+    """Every row with its nearest pivot, its distance and the part it is in, a range of these; stored."""
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((pivots, pivot_lift))
 
     def key(batches):
-        pivots, pivot_lift = shared.value
+        _, pivots, pivot_lift = shared.value
         for batch in batches:
             x = _matrix(batch.column("v").to_pylist(), width)
-            d = _distances(x, _lift(x, longest), pivots, pivot_lift)
+            with np.errstate(over="ignore", invalid="ignore"):
+                d = _distances(x, _lift(x, longest), pivots, pivot_lift)
             near = d.argmin(axis=1) if len(d) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("v"), pa.array(near.astype(np.int32)),
                  pa.array(d[np.arange(len(d)), near])], names=["id", "v", "pivot", "distance"])
 
-    keyed = rows.mapInArrow(key, "id long, v array<long>, pivot int, distance double")
+    keyed = rows.mapInArrow(key, "id long, v array<double>, pivot int, distance double")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return stored(keyed.repartitionByRange(parts, "pivot", "distance", "id")
-                  .sortWithinPartitions("pivot", "distance", "id"), "index")
+                  .withColumn("part", F.spark_partition_id()), "index")
 
 
 def _seed(ids, q, pivot_ids, pivots, exact, k) -> np.ndarray:
     """A lower bound on each query's k-th best score: the k-th best among the pivots."""
-    seed = np.full(len(ids), np.iinfo(np.int64).min)
+    seed = np.full(len(ids), LOW, np.int64)
     if len(pivot_ids) and len(ids):
         s = products(q, pivots, exact)
         for i in range(len(ids)):
@@ -152,59 +177,85 @@ def _seed(ids, q, pivot_ids, pivots, exact, k) -> np.ndarray:
     return seed
 
 
-def _searcher(shared, width: int, longest: float, exact: bool, k: int):
-    def run(batches):
-        ids, q, seed, pivots, pivot_lift = shared.value
-        if not len(ids):
-            return
+class _Part:
+    """One part of the index: its rows by (pivot, distance), cut into annuli of at most ``chunk`` rows."""
+
+    def __init__(self, pieces: list[tuple], chunk: int, width: int):
+        none = (np.zeros(0, np.int64), np.zeros((0, width)), np.zeros(0, np.int32), np.zeros(0))
+        self.ids, self.x, self.cell, self.distance = (np.concatenate(c) for c in zip(*(pieces or [none])))
+        edges = np.flatnonzero(np.diff(self.cell)) + 1
+        self.annuli = [(s, min(s + chunk, e)) for a, e in zip([0, *edges], [*edges, len(self.cell)])
+                       for s in range(a, e, chunk)]
+
+    def gaps(self, to_pivot: np.ndarray) -> np.ndarray:
+        """Each query's least distance to each annulus, as (annulus, query)."""
+        out = np.zeros((len(self.annuli), len(to_pivot)))
+        for n, (a, e) in enumerate(self.annuli):
+            own = to_pivot[:, self.cell[a]]
+            out[n] = np.maximum(np.maximum(own - self.distance[a:e].max(), self.distance[a:e].min() - own), 0.0)
+        return out
+
+
+def _searcher(shared, width: int, longest: float, exact: bool, k: int, block: int, chunk: int):
+    def answer(part: _Part, ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+        pivot_ids, pivots, pivot_lift = shared.value
         sizes = np.einsum("ij,ij->i", q, q)
-        to_pivot = _distances(q, np.zeros(len(q)), pivots, pivot_lift)
         best_s = [np.zeros(0, np.int64)] * len(ids)
         best_i = [np.zeros(0, np.int64)] * len(ids)
-        least = seed.copy()
-
-        def bound(i, d):  # the best score of queries i at distance d or more, with room for rounding
-            return (sizes[i] + longest - d * d) / 2 + SLACK * (sizes[i] + longest) + 1
-
-        for batch in batches:
-            vec_ids = batch.column("id").to_numpy()
-            x = _matrix(batch.column("v").to_pylist(), width)
-            cell = batch.column("pivot").to_numpy()
-            distance = batch.column("distance").to_numpy()
-            # Sorted annuli: runs of one pivot, at most CHUNK rows each.
-            edges = np.flatnonzero(np.diff(cell)) + 1
-            annuli = [(s, min(s + CHUNK, e)) for a, e in zip([0, *edges], [*edges, len(cell)])
-                      for s in range(a, e, CHUNK)]
-            gaps = []  # each query's least distance to each annulus
-            for a, e in annuli:
-                own = to_pivot[:, cell[a]]
-                gaps.append(np.maximum(np.maximum(own - distance[a:e].max(), distance[a:e].min() - own), 0.0))
-            gaps = np.array(gaps)
-            # From the annulus nearest to the query outwards, all queries a step at a time;
-            # a query stops at the first bound below its k-th best, as all later ones are lower.
-            order = np.argsort(gaps, axis=0, kind="stable")
-            active = np.arange(len(ids))
-            for step in range(len(annuli)):
-                if not len(active):
-                    break
-                gap = gaps[order[step, active], active]
-                active = active[bound(active, gap) >= least[active]]
-                mine = order[step, active]
-                for annulus in np.unique(mine).tolist():
-                    a, e = annuli[annulus]
-                    group = active[mine == annulus]
-                    scores = products(q[group], x[a:e], exact)
-                    for row, i in enumerate(group.tolist()):
-                        hit = np.flatnonzero((scores[row] >= least[i]) & (vec_ids[a:e] != ids[i]))
-                        if len(hit):
-                            s = np.concatenate([best_s[i], scores[row][hit]])
-                            v = np.concatenate([best_i[i], vec_ids[a:e][hit]])
-                            top = _best(s, v, k)
-                            best_s[i], best_i[i] = s[top], v[top]
-                            if len(top) == k:
-                                least[i] = max(least[i], s[top[-1]])
-        yield pa.RecordBatch.from_arrays(
+        least = _seed(ids, q, pivot_ids, pivots, exact, k)
+
+        def hopeless(i, d):  # the best score of queries i at distance d or more, with room for rounding, is too low
+            bound = (sizes[i] + longest - d * d) / 2 + SLACK * (sizes[i] + longest) + 1
+            return np.maximum(bound, float(LOW)) < least[i]  # false where lengths leave the doubles (NaN)
+
+        # From the annulus nearest to the query outwards, all queries a step at a time;
+        # a query stops at the first bound below its k-th best, as all later ones are lower.
+        gaps = part.gaps(_distances(q, np.zeros(len(q)), pivots, pivot_lift))
+        order = np.argsort(gaps, axis=0, kind="stable")
+        active = np.arange(len(ids))
+        for step in range(len(part.annuli)):
+            active = active[~hopeless(active, gaps[order[step, active], active])]
+            if not len(active):
+                break
+            mine = order[step, active]
+            for annulus in np.unique(mine).tolist():
+                a, e = part.annuli[annulus]
+                group = active[mine == annulus]
+                scores = products(q[group], part.x[a:e], exact)
+                for row, i in enumerate(group.tolist()):
+                    hit = np.flatnonzero((scores[row] >= least[i]) & (part.ids[a:e] != ids[i]))
+                    if len(hit):
+                        s = np.concatenate([best_s[i], scores[row][hit]])
+                        v = np.concatenate([best_i[i], part.ids[a:e][hit]])
+                        top = _best(s, v, k)
+                        best_s[i], best_i[i] = s[top], v[top]
+                        if len(top) == k:
+                            least[i] = max(least[i], s[top[-1]])
+        return pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(ids, [len(s) for s in best_s])), pa.array(np.concatenate(best_i)),
              pa.array(np.concatenate(best_s))], names=["query_id", "vec_id", "score"])
 
+    def run(batches):
+        number, pieces, part = None, [], None  # the part at hand; complete at its first query
+        for batch in batches:
+            numbers = batch.column("part").to_numpy()
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(np.diff(numbers) | np.diff(asks)) + 1
+            for a, e in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if a == e:
+                    continue
+                if numbers[a] != number:
+                    number, pieces, part = numbers[a], [], None
+                for s in range(a, e, block):
+                    rows = batch.slice(s, min(block, e - s))
+                    ids = rows.column("id").to_numpy()
+                    x = _matrix(rows.column("v").to_pylist(), width)
+                    if not asks[a]:
+                        pieces.append((ids, x, rows.column("pivot").to_numpy(), rows.column("distance").to_numpy()))
+                        continue
+                    if part is None:
+                        part, pieces = _Part(pieces, chunk, width), []
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        yield answer(part, ids, x)
+
     return run

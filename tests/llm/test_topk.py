@@ -67,3 +67,24 @@ def test_fewer_candidates_than_asked_and_empty_table(spark):
     assert got(spark, rows) == plain(rows, 10, 20) and len(got(spark, rows)) == 2
     assert got(spark, rows[:1]) == []
     assert got(spark, []) == []
+
+
+def test_components_of_any_size(spark):
+    """Products beyond floating-point and 64 bits: exact, or the nearest 64-bit number."""
+    big = [2.0 ** 60, -2.0 ** 60, 3e38, -3e38, 2.0 ** 45, 2.0 ** 30, 2.0 ** 21, 1e-30]
+    rows = cloud(60, 11, 3) + [(100 + i, [b, 1.0, -2.0]) for i, b in enumerate(big)]
+    rows += [(200 + 20 * i, [b, -b, 3.0]) for i, b in enumerate(big)] + [(400, [2.0 ** 60] * 3), (420, [0.0] * 3)]
+    held = [(q, i, max(-2 ** 63, min(2 ** 63 - 1, s))) for q, _, i, s in plain(rows, len(rows), 20)]
+    wanted = []
+    for query in {q for q, _, _ in held}:
+        best = sorted((-s, i) for q, i, s in held if q == query)[:10]
+        wanted += [(query, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    assert got(spark, rows) == sorted(wanted)
+
+
+def test_doubles_whose_lengths_leave_the_doubles(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1.0, 2.0]), (2, [-1e300, 0.0]), (3, [1.7e308, -1e-3]), (20, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = K.search(df, F.pmod(F.col("id"), F.lit(20)) == 0, k=2).collect()
+    high = 2 ** 63 - 1
+    assert sorted(tuple(r) for r in found) == [(0, 1, 1, high), (0, 2, 3, high), (20, 1, 0, high), (20, 2, 3, high)]
