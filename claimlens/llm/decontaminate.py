@@ -196,14 +196,15 @@ class Index:
         return np.unique(terms[on])
 
 
-def shards(bench: DataFrame, least: float = OVERLAP):
+def shards(bench: DataFrame, least: float = OVERLAP, unnamed: bool = False):
     """Indexes over at most ``SHARD`` items each, by one and the same statistics of all items.
 
     Only one shard's items are on the driver at a time. Rows that repeat are
-    one item; items without words match nothing and are left out.
+    one item; items without words match nothing and are left out, and those
+    without an id too, unless ``unnamed``.
     """
     items = (bench.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-             .filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct())
+             .filter((F.lit(unnamed) | F.col("item_id").isNotNull()) & F.col("text").isNotNull()).distinct())
 
     def tokens(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [(len(w), sorted(set(w))) for w in ([*q, *a] for q, a in map(split_item, texts(batch)))]
@@ -218,7 +219,8 @@ def shards(bench: DataFrame, least: float = OVERLAP):
     for k in range(count):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         own = part.select(F.explode("terms").alias("term")).distinct().join(df, "term")
-        rows = sorted((r["item_id"], r["text"]) for r in part.select("item_id", "text").collect())
+        rows = sorted(((r["item_id"], r["text"]) for r in part.select("item_id", "text").collect()),
+                      key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         yield Index(rows, {r["term"]: r["df"] for r in own.collect()}, int(stats["n"]), float(stats["mean"] or 0), least)
 
 
@@ -226,7 +228,8 @@ def contaminated(docs: DataFrame, bench: DataFrame, least: float = OVERLAP) -> D
     """Verified matches: doc_id, item_id, bm25 (normalised), question_overlap, answer_overlap, place.
 
     ``place`` is the word at which the first of the item's shingles starts. A null text is empty
-    and matches nothing, as does an item without words; repeated rows match
+    and matches nothing, as does an item without words; an item without an id cannot be
+    named and has no matches here (``drop_contaminated`` knows it); repeated rows match
     alike; an empty table on either side gives no rows.
     """
     schema = "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, place long"
@@ -269,10 +272,10 @@ def _matcher(shared, least: float):
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
+    """The rows of ``docs`` whose text holds no benchmark item, with or without an id, with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    for index in shards(bench):
+    for index in shards(bench, unnamed=True):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         match = _matcher(shared, OVERLAP)
 

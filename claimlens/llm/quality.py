@@ -83,13 +83,15 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` labelled training texts: t_id, y, text; of several texts of one id the smallest."""
     known = (labels.select(F.col("doc_id").cast("long").alias("t_id"), F.col(label).cast("int").alias("y"))
              .filter(F.col("t_id").isNotNull() & F.col("y").isin(0, 1))
              .filter(fold(F.col("t_id"), FOLDS) != HELD_OUT)
              .groupBy("t_id").agg(F.max("y").alias("y"))
              .orderBy(F.xxhash64("t_id"), "t_id").limit(most))
     picked = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.col("text").cast("string").alias("text"))
-    return picked.join(F.broadcast(known), "t_id").dropDuplicates(["t_id"])  # at most ``most`` ids
+    return (picked.join(F.broadcast(known), "t_id")  # at most ``most`` ids
+            .groupBy("t_id", "y").agg(F.min("text").alias("text")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_LABELLED):

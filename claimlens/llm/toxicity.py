@@ -67,13 +67,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
           per_class: int = MAX_PER_CLASS) -> tuple[dict[str, float], float]:
     """Weights by n-gram and the bias. Without labels of both classes: none, and the prior.
 
+    Of several texts of one id the smallest is learnt from.
     The driver gets the chosen n-grams (at most MAX_FEATURES) and the training
     documents' counts of these; all n-grams are counted in Spark.
     """
     # At most 2 * per_class ids: a proven bound for the broadcast.
     ids = F.broadcast(training_ids(docs, labels, label, per_class))
     picked = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.col("text").cast("string").alias("text"))
-    picked = stored(picked.join(ids, "t_id").dropDuplicates(["t_id"]).select("t_label", "text"), "training")
+    picked = stored(picked.join(ids, "t_id").groupBy("t_id", "t_label").agg(F.min("text").alias("text"))
+                    .select("t_label", "text"), "training")
     sizes = dict(picked.groupBy("t_label").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         return {}, (4.0 if sizes.get(1) else -4.0)

@@ -88,3 +88,14 @@ def test_vote_is_the_weighted_share_of_the_nearest():
         best = sorted(range(60), key=lambda j: (-row[j], j))[:Q.K]
         weight = [row[j] ** Q.POWER for j in best]
         assert g == pytest.approx(sum(w * y[j] for w, j in zip(weight, best)) / sum(weight))
+
+
+@pytest.mark.parametrize("run", [T.score_toxicity, Q.score_quality])
+def test_of_several_texts_of_one_id_the_smallest_is_learnt_from(spark, run):
+    rows, labels, _ = labelled(spark, 200)
+    again = [(i, t) for i, t in rows if i % 2] + [(i, "zz " + prose(900 + i)) for i, _ in rows] + [(1, None)]
+    score = lambda found: {r["doc_id"]: r["score"] for r in run(found, labels).filter("doc_id % 2 = 0").collect()}
+    one = [(i, t) for i, t in rows if i % 2] + [(i, "zz " + prose(900 + i)) for i, _ in rows if i % 2 == 0]
+    wanted = score(docs(spark, one))
+    for order in (again, again[::-1]):
+        assert score(docs(spark, order).repartition(3)) == pytest.approx(wanted, abs=1e-5)

@@ -136,3 +136,12 @@ def test_an_item_needs_no_more_than_any_choice_of_its_shingles_leaves():
                 kept = rng.sample(grams, n) if rng.random() < 0.5 else (grams[:drop] + grams[drop + len(grams) - n:])[:n]
                 left |= {t for g in kept for t in g}
             assert need <= sum(impact[t] for t in left) + 1e-9
+
+
+def test_items_without_an_id_are_known_but_not_named(spark):
+    rng = random.Random(21)
+    leaked, named, clean = (sentence(rng, 20) for _ in range(3))
+    table = docs(spark, [(1, f"{prose(1)} {leaked} {prose(2)}"), (2, f"{prose(3)} {named}"), (3, f"{prose(4)} {clean}")])
+    items = bench(spark, [(None, leaked), (None, None), (7, named), (None, named), (None, "")])
+    assert [(r["doc_id"], r["item_id"]) for r in D.contaminated(table, items).collect()] == [(2, 7)]
+    assert [r["doc_id"] for r in D.drop_contaminated(table, items).collect()] == [3]
