@@ -99,3 +99,61 @@ def test_of_several_texts_of_one_id_the_smallest_is_learnt_from(spark, run):
     wanted = score(docs(spark, one))
     for order in (again, again[::-1]):
         assert score(docs(spark, order).repartition(3)) == pytest.approx(wanted, abs=1e-5)
+
+
+def plain_toxicity(rows, labels):
+    """Scores of the whole query: counts in dictionaries, and the regression's optimum by plain gradient steps."""
+    import numpy as np
+    train = [(y, T.words_of(t or "")) for i, t in rows for y in [labels.get(i)]
+             if y is not None and zlib.crc32(str(i).encode()) % 5]
+    counts = [{}, {}]
+    for y, ws in train:
+        for w in ws:
+            for g in T.grams(w):
+                counts[y][g] = counts[y].get(g, 0) + 1
+    every = sorted(counts[0].keys() | counts[1].keys())
+    c = np.array([[k.get(g, 0) for g in every] for k in counts], float) + T.ALPHA
+    ratio = np.log(c[1] / c[0]) - np.log(c[1].sum() / c[0].sum())
+    kept = np.flatnonzero((c.sum(axis=0) - 2 * T.ALPHA >= T.MIN_COUNT) & (ratio > 0))
+    at = {every[i]: n for n, i in enumerate(kept)}
+
+    def vector(ws):
+        x = np.zeros(len(at))
+        for w in ws:
+            for g in T.grams(w):
+                if g in at:
+                    x[at[g]] += ratio[kept[at[g]]]
+        return x
+
+    x, y = np.array([vector(ws) for _, ws in train]), np.array([y for y, _ in train], float)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    # Newton steps in the space of the documents: the optimum is a combination of their vectors.
+    gram, a, b = x @ x.T, np.zeros(len(y)), 0.0
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(gram @ a + b)))
+        h = weight * p * (1 - p)
+        left = np.block([[h[:, None] * gram + 1e-4 * np.eye(len(y)), h[:, None]], [(h @ gram)[None], np.array([[h.sum()]])]])
+        right = np.append(-(weight * (p - y) + 1e-4 * a), -(weight @ (p - y)))
+        step = np.linalg.lstsq(left, right, rcond=None)[0]
+        scale = min(1.0, 2.0 / max(1e-12, np.abs(gram @ step[:-1] + step[-1]).max()))
+        a, b = a + scale * step[:-1], b + scale * step[-1]
+    w = x.T @ a
+    return {i: 1 / (1 + np.exp(-(vector(T.words_of(t or "")) @ w + b))) for i, t in rows}
+
+
+def test_toxicity_matches_a_plain_version_of_the_whole_query(spark):
+    rows, labels, truth = labelled(spark, 240)
+    rows += [(1000, None), (1001, ""), (1002, "grobnak"), (1003, "fnargleen fnargle")]
+    known = {i: t for i, (_, t) in truth.items()} | {3: int(truth[3][1])}
+    got = {r["doc_id"]: r["score"] for r in T.score_toxicity(docs(spark, rows).repartition(4), labels).collect()}
+    expected = plain_toxicity(rows, known)
+    assert got.keys() == expected.keys()
+    assert max(abs(got[i] - expected[i]) for i in got) < 0.01
+    assert got[1000] == got[1001] < min(got[1002], got[1003])
+
+
+def test_a_word_of_a_million_characters_and_rare_insults(spark):
+    weights = {" zw": 2.0, "zwi": 1.0}
+    rows = [(1, "zwi" * 400_000), (2, "zwiltor")]
+    got = {r["doc_id"]: r["score"] for r in T.score(docs(spark, rows), weights, -1.0).collect()}
+    assert got[1] == got[2] == pytest.approx(1 / (1 + 2.718281828459045 ** -2.0))
