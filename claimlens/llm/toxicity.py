@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import WORD, fold, map_arrow, stored, texts
+from claimlens.llm.common import WORD, fold, map_arrow, runs, stored, texts
 
 LENGTHS = (2, 3, 4, 5, 6)
 MAX_PER_CLASS = 3000
@@ -39,6 +39,7 @@ MIN_COUNT = 3
 ALPHA = 1.0          # smoothing of the counts
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
+AT_ONCE = 1 << 19    # features that a step of the training expands at a time
 COUNTED = 128        # texts whose n-grams a worker counts at a time
 CACHE_WORDS = 150_000
 LONGEST_CACHED = 60  # characters
@@ -133,22 +134,41 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     # One order, whatever partition a document came from, so that sums repeat to the last bit.
     rows = rows.toPandas().sort_values("key", kind="stable")
     shared.destroy()
-    which, value = (np.frombuffer(b"".join(bytes(x) for x in rows[c]), "<i4") for c in ("which", "value"))
-    place = np.repeat(np.arange(len(rows)), [len(a) // 4 for a in rows["which"]])
-    w, bias = _logistic(place, which, value * ratios[which], rows["y"].to_numpy(float), len(ratios))
+    sizes, y = np.array([len(a) // 4 for a in rows["which"]], np.int64), rows["y"].to_numpy(float)
+    which, value = (np.frombuffer(b"".join(rows.pop(c)), "<i4") for c in ("which", "value"))
+    w, bias = _logistic(sizes, which, value, ratios, y)
     return {g: float(w[i] * ratios[i]) for g, i in number.items() if w[i]}, bias
 
 
-def _logistic(rows, cols, values, y, m, steps: int = 200, penalty: float = 1e-4, memory: int = 10):
-    """Logistic regression with an L2 penalty by limited-memory quasi-Newton steps, classes weighed alike."""
-    n = len(y)
+def _logistic(sizes, cols, values, scale, y, steps: int = 200, penalty: float = 1e-4, memory: int = 10):
+    """Logistic regression with an L2 penalty by limited-memory quasi-Newton steps, classes weighed alike.
+
+    ``cols`` and ``values`` hold the features of all documents one after the other, ``sizes``
+    of each; a feature's values are scaled by ``scale``. ``AT_ONCE`` of them are expanded at a time.
+    """
+    n, m = len(y), len(scale)
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    parts = [(a, b, slice(edges[a], edges[b])) for a, b in runs(sizes, AT_ONCE)]
+
+    def forward(w):
+        out = np.zeros(n)
+        for a, b, s in parts:
+            out[a:b] = np.bincount(np.repeat(np.arange(b - a), sizes[a:b]), values[s] * w[cols[s]], b - a)
+        return out
+
+    def back(err):
+        out = np.zeros(m)
+        for a, b, s in parts:
+            out += np.bincount(cols[s], values[s] * np.repeat(err[a:b], sizes[a:b]), m)
+        return out
+
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     sign = 2 * y - 1
 
     def cost(x):
-        margin = sign * (np.bincount(rows, values * x[cols], n) + x[m])
+        margin = sign * (forward(scale * x[:m]) + x[m])
         err = -weight * sign / (1 + np.exp(np.clip(margin, -500, 500)))
-        slope = np.append(np.bincount(cols, values * err[rows], m) + penalty * x[:m], err.sum())
+        slope = np.append(scale * back(err) + penalty * x[:m], err.sum())
         return weight @ np.logaddexp(0, -margin) + penalty / 2 * (x[:m] @ x[:m]), slope
 
     x = np.zeros(m + 1)
