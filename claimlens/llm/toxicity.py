@@ -43,6 +43,7 @@ AT_ONCE = 1 << 19    # features that a step of the training expands at a time
 COUNTED = 128        # texts whose n-grams a worker counts at a time
 CACHE_WORDS = 150_000
 LONGEST_CACHED = 60  # characters
+UNIT = 1 << 40       # weights are scored as whole multiples of its inverse
 
 
 def _grams(word: str) -> Iterator[str]:
@@ -202,26 +203,27 @@ def _logistic(sizes, cols, values, scale, y, steps: int = 200, penalty: float =
 
 def _scored(rows: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
     """``rows`` with a column ``score`` behind the others; reads its column ``text``."""
-    model = rows.sparkSession.sparkContext.broadcast((weights, bias))  # at most MAX_FEATURES n-grams
-    known: dict[str, float] = {}
-
-    def word_weight(w: str) -> float:
-        table = model.value[0]
-        s = sum(table[g] for g in sorted({g for g in _grams(w) if g in table}))
-        if len(w) <= LONGEST_CACHED:
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-            known[w] = s
-        return s
+    # At most MAX_FEATURES n-grams. Whole multiples of 1 / UNIT add up alike in any order.
+    model = rows.sparkSession.sparkContext.broadcast({g: round(w * UNIT) for g, w in weights.items()})
+    start = round(bias * UNIT)
+
+    class Shares(dict):
+        """Weights of words, computed when first asked for."""
+
+        def __missing__(self, word: str) -> int:
+            table, w = model.value, f" {word} "
+            held = {g for n in LENGTHS for i in range(len(w) - n + 1) if (g := w[i:i + n]) in table}
+            share = sum(map(table.__getitem__, held))
+            if len(word) <= LONGEST_CACHED:
+                if len(self) >= CACHE_WORDS:
+                    self.clear()
+                self[word] = share
+            return share
+
+    shares = Shares()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = np.empty(batch.num_rows)
-        for i, t in enumerate(texts(batch)):
-            total = model.value[1]
-            for w in sorted(words_of(t)):
-                s = known.get(w)
-                total += word_weight(w) if s is None else s
-            out[i] = total
+        out = np.array([sum(map(shares.__getitem__, words_of(t)), start) / UNIT for t in texts(batch)], float)
         p = 1 / (1 + np.exp(-np.clip(out, -500, 500)))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "score"])
 
