@@ -15,7 +15,9 @@ in the same order, which makes the sketch sensitive to edit similarity.
    several classes, they are sorted some other ways and paired across the
    classes; then the members of buckets that are open even so are paired by
    their rarest k-mers: all of those that few hold, and a number linear in the
-   holders of the others, see ``_across``.
+   holders of the others, see ``_across``. What classes are left among the holders
+   of a k-mer is then compared in whole, see ``_rest``: no pair that shares a
+   sample is left out.
 3. A candidate pair is verified by aligning the k-mer sequences: common k-mers
    within the band, as a longest increasing chain, must be ``SIMILARITY`` of
    all. The band loses nothing, see ``aligned_similarity``.
@@ -44,14 +46,17 @@ K = 5
 SIMILARITY = 0.8
 SAMPLES = 16
 TAKE = 2
-LEAST_AGREEING = 3  # of the samples; a pair of similarity 0.8 shares fewer once in some 30,000
+LEAST_AGREEING = 3  # of the samples, for pairs tried early; a pair of similarity 0.8 shares fewer once in some 30,000
 TURNS = 1           # further orders of a bucket that are tried, and
 REACH = 2           # how far apart members of an open bucket are paired; _across finds what these leave
 RANKS = 1 << 22     # slots of the k-mers' frequencies, whatever the data (8 MB)
 FEW = 32            # holders of a k-mer that are all paired with each other, and
 CENTRES = 6         # of the holders of others that all of them meet, and
 ROUNDS = 4          # of pairing across classes, with other centres and orders; a fifth finds next to nothing
-NEXT = 12           # how far apart those of others are paired, in each order
+NEXT = 12           # how far apart those of others are paired, in each order; _rest finds what these leave
+BLOCK = 2048        # holders of a k-mer that meet as many others at a time, and
+CELLS_AT_ONCE = 1 << 17  # pairs of them that are looked at in one step
+PARITY = 1024       # bits of a text's parity signature
 CELLS = 1 << 17     # k-mers times samples that are hashed at once
 CACHE_WORDS = 150_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -215,9 +220,9 @@ def _neighbours(members: DataFrame, turn: int, least: float, reach: int, with_cl
     similar members come together, and then at random. The rows are
     range-partitioned by bucket and order, so a bucket of any size is spread
     over tasks (a pair across two tasks is left to the other samples and
-    turns, and to ``_across``). With classes, only near pairs of different ones. ``near``: the two may
-    be similar enough, by their lengths and the bytes of their samples, of
-    which there are at least as many equal ones as of the samples.
+    turns, and to ``_across``). With classes, only near pairs of different ones whose
+    bytes of the samples agree LEAST_AGREEING times at least (of equal samples there are no more;
+    ``_across`` and ``_rest`` find the others). ``near``: the lengths allow the similarity.
     """
     def other(k):  # samples that this one's buckets are sorted by, in this turn
         return F.element_at("sketch", (F.col("sample") + F.lit(k * (1 + turn))) % F.lit(SAMPLES) + 1)
@@ -246,13 +251,12 @@ def _neighbours(members: DataFrame, turn: int, least: float, reach: int, with_cl
                 if with_class:  # where the buckets are known to be open, only pairs that may be similar
                     low, high = np.minimum(mers[at], mers[at + d]), np.maximum(mers[at], mers[at + d])
                     at = at[(low >= least * high) & ((sign[at] == sign[at + d]).sum(axis=1) >= LEAST_AGREEING)]
-                agree = (sign[at] == sign[at + d]).sum(axis=1) >= LEAST_AGREEING
                 low, high = np.minimum(mers[at], mers[at + d]), np.maximum(mers[at], mers[at + d])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([min(key[i], key[i + d]) for i in at], pa.binary()),
                      pa.array([max(key[i], key[i + d]) for i in at], pa.binary()),
                      pa.array(sample[at].astype(np.int32)), pa.array(value[at].astype(np.int64)),
-                     pa.array(agree & (low >= least * high))], names=["a", "b", "sample", "value", "near"])
+                     pa.array(low >= least * high)], names=["a", "b", "sample", "value", "near"])
 
     importable(members.sparkSession)
     order = ["sample", "value", "next", "then", "last"]
@@ -481,6 +485,81 @@ def _across(holders: DataFrame, roots: DataFrame, turn: int, least: float) -> tu
     return near.unionByName(star).distinct(), held.drop("class", "n")
 
 
+def _parities(words: DataFrame) -> DataFrame:
+    """key and parity: for each of PARITY hash slots, whether an odd number of the text's k-mers are in it."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for text in batch.column("words").to_pylist():
+            slots = (kmers(np.frombuffer(text, np.uint32)) >> np.uint64(30)).astype(np.int64) % PARITY
+            out.append(np.packbits(np.bincount(slots, minlength=PARITY) & 1).tobytes())
+        return pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "parity"])
+
+    return map_arrow(words.select("key", "words"), run, "key binary, parity binary", 256)
+
+
+def _rest(holders: DataFrame, words: DataFrame, roots: DataFrame, least: float) -> DataFrame | None:
+    """All pairs (a, b) that may be similar of the classes left among the holders of k-mers of more than FEW.
+
+    The holders outside a k-mer's largest class meet all its holders, in blocks of
+    BLOCK by BLOCK that are dealt to tasks, so a task's memory is bounded and
+    the work on one k-mer is spread; where one class holds nearly all, that is
+    linear. A pair is tested by the first k-mer in the order of rarity that it has in common
+    (before that it has none, which bounds what it has), and by parities: each k-mer that only one of
+    the texts has changes one bit, so the bits that differ are no more than such k-mers, of
+    which there are at most (1 - s) / (1 + s) * (m + n). Neither drops a similar pair.
+    """
+    rows = holders.join(roots, "key", "left").withColumn("class", F.xxhash64(F.coalesce("root", "key")))
+    sizes = rows.groupBy("mer", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("mer").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"))
+    sizes = sizes.filter((F.col("n") > FEW) & (F.col("n") > F.col("main.n"))).select(
+        "mer", F.col("main.class").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("blocks"))
+    left = stored(rows.join(sizes, "mer").select(
+        "mer", "key", "class", "m", "at", "small", (F.col("class") != F.col("main")).alias("out"), "chunks", "blocks"), "left")
+    total = left.agg(F.sum(F.col("blocks") + F.when(F.col("out"), F.col("chunks")).otherwise(0))).first()[0]
+    if not total:
+        return None
+    signed = left.join(_parities(words.join(left.select("key").distinct(), "key", "left_semi")), "key")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n)).cast("int")
+    place = lambda block, chunk, outer: F.struct(block.alias("block"), chunk.alias("chunk"), F.lit(outer).alias("outer"))
+    inner = F.transform(upto("blocks"), lambda b: place(b, own("chunks", 0), False))
+    outer = F.when(F.col("out"), F.transform(upto("chunks"), lambda c: place(own("blocks", 1), c, True)))
+    empty = F.array().cast("array<struct<block:int,chunk:int,outer:boolean>>")
+    placed = signed.select("mer", "key", "class", "m", "at", "small", "out", "parity",
+                           F.inline(F.concat(inner, F.coalesce(outer, empty))))
+    parts = max(int(holders.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // (8 * BLOCK))
+
+    def run(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["mer", "block", "chunk", "outer"], kind="stable")
+        key, kind, m, at, small, out, outer = (frame[c].to_numpy() for c in ("key", "class", "m", "at", "small", "out", "outer"))
+        parity = np.frombuffer(b"".join(frame["parity"]), np.uint64).reshape(len(frame), -1)
+        cell = frame[["mer", "block", "chunk"]].to_numpy()
+        edges = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]).any(axis=1), [True])))
+        found = set()
+        for start, end in zip(edges[:-1], edges[1:]):
+            middle = start + int((~outer[start:end]).sum())
+            y = np.arange(start, middle)[None, :]
+            step = max(1, CELLS_AT_ONCE // max(1, middle - start))
+            for a in range(middle, end, step):
+                x = np.arange(a, min(end, a + step))[:, None]
+                both = m[x] + m[y]
+                low = np.minimum(m[x], m[y])
+                hit = ((kind[x] != kind[y]) & (low >= least * (both - low) - 1e-9)
+                       & (np.minimum(m[x] - at[x], m[y] - at[y]) >= least / (1 + least) * both - 1e-6)
+                       & ((small[x] & (m[x] == low)) | (small[y] & (m[y] == low))))
+                i, j = np.nonzero(hit)
+                i, j = i + a, j + start
+                differ = np.bitwise_count(parity[i] ^ parity[j]).sum(axis=1, dtype=np.int64)
+                near = differ <= (1 - least) / (1 + least) * (m[i] + m[j]) + 1e-6
+                for p, q in zip(i[near], j[near]):
+                    found.add((min(key[p], key[q]), max(key[p], key[q])))
+        return pd.DataFrame({"a": [x for x, _ in found], "b": [x for _, x in found]})
+
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("mer", "block", "chunk"), F.lit(parts)))
+    return map_groups(dealt, ["part"], run, "a binary, b binary").distinct()
+
+
 def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, raw, key) of all documents, and the class of each text.
 
@@ -533,6 +612,9 @@ def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     for turn in range(ROUNDS):
         found_pairs, holders = _across(holders, roots, turn, least)
         linked(found_pairs)
+    rest = _rest(holders, words, roots, least)
+    if rest is not None:
+        linked(rest)
     classes = (reps.select("key", "least_id", "copies").join(roots, "key", "left")
                .withColumn("root", F.coalesce("root", "key")))
     return found.select("doc_id", "raw", "key"), classes

@@ -172,3 +172,28 @@ def test_orders_of_a_bucket_decide_nothing(spark, monkeypatch):
     monkeypatch.setattr(N, "_neighbours", lambda *a: neighbours(*a).filter("false"))
     rows = corpus()
     assert classes(N.near_duplicates(docs(spark, rows))) == sorted(plain_classes(rows))
+
+
+def test_no_link_in_a_large_group_is_left_to_chance(spark, monkeypatch):
+    # With hardly a centre or neighbour, and blocks of a few texts, all links of one template's texts are found.
+    for name, value in (("CENTRES", 0), ("NEXT", 0), ("ROUNDS", 1), ("BLOCK", 64), ("REACH", 0), ("FEW", 4)):
+        monkeypatch.setattr(N, name, value, raising=False)
+    rng = random.Random(5)
+    template = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(200)]
+    rows = []
+    for doc in range(300):
+        w = template[:]
+        # Every tenth differs from the one before in the same four places, and shares only the template with it.
+        places = places if doc % 10 == 9 else rng.sample(range(6, 194, 6), 4)
+        for at in places:
+            w[at] = f"own{doc}x{at}"
+        rows.append((doc, " ".join(w)))
+    seen = [set(zip(w, w[1:], w[2:], w[3:], w[4:])) for w in (words(t) for _, t in rows)]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(seen[i] & seen[j]) >= N.SIMILARITY * len(seen[i] | seen[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs(spark, rows)).collect()}
+    assert 30 < len(set(root)) < 290 and [got[i] for i, _ in rows] == root
