@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import WORD, fold, map_arrow, runs, stored, texts
+from claimlens.llm.common import WORD, fold, let_go, map_arrow, runs, stored, texts
 
 LENGTHS = (2, 3, 4, 5, 6)
 MAX_PER_CLASS = 3000
@@ -75,11 +75,19 @@ def training_ids(docs: DataFrame, labels: DataFrame, label: str, per_class: int)
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
           per_class: int = MAX_PER_CLASS) -> tuple[dict[str, float], float]:
-    """Weights by n-gram and the bias. Without labels of both classes: none, and the prior.
+    """Weights by n-gram and the bias, see ``_fit``."""
+    grams_, weights, bias = _fit(docs, labels, label, per_class)
+    return {g: w for g, w in zip(grams_.to_pylist(), weights.tolist()) if w}, bias
+
+
+def _fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
+         per_class: int = MAX_PER_CLASS) -> tuple[pa.Array, np.ndarray, float]:
+    """N-grams, their weights and the bias. Without labels of both classes: none, and the prior.
 
     Of several texts of one id the smallest is learnt from.
     The driver gets the features (at most MAX_FEATURES) and the training
-    documents' counts of these, packed; all n-grams are counted in Spark.
+    documents' counts of these, packed, as Arrow columns without a Python object for each; all n-grams
+    are counted in Spark.
     """
     # At most 2 * per_class ids: a proven bound for the broadcast.
     ids = F.broadcast(training_ids(docs, labels, label, per_class))
@@ -88,7 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
                     .select("t_label", "text"), "training")
     sizes = dict(picked.groupBy("t_label").count().collect())
     if not sizes.get(0) or not sizes.get(1):
-        return {}, (4.0 if sizes.get(1) else -4.0)
+        return *_packed({}), (4.0 if sizes.get(1) else -4.0)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = (Counter(), Counter())
@@ -105,20 +113,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     # Shares of all n-grams of the class, so that a class of longer texts is not favoured.
     of = counted.agg(F.sum("c0").alias("m0"), F.sum("c1").alias("m1"), F.count(F.lit(1)).alias("n")).first()
     if not of["n"]:
-        return {}, 0.0
+        return *_packed({}), 0.0
     mass = math.log((of["m1"] + ALPHA * of["n"]) / (of["m0"] + ALPHA * of["n"]))
     c1, c0 = F.col("c1") + F.lit(ALPHA), F.col("c0") + F.lit(ALPHA)
     chosen = (counted.filter(F.col("c0") + F.col("c1") >= MIN_COUNT)
               .withColumn("ratio", F.log(c1 / c0) - F.lit(mass)).filter(F.col("ratio") > 0)
               .withColumn("z", F.col("ratio") / F.sqrt(1 / c1 + 1 / c0))
-              .orderBy(F.col("z").desc(), "gram").limit(MAX_FEATURES).select("gram", "ratio").toPandas())
-    ratios = chosen["ratio"].to_numpy(float)
-    number = {g: i for i, g in enumerate(chosen["gram"])}
-    shared = docs.sparkSession.sparkContext.broadcast(number)  # at most MAX_FEATURES n-grams
+              .orderBy(F.col("z").desc(), "gram").limit(MAX_FEATURES).select("gram", "ratio").toArrow())
+    ratios = chosen["ratio"].to_numpy().astype(float)
+    every = pa.concat_arrays(chosen["gram"].cast(pa.string()).chunks or [pa.array([], pa.string())])
+    del chosen
+    shared = docs.sparkSession.sparkContext.broadcast(every)  # at most MAX_FEATURES n-grams
+    number: dict[str, int] = {}  # of a task
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         which, value, keys = [], [], []
-        get = shared.value.get
+        if not number:
+            number.update((g, i) for i, g in enumerate(shared.value.to_pylist()))
+        get = number.get
         for y, t in zip(batch.column("t_label").to_pylist(), texts(batch)):
             seen = Counter()
             for w in words_of(t):
@@ -133,12 +145,31 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
 
     rows = stored(map_arrow(picked, features, "y int, which binary, value binary, key binary"), "features")
     # One order, whatever partition a document came from, so that sums repeat to the last bit.
-    rows = rows.toPandas().sort_values("key", kind="stable")
+    rows = rows.toArrow()
+    order = np.argsort(np.array(rows.column("key").to_pylist(), object), kind="stable")
+    rows = rows.drop_columns(["key"]).take(pa.array(order))
     shared.destroy()
-    sizes, y = np.array([len(a) // 4 for a in rows["which"]], np.int64), rows["y"].to_numpy(float)
-    which, value = (np.frombuffer(b"".join(rows.pop(c)), "<i4") for c in ("which", "value"))
+    y = rows["y"].to_numpy().astype(float)
+    which, sizes = _numbers(rows["which"])
+    value, _ = _numbers(rows["value"])
+    del rows
     w, bias = _logistic(sizes, which, value, ratios, y)
-    return {g: float(w[i] * ratios[i]) for g, i in number.items() if w[i]}, bias
+    del which, value
+    let_go(__name__)
+    return every, w * ratios, bias
+
+
+def _numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All 32-bit numbers of a column of packed ones, and how many each row has; not copied where the column is one chunk."""
+    whole = pa.concat_arrays([c.cast(pa.binary()) for c in column.chunks])
+    ends = np.frombuffer(whole.buffers()[1], "<i4", len(whole) + 1, 4 * whole.offset)
+    data = whole.buffers()[2]
+    numbers = np.frombuffer(data, "<i4", (ends[-1] - ends[0]) // 4, ends[0]) if ends[-1] > ends[0] else np.zeros(0, "<i4")
+    return numbers, np.diff(ends).astype(np.int64) // 4
+
+
+def _packed(weights: dict[str, float]) -> tuple[pa.Array, np.ndarray]:
+    return pa.array(list(weights), pa.string()), np.array(list(weights.values()), float)
 
 
 def _logistic(sizes, cols, values, scale, y, steps: int = 200, penalty: float = 1e-4, memory: int = 10):
@@ -201,17 +232,21 @@ def _logistic(sizes, cols, values, scale, y, steps: int = 200, penalty: float =
     return x[:m], float(x[m])
 
 
-def _scored(rows: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
+def _scored(rows: DataFrame, every: pa.Array, weights: np.ndarray, bias: float) -> DataFrame:
     """``rows`` with a column ``score`` behind the others; reads its column ``text``."""
     # At most MAX_FEATURES n-grams. Whole multiples of 1 / UNIT add up alike in any order.
-    model = rows.sparkSession.sparkContext.broadcast({g: round(w * UNIT) for g, w in weights.items()})
+    on = np.flatnonzero(weights)
+    model = rows.sparkSession.sparkContext.broadcast((every.take(pa.array(on)), np.rint(weights[on] * UNIT).astype(np.int64)))
+    table: dict[str, int] = {}  # of a task
     start = round(bias * UNIT)
 
     class Shares(dict):
         """Weights of words, computed when first asked for."""
 
         def __missing__(self, word: str) -> int:
-            table, w = model.value, f" {word} "
+            w = f" {word} "
+            if not table:
+                table.update(zip(model.value[0].to_pylist(), model.value[1].tolist()))
             held = {g for n in LENGTHS for i in range(len(w) - n + 1) if (g := w[i:i + n]) in table}
             share = sum(map(table.__getitem__, held))
             if len(word) <= LONGEST_CACHED:
@@ -232,17 +267,24 @@ def _scored(rows: DataFrame, weights: dict[str, float], bias: float) -> DataFram
 
 def score(docs: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.5) of every row."""
+    return _rated(_read(docs), *_packed(weights), bias)
+
+
+def _read(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), (fold(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
+    return docs.select(doc_id.alias("doc_id"), (fold(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
-    return _scored(rows, weights, bias).select(
+
+
+def _rated(rows: DataFrame, every: pa.Array, weights: np.ndarray, bias: float) -> DataFrame:
+    return _scored(rows, every, weights, bias).select(
         "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = _scored(docs.select(row, F.col("text").cast("string").alias("text")), *train(docs, labels))
+    rows = _scored(docs.select(row, F.col("text").cast("string").alias("text")), *_fit(docs, labels))
     return rows.filter(F.col("score") < THRESHOLD).select(
         *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
@@ -253,4 +295,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts get the score of a document without features;
     repeated rows get the same score; an empty table gives no rows.
     """
-    return score(docs, *train(docs, labels))
+    return _rated(_read(docs), *_fit(docs, labels))

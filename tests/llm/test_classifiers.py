@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import CLASH, docs, odd_rows, prose
 
@@ -157,3 +159,15 @@ def test_a_word_of_a_million_characters_and_rare_insults(spark):
     rows = [(1, "zwi" * 400_000), (2, "zwiltor")]
     got = {r["doc_id"]: r["score"] for r in T.score(docs(spark, rows), weights, -1.0).collect()}
     assert got[1] == got[2] == pytest.approx(1 / (1 + 2.718281828459045 ** -2.0))
+
+
+def test_toxicity_model_and_features_stay_packed_on_the_driver(spark):
+    rows = [(i, f"{'zorg' if i % 2 else 'mild'} {prose(i, 1, 6)}") for i in range(60)] + [(60, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    grams, weights, bias = T._fit(docs(spark, rows), labels)
+    as_dict, same = T.train(docs(spark, rows), labels)
+    assert isinstance(grams, pa.Array) and isinstance(weights, np.ndarray) and bias == same
+    assert as_dict and as_dict == {g: w for g, w in zip(grams.to_pylist(), weights) if w}
+    packed = pa.chunked_array([pa.array([np.array(x, "<i4").tobytes() for x in part], pa.binary()) for part in ([[1, 2], []], [[], [3]])])
+    numbers, sizes = T._numbers(packed.slice(1))
+    assert numbers.tolist() == [3] and sizes.tolist() == [0, 0, 1]
