@@ -52,10 +52,12 @@ REACH = 2           # how far apart members of an open bucket are paired; _acros
 RANKS = 1 << 22     # slots of the k-mers' frequencies, whatever the data (8 MB)
 FEW = 32            # holders of a k-mer that are all paired with each other, and
 CENTRES = 6         # of the holders of others that all of them meet, and
-ROUNDS = 4          # of pairing across classes, with other centres and orders; a fifth finds next to nothing
+ROUNDS = 4          # of pairing across classes at most, with other centres and orders; a fifth finds next to nothing
+PER_HOLDER = 128    # pairs a holder that _rest may look at without further rounds
 NEXT = 12           # how far apart those of others are paired, in each order; _rest finds what these leave
 BLOCK = 2048        # holders of a k-mer that meet as many others at a time, and
 CELLS_AT_ONCE = 1 << 17  # pairs of them that are looked at in one step
+NODES = 1 << 17     # of a graph that a task solves at a time
 PARITY = 1024       # bits of a text's parity signature
 CELLS = 1 << 17     # k-mers times samples that are hashed at once
 CACHE_WORDS = 150_000
@@ -281,15 +283,49 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return map_arrow(both, run, "a binary, b binary, good boolean").filter("good").select("a", "b")
 
 
+def _hung(links: DataFrame) -> DataFrame:
+    """The links as u and v, those that a task reads solved among themselves: each node hangs to the smallest it is linked with.
+
+    Fewer turns are left to ``components``; a task holds NODES nodes at most.
+    """
+    def run(batches):
+        over: dict[bytes, bytes] = {}
+
+        def top(x: bytes) -> bytes:
+            while over[x] != x:
+                over[x] = x = over[over[x]]
+            return x
+
+        def told() -> pa.RecordBatch:
+            pairs = [(x, r) for x in over if (r := top(x)) != x]
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()),
+                                               pa.array([r for _, r in pairs], pa.binary())], names=["u", "v"])
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                over.setdefault(a, a)
+                over.setdefault(b, b)
+                a, b = top(a), top(b)
+                if a != b:
+                    over[max(a, b)] = min(a, b)
+            if len(over) > NODES:
+                yield told()
+                over.clear()
+        yield told()
+
+    importable(links.sparkSession)
+    return links.select("a", "b").mapInArrow(run, "u binary, v binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """key and root (the smallest key it is linked with, directly or not), by alternating stars.
 
     Each turn hangs the larger neighbours of a node, then the smaller ones,
-    to the smallest it knows; the result of a turn is stored. A node with
+    to the smallest it knows; the result of a turn is stored. When every larger
+    node hangs to one that hangs to none, the classes are found. A node with
     very many links is a skewed join key, which adaptive execution splits.
     """
-    edges, before = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-                           "links"), None
+    edges = _hung(links)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -299,10 +335,11 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lowest, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
                                                .alias("u"), F.col("m").alias("v"))
         edges = stored(small.distinct(), "links")
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == before:
+        ends = edges.select(F.col("u").alias("key"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+            edges.select(F.col("v").alias("key"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+        nodes = ends.groupBy("key").agg((F.sum("hangs") + F.max("holds")).alias("n"))
+        if (nodes.agg(F.max("n")).first()[0] or 0) <= 1:
             return edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
-        before = tuple(mark)
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -333,24 +370,20 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
 def _ranks(words: DataFrame) -> np.ndarray:
     """How often the k-mers of each of RANKS hash slots occur (up to 65,535).
 
-    Each task counts in one vector; the sums are packed by ranges of slots, so
-    the driver gets RANKS short numbers.
+    Each batch counts the slots it has, so small tasks are cheap; the sums are packed
+    by ranges of slots, so the driver gets RANKS short numbers.
     """
-    def run(batches):
-        total = np.zeros(RANKS, np.int64)
-        for batch in batches:
-            for w in batch.column("words").to_pylist():
-                np.add.at(total, _slots(kmers(np.frombuffer(w, np.uint32))), 1)
-        on = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(total[on], pa.int64())], names=["slot", "n"])
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slots = [_slots(kmers(np.frombuffer(w, np.uint32))) for w in batch.column("words").to_pylist()]
+        on, n = np.unique(np.concatenate([np.zeros(0, np.int32), *slots]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(n, pa.int64())], names=["slot", "n"])
 
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(1 << 12, "<u2")
         out[frame["slot"].to_numpy() & 4095] = np.minimum(frame["n"].to_numpy(), 65_535)
         return pd.DataFrame({"block": [int(key[0])], "packed": [out.tobytes()]})
 
-    importable(words.sparkSession)
-    found = words.select("words").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = map_arrow(words.select("words"), run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     blocks = map_groups(found.withColumn("block", F.shiftright("slot", 12)), ["block"], pack, "block int, packed binary")
     out = np.zeros(RANKS, np.uint16)
     for r in blocks.collect():
@@ -497,6 +530,21 @@ def _parities(words: DataFrame) -> DataFrame:
     return map_arrow(words.select("key", "words"), run, "key binary, parity binary", 256)
 
 
+def _sizes(holders: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The holders with their class, and of each k-mer of more than FEW in several classes: n and the largest class, main."""
+    rows = holders.join(roots, "key", "left").withColumn("class", F.xxhash64(F.coalesce("root", "key")))
+    sizes = rows.groupBy("mer", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("mer").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"))
+    return rows, sizes.filter((F.col("n") > FEW) & (F.col("n") > F.col("main.n")))
+
+
+def _cells(holders: DataFrame, roots: DataFrame) -> tuple[float, int]:
+    """How many pairs ``_rest`` would look at, and how many holders the k-mers concerned have."""
+    cells = F.col("n").cast("double") * (F.col("n") - F.col("main.n"))
+    cells, n = _sizes(holders, roots)[1].agg(F.sum(cells), F.sum("n")).first()
+    return cells or 0.0, n or 0
+
+
 def _rest(holders: DataFrame, words: DataFrame, roots: DataFrame, least: float) -> DataFrame | None:
     """All pairs (a, b) that may be similar of the classes left among the holders of k-mers of more than FEW.
 
@@ -508,10 +556,8 @@ def _rest(holders: DataFrame, words: DataFrame, roots: DataFrame, least: float)
     the texts has changes one bit, so the bits that differ are no more than such k-mers, of
     which there are at most (1 - s) / (1 + s) * (m + n). Neither drops a similar pair.
     """
-    rows = holders.join(roots, "key", "left").withColumn("class", F.xxhash64(F.coalesce("root", "key")))
-    sizes = rows.groupBy("mer", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("mer").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"))
-    sizes = sizes.filter((F.col("n") > FEW) & (F.col("n") > F.col("main.n"))).select(
+    rows, sizes = _sizes(holders, roots)
+    sizes = sizes.select(
         "mer", F.col("main.class").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"),
         F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("blocks"))
     left = stored(rows.join(sizes, "mer").select(
@@ -592,11 +638,15 @@ def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     for t in range(1, 1 + TURNS):
         one = _neighbours(rooted(), t, least, REACH, True)
         found_pairs = one if found_pairs is None else found_pairs.unionByName(one)
-    def linked(pairs: DataFrame) -> bool:
-        """Verify what has not been tried, and merge the classes of the links; whether there were any."""
+    def linked(pairs: DataFrame, known: bool = True) -> bool:
+        """Verify what has not been tried, and merge the classes of the links; whether there were any.
+
+        ``known``: the words of all their texts are there.
+        """
         nonlocal tried, words, roots
         fresh = stored(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
-        words = with_words(_ends(fresh))
+        if not known:
+            words = with_words(_ends(fresh))
         new = stored(_verified(fresh, words, least), "links")
         tried = tried.unionByName(fresh)
         if new.isEmpty():
@@ -604,14 +654,19 @@ def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
         roots = _merged(roots, new)
         return True
 
-    linked(found_pairs)
+    linked(found_pairs, known=False)
     # What is open even so: pairs across classes by rare k-mers.
     still = stored(rooted().join(_open(members, roots), ["sample", "value"], "left_semi").select("key").distinct(), "still")
-    words = with_words(still)
-    holders = stored(_holders(words.join(still, "key", "left_semi"), least), "rarest")
+    words = stored(with_words(still).join(still, "key", "left_semi"), "still-words")  # all that is verified from here on
+    holders = stored(_holders(words, least), "rarest")
+    before = None
     for turn in range(ROUNDS):
         found_pairs, holders = _across(holders, roots, turn, least)
-        linked(found_pairs)
+        more = linked(found_pairs)
+        cells, n = _cells(holders, roots)
+        if not more or cells <= PER_HOLDER * n or (before is not None and cells > 0.9 * before):
+            break  # _rest compares them all, and a further round would not spare it much
+        before = cells
     rest = _rest(holders, words, roots, least)
     if rest is not None:
         linked(rest)

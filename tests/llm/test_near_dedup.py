@@ -197,3 +197,28 @@ def test_no_link_in_a_large_group_is_left_to_chance(spark, monkeypatch):
                 root = [min(a, b) if x in (a, b) else x for x in root]
     got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs(spark, rows)).collect()}
     assert 30 < len(set(root)) < 290 and [got[i] for i, _ in rows] == root
+
+
+def test_rounds_end_when_little_is_left(spark, monkeypatch):
+    """No round of pairing follows one that leaves nothing to compare; the classes are those of all rounds."""
+    rounds = []
+    plain = N._across
+    monkeypatch.setattr(N, "_across", lambda holders, roots, turn, least: rounds.append(turn) or plain(holders, roots, turn, least))
+    rows = corpus()
+    assert classes(N.near_duplicates(docs(spark, rows))) == sorted(plain_classes(rows))
+    assert rounds == [0]
+
+
+def test_components_of_small_graphs_take_one_turn(spark, monkeypatch):
+    """Chains, rings and stars, links either way: solved in the tasks that read them, and known to be so at once."""
+    turns = []
+    plain = N.stored
+    monkeypatch.setattr(N, "stored", lambda df, name: turns.append(name) or plain(df, name))
+    pairs = [(i, i + 1) for i in range(40)] + [(101, 100), (102, 101), (100, 102)] + [(209, i) for i in range(200, 209)]
+    links = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in pairs], "a binary, b binary").coalesce(1)
+    got = {(bytes(r.key)[0], bytes(r.root)[0]) for r in N.components(links).collect()}
+    assert got == {(i, 0) for i in range(1, 41)} | {(101, 100), (102, 100)} | {(i, 200) for i in range(201, 210)}
+    assert turns == ["links"]
+    monkeypatch.setattr(N, "NODES", 2)  # and where the tasks solve next to nothing
+    apart = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in pairs], "a binary, b binary").repartition(8)
+    assert {(bytes(r.key)[0], bytes(r.root)[0]) for r in N.components(apart).collect()} == got
