@@ -456,17 +456,17 @@ def _across(holders: DataFrame, roots: DataFrame, turn: int, least: float) -> tu
     m - s * m + 1 of the larger and n - 2 * s / (1 + s) * n + 1 of the smaller
     must therefore share one. Rare ones come first, by the frequencies of hash slots.
 
-    The holders of a k-mer that at most FEW texts hold are all paired, so texts
+    The holders of a k-mer that at most FEW texts hold are all paired, in the first turn, so texts
     alike by what few others have are always found. What a large group has
     common would pair all its members; there each holder meets centres of each
     length that may fit, the one with the fewest k-mers of its own (a text that is
     like another by the common part is like that one) and CENTRES drawn by hash anew
-    for each k-mer, and those next to it in two orders: by the k-mers of their own
-    and by the rare k-mers that follow. All is linear in the rows.
+    for each k-mer. Where more than PER_HOLDER holders are outside the largest class,
+    so that ``_rest`` would look at more than that for each holder, they also meet those next to them
+    in two orders: by the k-mers of their own and by the rare k-mers that follow. All is linear in the rows.
     """
-    rows = holders.join(roots, "key", "left").withColumn("class", F.xxhash64(F.coalesce("root", "key"))).drop("root")
-    groups = rows.groupBy("mer").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n"))
-    held = stored(rows.join(groups.filter("lo != hi").select("mer", "n"), "mer"), "holders")
+    rows, sizes = _sizes(holders, roots)
+    held = stored(rows.drop("root").join(sizes.select("mer", "n", (F.col("n") - F.col("main.n")).alias("outside")), "mer"), "holders")
     names = ("class", "m", "at", "small")
 
     # Centres of each length band (texts of similarity ``least`` are at most ``reach`` bands apart).
@@ -483,13 +483,20 @@ def _across(holders: DataFrame, roots: DataFrame, turn: int, least: float) -> tu
         _fits({c: F.col(c) for c in names}, {c: F.col(f"{c}_of") for c in names}, least)).select(
         F.least("key", "k").alias("a"), F.greatest("key", "k").alias("b"))
 
-    # Each holder of a hot k-mer stands in both orders; a k-mer of few has one range, so its rows meet in one task.
-    few = F.col("n") <= FEW
-    order = F.explode(F.when(few, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("turn")
-    placed = held.select("*", order).select(
-        "mer", "turn", F.when(few, F.lit(0)).when(F.col("turn") == 0, F.col("own")).otherwise(F.col("next")).cast("long").alias("o1"),
-        F.when(few, F.lit(0)).otherwise(F.xxhash64("key", "turn", F.lit(turn))).cast("long").alias("o2"), "key", few.alias("few"), *names)
-
+    parts = int(holders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = ["mer", "turn", "o1", "o2"]
+    placed = hot.filter(F.col("outside") > PER_HOLDER).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("turn")).select(
+        "mer", "turn", F.when(F.col("turn") == 0, F.col("own")).otherwise(F.col("next")).cast("long").alias("o1"),
+        F.xxhash64("key", "turn", F.lit(turn)).alias("o2"), "key", *names)
+    near = _near(placed.repartitionByRange(parts, *by).sortWithinPartitions(*by, "key"), ["mer", "turn"], NEXT, least)
+    if not turn:
+        few = held.filter(F.col("n") <= FEW).select("mer", "key", *names)
+        near = near.unionByName(_near(few.repartition(parts, "mer").sortWithinPartitions("mer"), ["mer"], FEW - 1, least))
+    return near.unionByName(star).distinct(), held.filter(F.col("n") > FEW).drop("class", "n", "outside")
+
+
+def _near(rows: DataFrame, group: list[str], apart: int, least: float) -> DataFrame:
+    """Pairs (a, b) of the holders up to ``apart`` from each other in a group, in the order of the rows, that may be similar."""
     def run(batches):
         last = None
         for batch in batches:
@@ -497,25 +504,23 @@ def _across(holders: DataFrame, roots: DataFrame, turn: int, least: float) -> tu
             old = 0 if last is None else len(last)
             if old:
                 rows = pd.concat([last, rows], ignore_index=True)
-            last = rows.tail(FEW - 1)
-            mer, turn, key, few = (rows[c].to_numpy() for c in ("mer", "turn", "key", "few"))
-            fields = {c: rows[c].to_numpy() for c in names}
+            last = rows.tail(apart) if apart else None
+            key = rows["key"].to_numpy()
+            of = [rows[c].to_numpy() for c in group]
+            fields = {c: rows[c].to_numpy() for c in ("class", "m", "at", "small")}
             found = set()
-            for d in range(1, min(FEW, len(rows))):
-                x, y = ({c: v[:-d] for c, v in fields.items()}, {c: v[d:] for c, v in fields.items()})
-                hit = (mer[d:] == mer[:-d]) & (turn[d:] == turn[:-d]) & _fits(x, y, least)
-                hit &= few[d:] if d > NEXT else True
+            for d in range(1, min(apart + 1, len(rows))):
+                hit = _fits({c: v[:-d] for c, v in fields.items()}, {c: v[d:] for c, v in fields.items()}, least)
+                for g in of:
+                    hit &= g[d:] == g[:-d]
                 at = np.flatnonzero(hit)
                 at = at[at + d >= old]  # pairs within the rows carried over were told before
                 found.update((min(key[i], key[i + d]), max(key[i], key[i + d])) for i in at)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()),
                                               pa.array([y for _, y in found], pa.binary())], names=["a", "b"])
 
-    importable(holders.sparkSession)
-    by = ["mer", "turn", "o1", "o2"]
-    parts = int(holders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = placed.repartitionByRange(parts, *by).sortWithinPartitions(*by, "key").mapInArrow(run, "a binary, b binary")
-    return near.unionByName(star).distinct(), held.drop("class", "n")
+    importable(rows.sparkSession)
+    return rows.mapInArrow(run, "a binary, b binary")
 
 
 def _parities(words: DataFrame) -> DataFrame:
@@ -531,17 +536,17 @@ def _parities(words: DataFrame) -> DataFrame:
 
 
 def _sizes(holders: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The holders with their class, and of each k-mer of more than FEW in several classes: n and the largest class, main."""
+    """The holders with their class, and of each k-mer in several classes: n holders and the largest class, main."""
     rows = holders.join(roots, "key", "left").withColumn("class", F.xxhash64(F.coalesce("root", "key")))
     sizes = rows.groupBy("mer", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("mer").agg(
         F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"))
-    return rows, sizes.filter((F.col("n") > FEW) & (F.col("n") > F.col("main.n")))
+    return rows, sizes.filter(F.col("n") > F.col("main.n"))
 
 
 def _cells(holders: DataFrame, roots: DataFrame) -> tuple[float, int]:
     """How many pairs ``_rest`` would look at, and how many holders the k-mers concerned have."""
     cells = F.col("n").cast("double") * (F.col("n") - F.col("main.n"))
-    cells, n = _sizes(holders, roots)[1].agg(F.sum(cells), F.sum("n")).first()
+    cells, n = _sizes(holders, roots)[1].filter(F.col("n") > FEW).agg(F.sum(cells), F.sum("n")).first()
     return cells or 0.0, n or 0
 
 
@@ -557,7 +562,7 @@ def _rest(holders: DataFrame, words: DataFrame, roots: DataFrame, least: float)
     which there are at most (1 - s) / (1 + s) * (m + n). Neither drops a similar pair.
     """
     rows, sizes = _sizes(holders, roots)
-    sizes = sizes.select(
+    sizes = sizes.filter(F.col("n") > FEW).select(
         "mer", F.col("main.class").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"),
         F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("blocks"))
     left = stored(rows.join(sizes, "mer").select(

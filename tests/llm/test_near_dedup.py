@@ -222,3 +222,28 @@ def test_components_of_small_graphs_take_one_turn(spark, monkeypatch):
     monkeypatch.setattr(N, "NODES", 2)  # and where the tasks solve next to nothing
     apart = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in pairs], "a binary, b binary").repartition(8)
     assert {(bytes(r.key)[0], bytes(r.root)[0]) for r in N.components(apart).collect()} == got
+
+
+def test_large_groups_are_sorted_only_where_many_are_outside_the_largest_class(spark, monkeypatch):
+    """What few hold is paired once; what one class holds nearly all of is paired by centres and left to _rest."""
+    monkeypatch.setattr(N, "CENTRES", 0)
+    key = lambda i: bytes([i])
+    few, main, alone = [key(i) for i in range(200, 203)], [key(i) for i in range(50)], [key(i) for i in range(50, 60)]
+    schema = "mer long, key binary, m int, at int, small boolean, own int, next long"
+    holders = spark.createDataFrame([(mer, bytearray(k), 100, 0, True, i, i) for mer, keys in ((1, few), (2, main + alone))
+                                     for i, k in enumerate(keys)], schema).repartition(5)
+    roots = spark.createDataFrame([(bytearray(k), bytearray(main[0])) for k in main[1:]], "key binary, root binary")
+
+    def across(holders, turn):
+        pairs, left = N._across(holders, roots, turn, N.SIMILARITY)
+        return {(bytes(r.a), bytes(r.b)) for r in pairs.collect()}, left
+
+    all_few = {(a, b) for a in few for b in few if a < b}
+    centre = {(main[0], k) for k in alone}
+    pairs, left = across(holders, 0)
+    assert pairs == all_few | centre
+    assert {bytes(r.key) for r in left.select("key").collect()} == set(main + alone)
+    assert across(left, 1)[0] == centre
+    monkeypatch.setattr(N, "PER_HOLDER", len(alone) - 1)  # one more than _rest may meet for each holder
+    pairs, _ = across(holders, 0)
+    assert all_few | centre < pairs and {(a, b) for a, b in zip(alone, alone[1:])} < pairs
